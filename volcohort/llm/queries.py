@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from volcohort.llm import packing, pairwise_quality, quality_rules, sharding
+from volcohort.llm import packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +31,27 @@ def op5_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.measure(_table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.measure(_table(spark, sf_dir, "documents"))
+
+
 def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_length_buckets, op5_vector_shards, op10_pairwise_quality)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op3_length_buckets, op5_vector_shards, op6_prefix_doubling, op7_simhash, op8_recompression,
+        op10_pairwise_quality,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
