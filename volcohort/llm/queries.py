@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from volcohort.llm import packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup
+from volcohort.llm import (
+    decontaminate, hmm_lm, packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_cache,
+)
+from volcohort.llm.storage import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +20,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own, empty at first: the query doesn't lean on what earlier runs left.
+    return token_cache.count_tokens(_table(spark, sf_dir, "documents"), cache=new_path(spark, "token-counts"))
+
+
 def op5_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -43,14 +55,18 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.measure(_table(spark, sf_dir, "documents"))
 
 
+def op9_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op3_length_buckets, op5_vector_shards, op6_prefix_doubling, op7_simhash, op8_recompression,
-        op10_pairwise_quality,
+        op1_quality_rules, op2_decontamination, op3_length_buckets, op4_token_cache, op5_vector_shards, op6_prefix_doubling,
+        op7_simhash, op8_recompression, op9_hidden_markov, op10_pairwise_quality,
     )}
 
 
