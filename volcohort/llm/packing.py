@@ -61,8 +61,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, max_len: int = MAX_LEN, budget
     pieces = sized.withColumn("pieces", F.ceil(F.col("n") / max_len)).select(
         "doc_id", "n", F.explode_outer(F.expr("if(pieces > 0, sequence(0L, pieces - 1), null)")).alias("chunk")
     )
-    tokens = F.least(F.lit(max_len), F.col("n") - F.col("chunk") * max_len).cast("long")
-    pieces = pieces.withColumn("n_tokens", F.coalesce(tokens, F.lit(0).cast("long"))).drop("n")
+    tokens = F.when(F.col("chunk").isNotNull(), F.least(F.lit(max_len), F.col("n") - F.col("chunk") * max_len)).otherwise(0)
+    pieces = pieces.withColumn("n_tokens", tokens.cast("long")).drop("n")
     bound = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<bigint>")
     pieces = pieces.withColumn("bucket", F.when(F.col("n_tokens") > 0, F.size(F.filter(bound, lambda b: b < F.col("n_tokens")))))
     pieces = pieces.withColumn("bucket_len", F.get(bound, F.col("bucket")))
