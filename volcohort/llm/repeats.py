@@ -32,6 +32,8 @@ TYPES = {"name": np.uint64, "ctx": np.uint64, "doc": np.int64, "at": np.uint32,
 CHUNK = 1 << 18
 #: Documents in an Arrow batch; a batch is held in memory.
 ARROW_ROWS = 4000
+#: Bytes of text for each bucket, at least.
+BUCKET_BYTES = 2 << 20
 NO_ID = -(1 << 63)
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -216,7 +218,9 @@ def repeated(docs: DataFrame, emit: Emit, across: bool, widths: tuple[int, ...])
     windows in the ranges if there are any, cut to `width` windows. widths: those of each step; the last is 1.
     """
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    # Not so many that a block from a task holds a few rows only.
+    buckets = max(1, min(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES))
     asked, covered = docs, []
     for width in widths:
         runs = stage(_by_doc(_emitted(asked, emit, width, across, buckets), across, buckets, width > 1), "repeat-runs")
