@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 from volcohort.llm import (
-    components, decontaminate, hmm_lm, packing, pairwise_quality, quality_rules, sharding, simhash, storage, substring_dedup, suffix_dedup, text, token_cache,
+    components, decontaminate, hmm_lm, packing, pairwise_quality, quality_rules, sharding, similar, simhash, storage, substring_dedup, suffix_dedup, text, token_cache,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long"
@@ -115,7 +115,7 @@ def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     made = [
         quality_rules.measure(none), quality_rules.filter_documents(none), decontaminate.leaks(none, bench), decontaminate.clean_documents(none, bench), packing.pack(none),
-        token_cache.count_tokens(none, cache=storage.new_path(spark, "t")), sharding.shard(none), suffix_dedup.measure(none), simhash.near_duplicates(none), simhash.keep_one(none),
+        token_cache.count_tokens(none, cache=storage.new_path(spark, "t")), sharding.shard(none), suffix_dedup.measure(none), simhash.near_duplicates(none), simhash.keep_one(none), similar.near_duplicates(none), similar.keep_one(none),
         substring_dedup.measure(none), substring_dedup.strip_documents(none), hmm_lm.score(none), pairwise_quality.rank(none, labels),
     ]
     assert [df.count() for df in made] == [0] * len(made)
@@ -159,6 +159,43 @@ def test_simhash_links_in_long_lists(spark, monkeypatch):
     assert {f: named.get(f, f) for f in signed} == root
 
 
+def edited(rng, words, share):
+    return [f"new{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+@pytest.mark.parametrize("small", [32, 2])
+def test_similar_texts(spark, monkeypatch, small):
+    """Every link of 0.8 or more is found and none below; with long lists (small = 2) by spanning forests."""
+    monkeypatch.setattr(similar, "SMALL", small)
+    rng = random.Random(12)
+    rows = []
+    for g in range(30):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randint(30, 300))]
+        rows += [" ".join(words), " ".join(edited(rng, words, 0.006)), " ".join(edited(rng, words, 0.012)), " ".join(edited(rng, words, 0.15))]
+    rows += [rows[0].upper(), None, "", "one two", "one  two"]
+    held = [(i, t, "en", "s", 1, i) for i, t in enumerate(rows)]
+    sets = []
+    for t in rows:
+        w = bytes_of(t).lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    name = list(range(len(rows)))
+    link = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    for _ in range(4):
+        name = [min(name[b] for b in range(len(rows)) if link(sets[a], sets[b])) for a in range(len(rows))]
+    docs = spark.createDataFrame(held, SCHEMA).repartition(3)
+    assert {r.doc_id: r.component_id for r in similar.near_duplicates(docs).collect()} == dict(enumerate(name))
+    kept = similar.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(name))
+
+
+def test_spanning_forest_is_minimal():
+    rng = np.random.default_rng(2)
+    fp = np.repeat(rng.integers(0, 1 << 63, (3, 2), dtype=np.uint64), 12, axis=0)
+    fp ^= np.uint64(1) << rng.integers(0, 64, fp.shape, dtype=np.uint64)
+    links = similar._forest(fp)
+    assert len(links) == 36 - 3 and all(a // 12 == b // 12 for a, b in links)
+
+
 def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
