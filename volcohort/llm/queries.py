@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from volcohort.llm import (
-    decontaminate, hmm_lm, packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_cache,
+    decontaminate, hmm_lm, oracles, packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_cache,
 )
 from volcohort.llm.storage import new_path
 
@@ -17,11 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.measure(_table(spark, sf_dir, "documents"))
+    out = quality_rules.measure(_table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    out = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 6).alias("similarity"))
 
 
 def op3_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,8 +37,6 @@ def op4_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     out = sharding.shard(_table(spark, sf_dir, "documents"))
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
@@ -71,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": oracles.OP1, "op2_decontamination": oracles.OP2, "op6_prefix_doubling": oracles.OP6, "op8_recompression": oracles.OP8}
