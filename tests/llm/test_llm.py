@@ -394,6 +394,26 @@ def test_pairwise_quality(spark):
     assert {r.predicted for r in only} == {1}
 
 
+def test_clashing_columns(spark, rows):
+    """Columns with names that operators use inside, and odd ones, pass through filters untouched."""
+    from pyspark.sql import functions as F
+
+    names = ["_keep", "_doc", "_spans", "_leak", "row_in", "kept", "component_id", "fingerprint", "_t", "_w", "n_words", "a.b", "item_id", "fp"]
+    docs = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    bench = spark.createDataFrame([(1, "some words that nobody wrote here")], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    filters = [quality_rules.filter_documents(docs), simhash.keep_one(docs), similar.keep_one(docs), substring_dedup.strip_documents(docs), decontaminate.clean_documents(docs, bench)]
+    for out in filters:
+        assert out.columns == docs.columns
+        assert all(r[n] == i for r in out.collect() for i, n in enumerate(names))
+    others = [
+        quality_rules.measure(docs), suffix_dedup.measure(docs), substring_dedup.measure(docs), simhash.near_duplicates(docs), packing.pack(docs), sharding.shard(docs), hmm_lm.score(docs),
+        token_cache.count_tokens(docs, cache=storage.new_path(spark, "t")), pairwise_quality.rank(docs, labels),
+    ]
+    assert all(out.select("doc_id").distinct().count() == len(rows) for out in others)
+
+
 def test_numbering_is_gapless(spark):
     df = spark.range(500).selectExpr("id", "cast(if(id % 5 < 4, 0, id % 3) as int) g")
     got = text.numbered(df, "g", ["id"], "n").collect()

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volcohort.llm.storage import stage
-from volcohort.llm.text import text_of, with_windows, words
+from volcohort.llm.text import boxed, text_of, unboxed, with_windows, words
 
 # Function words of the languages with a word reference.
 COMMON_WORDS = {
@@ -136,6 +136,5 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with the columns they came with. Names that begin with an underscore are free."""
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_in"), "text", "lang")
-    return apply_rules(held).where("kept").select("row_in.*")
+    """The documents that the rules keep, with the columns they came with."""
+    return unboxed(apply_rules(boxed(docs, "text", "lang")).where("kept"), docs)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from volcohort.llm.components import components
 from volcohort.llm.storage import stage
+from volcohort.llm.text import boxed, unboxed
 
 SEED = 42
 RADIUS = 3
@@ -174,4 +175,4 @@ def near_duplicates(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFr
 def keep_one(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
     """The documents of smallest doc_id of each component, with the columns they came with."""
     found = near_duplicates(docs, k, radius).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_keep")).drop("_keep")
+    return unboxed(boxed(docs, "doc_id").join(found, F.col("doc_id") == F.col("_keep")), docs)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from volcohort.llm import repeats
 from volcohort.llm.repeats import NO_ID, Columns, columns, mix, pair
 from volcohort.llm.storage import small
+from volcohort.llm.text import boxed, unboxed
 
 LENGTH = 20
 ROUNDS = 3
@@ -192,7 +193,8 @@ def strip_documents(docs: DataFrame) -> DataFrame:
 
         return text.combine(packed, one)
 
-    out = _cut(docs).withColumn("text", cut("text", "_spans")).drop("_doc", "_spans")
+    out = _cut(boxed(docs, "doc_id", "text")).withColumn("text", cut("text", "_spans"))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return unboxed(out, docs, **changed)

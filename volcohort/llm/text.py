@@ -23,6 +23,16 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def boxed(docs: DataFrame, *cols: str) -> DataFrame:
+    """`row_in`, a struct of all columns, beside the columns an operator works on: other columns can't clash with its own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_in"), *cols)
+
+
+def unboxed(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of `like` out of `row_in`, those in `changed` by new values."""
+    return df.select(*[changed.get(c, F.col("row_in")[c]).alias(c) for c in like.columns])
+
+
 def _joined(col: str, offset: int):
     return lambda x, i: F.xxhash64(x, F.get(col, i + offset))
 
