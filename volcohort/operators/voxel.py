@@ -136,3 +136,64 @@ def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26, ro
         if settled:
             return cur
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def settle_conflicts(merged: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, keep: int = 200, drop: int = 100) -> DataFrame:
+    """Conflicts between a label and background, decided by density: `keep` or more takes the label, under `drop` the
+    background; all others stay open (NULL)."""
+    x, y = a.select(*AT, F.col("label").alias("x")), b.select(*AT, F.col("label").alias("y"))
+    m = merged.join(x, AT, "left").join(y, AT, "left").join(hu, AT, "left").fillna(0, ["x", "y"])
+    one = (F.col("state") == "conflict") & ((F.col("x") == 0) != (F.col("y") == 0))
+    label = F.when(one & (F.col("hu") >= keep), F.greatest("x", "y")).when(one & (F.col("hu") < drop), 0).otherwise(F.col("label"))
+    return m.select(*AT, label.alias("label"), "state")
+
+
+def component_sizes(parts: DataFrame) -> DataFrame:
+    """(case_id, label, component, voxels)."""
+    return parts.groupBy("case_id", "label", "component").agg(F.count(F.lit(1)).alias("voxels"))
+
+
+def largest_share(parts: DataFrame) -> DataFrame:
+    """(case_id, label, parts, share): the share of a label's largest component."""
+    s = component_sizes(parts).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("parts"), (F.max("voxels") / F.sum("voxels")).alias("share"))
+    return s.select("case_id", "label", "parts", F.round("share", 9).alias("share"))
+
+
+def without_specks(parts: DataFrame, least: int) -> DataFrame:
+    """Voxels of components of at least `least` voxels."""
+    small = component_sizes(parts).where(F.col("voxels") < least)
+    return parts.join(small, ["case_id", "label", "component"], "left_anti").select(*AT, "label")
+
+
+def majority(parts: DataFrame, labels: DataFrame, purity: float) -> DataFrame:
+    """(case_id, component, winner): the label of most voxels of a component, if it has that share; ties go to the smaller."""
+    c = parts.select(*AT, "component").join(labels.where("label <> 0").select(*AT, F.col("label").alias("l")), AT)
+    n = c.groupBy("case_id", "component", "l").agg(F.count(F.lit(1)).alias("n"))
+    g = n.groupBy("case_id", "component").agg(F.max(F.struct("n", (-F.col("l")).alias("m"))).alias("b"), F.sum("n").alias("t"))
+    return g.where(F.col("b.n") >= purity * F.col("t")).select("case_id", "component", (-F.col("b.m")).alias("winner"))
+
+
+def surface_distances(a: DataFrame, b: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """(case_id, label, assd, hd95): distances between the surfaces of both volumes, each voxel to the nearest of the other.
+
+    Pairs are bounded by the equi-join on case and label: give crops. The least distance is a partial aggregate."""
+    p, q = (surface(v).select(*AT, "label") for v in (a, b))
+
+    def to(x: DataFrame, y: DataFrame) -> DataFrame:
+        z = y.select(F.col("case_id").alias("_c"), F.col("label").alias("_l"), *[F.col(c).alias(f"y{c}") for c in "kji"])
+        far = sum((F.pow((F.col(c) - F.col(f"y{c}")) * s, F.lit(2)) for c, s in zip("kji", spacing, strict=True)), F.lit(0.0))
+        near = x.join(z, (F.col("case_id") == F.col("_c")) & (F.col("label") == F.col("_l")))
+        return near.groupBy("case_id", "label", "k", "j", "i").agg(F.sqrt(F.min(far)).alias("d"))
+
+    both = to(p, q).unionByName(to(q, p))
+    return both.groupBy("case_id", "label").agg(F.round(F.avg("d"), 6).alias("assd"), F.round(F.percentile("d", F.lit(0.95)), 6).alias("hd95"))
+
+
+def box_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(case_id, a, b, share): the part of each box of a that a box of b of the case covers. Boxes: (case_id, id, k0 ... i1)."""
+    y = b.select(F.col("case_id").alias("_c"), F.col("id").alias("b"), *[F.col(f"{c}{e}").alias(f"y{c}{e}") for c in "kji" for e in "01"])
+    meets = [(F.col(f"{c}0") <= F.col(f"y{c}1")) & (F.col(f"y{c}0") <= F.col(f"{c}1")) for c in "kji"]
+    size = [F.col(f"{c}1") - F.col(f"{c}0") + 1 for c in "kji"]
+    cut = [F.least(f"{c}1", f"y{c}1") - F.greatest(f"{c}0", f"y{c}0") + 1 for c in "kji"]
+    out = a.join(y, (F.col("case_id") == F.col("_c")) & meets[0] & meets[1] & meets[2])
+    return out.select("case_id", F.col("id").alias("a"), "b", F.round(cut[0] * cut[1] * cut[2] / (size[0] * size[1] * size[2]), 9).alias("share"))
