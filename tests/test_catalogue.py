@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from volcohort.plans import release
+from volcohort.plans import anatomy
 
 DATA = "/root/testdata/sf0.001"
 
@@ -27,14 +27,14 @@ def plain(v):
     return round(float(v), 6) if hasattr(v, "as_tuple") else v
 
 
-@pytest.mark.parametrize("name", list(release.QUERIES))
+@pytest.mark.parametrize("name", list(anatomy.QUERIES))
 def test_query(spark, duck, name):
-    df = release.QUERIES[name](spark, DATA)
+    df = anatomy.QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
-    if name not in release.ORACLES:
+    if name not in anatomy.ORACLES:
         assert df.count() > 0
         return
-    rel = duck.sql(release.ORACLES[name])
+    rel = duck.sql(anatomy.ORACLES[name])
     assert sorted(rel.columns) == cols
     at = [rel.columns.index(c) for c in cols]
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)

@@ -68,3 +68,60 @@ def test_components_join_diagonals(spark):
     assert len({tuple(r.component) for r in got if r.label == 5}) == 2
     faces = voxel.components(spark.createDataFrame(cells, "case_id int, k int, j int, i int, label int"), voxel.FACES).collect()
     assert len({tuple(r.component) for r in faces if r.label == 5}) == 3
+
+
+def vec(*x):
+    return F.array(*[F.lit(float(v)) for v in x])
+
+
+def test_geometry(spark):
+    from volcohort.functions import geometry as g
+
+    up, front, back = vec(0, 0, 1), vec(0, 30, -20), vec(0, 0, 0)
+    plate = g.midpoint(front, back)
+    got = g.pelvic_angles(vec(0, 40, -70), plate, front, back, up)
+    eye = F.array(*[F.lit(float(i % 5 == 0)) for i in range(16)])
+    r = one(
+        spark, d=g.distance(vec(0, 3, 0), vec(4, 0, 0)), a=F.round(g.angle(vec(1, 0, 0), vec(1, 1, 0)), 6), none=g.angle(vec(0, 0, 0), vec(1, 0, 0)), rej=g.rejection(vec(1, 2, 3), up),
+        w=g.world(eye, F.lit(1), F.lit(2), F.lit(3)), ok=g.valid_affine(eye), bad=g.valid_affine(vec(1, 2)), s=g.valid_shape(F.array(F.lit(512), F.lit(512), F.lit(4))),
+        same=g.same_grid(eye, eye, 0.5, 0.99), pi=F.round(got["incidence"], 4), pt=F.round(got["tilt"], 4), ss=F.round(got["slope"], 4),
+    )
+    assert (r.d, r.a, r.none, r.rej, r.w, r.ok, r.bad, r.s, r.same) == (5.0, 45.0, None, [1.0, 2.0, 0.0], [1.0, 2.0, 3.0], True, False, False, True)
+    assert abs(r.pi - (r.pt + r.ss)) < 0.01 or abs(r.pi - abs(r.pt - r.ss)) < 0.01
+
+
+def test_review(spark):
+    from volcohort.functions import review
+
+    r = one(
+        spark, a=review.is_flag(F.lit("1.0")), b=review.is_flag(F.lit(None).cast("string")), c=review.provenance_after(F.lit("pseudo"), F.lit(True)), d=review.provenance_after(F.lit("manual"), F.lit(True)),
+        e=review.qualifier(F.lit("x_semi_sacralized"), F.lit("supine")), f=review.qualifier(F.lit("semisomething"), F.lit("supine")), g=review.percent_difference(F.lit(3.0), F.lit(0.0)),
+        h=review.verdict(F.lit(0.1), F.lit(0.9)), i=review.verdict(F.lit(0.5), F.lit(0.5)), j=review.verdict(F.lit(None).cast("double"), F.lit(0.5)),
+    )
+    assert tuple(r) == (True, False, "pseudo_corrected", "manual", "semi", "supine", None, "FLIPPED", "MIXED", "SKIP")
+
+
+def test_groups_follow_the_running_mean(spark):
+    from volcohort.operators import ribs
+
+    zs = [100.0, 97.0, 93.0, 60.0, 59.0, 20.0]
+    got = ribs.group_pieces(spark.createDataFrame([(1, "L", z) for z in zs] + [(2, "R", 5.0)], "case int, side string, z double"), 6.0).collect()
+    assert [(r.n, round(r.z, 3)) for r in sorted(got, key=lambda r: (r.case, r.group))] == [(3, 96.667), (2, 59.5), (1, 20.0), (1, 5.0)]
+
+
+def test_filling_leaves_open_bays(spark):
+    from volcohort.operators import morphology
+
+    ring = [(1, 0, j, i, 5) for j in range(5) for i in range(5) if j in (0, 4) or i in (0, 4)]
+    df = spark.createDataFrame(ring, "case_id int, k int, j int, i int, label int")
+    assert morphology.fill_slices(df).count() == 9
+    assert morphology.fill_slices(df.where("not (j = 2 and i = 4)")).count() == 0
+
+
+def test_strays(spark):
+    from volcohort.operators import morphology
+
+    cells = [(1, 0, 0, i, 5) for i in range(10)] + [(1, 0, 5, 0, 5)]
+    parts = voxel.components(spark.createDataFrame(cells, "case_id int, k int, j int, i int, label int"))
+    assert [r.voxels for r in morphology.stray_parts(parts, 2, 0.05).collect()] == [1]
+    assert voxel.without_specks(parts, 2).count() == 10

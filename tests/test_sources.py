@@ -54,3 +54,21 @@ def test_volume_headers(spark, tmp_path):
     got = {r.file.rsplit("/", 1)[1]: r for r in readers.volume_headers(spark, str(tmp_path)).collect()}
     assert got["a.nii"].shape == got["b.nii.gz"].shape == [4, 5, 6] and got["a.nii"].spacing == [0.5, 0.75, 2.0]
     assert got["a.nii"].affine[:4] == [0.0, 1.0, 2.0, 3.0] and got["c.nii"].error
+
+
+def test_sinks(spark, tmp_path):
+    from volcohort.sources import sinks
+
+    schema = T.StructType([T.StructField("token", T.StringType(), False), T.StructField("n", T.IntegerType(), False), T.StructField("score", T.DoubleType()), T.StructField("late", T.BooleanType())])
+    rows = spark.createDataFrame([("1", "7", "", True), ("", None, "x", True), ("3", "1", "2.5", False)], "token string, n string, score string, ok boolean")
+    assert sorted(map(tuple, sinks.conform(rows, schema).collect())) == [("", 0, None, None), ("1", 7, None, None), ("3", 1, 2.5, None)]
+    sinks.manifest(rows, str(tmp_path / "m"), schema)
+    assert sorted(r.token for r in spark.read.json(str(tmp_path / "m/json")).collect()) == ["", "1"]
+    sinks.splits(rows.withColumnRenamed("token", "split").where("split <> ''"), str(tmp_path / "s"))
+    assert sorted(p.name for p in (tmp_path / "s").glob("split=*")) == ["split=1", "split=3"]
+    for n in (1, 2):
+        sinks.log(spark.createDataFrame([("1", n)], RECORD), str(tmp_path / "log"))
+    good, bad = readers.log(spark, str(tmp_path / "log"), RECORD)
+    assert good.count() == 2 and bad.count() == 0
+    lines = sinks.label_lines(spark.createDataFrame([(20, "L1")], "id int, name string")).collect()
+    assert lines[0].value == '20 60 60 140 1 1 1 "L1"'
