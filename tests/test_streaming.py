@@ -22,3 +22,25 @@ def test_submissions_are_idempotent(spark, tmp_path):
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
     got = ledger.run_available(ledger.submissions(stream), "outcomes", "append", str(tmp_path / "cp"))
     assert {r.event_id: r.outcome for r in got.collect()} == {1: "accepted", 2: "duplicate", 3: "conflict", 4: "accepted"}
+
+
+def test_leases(spark, tmp_path):
+    rows = [(1, "a", "2026-01-01 00:00:00"), (1, "b", "2026-01-01 01:00:00"), (1, "a", "2026-01-01 02:00:00"), (1, "b", "2026-01-03 00:00:00"), (2, "c", "2026-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "case_id long, reviewer string, t string").withColumn("ts", F.col("t").cast("timestamp")).drop("t")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")).withWatermark("ts", "1 hour")
+    got = ledger.run_available(ledger.leases(stream, 24), "leases", "append", str(tmp_path / "cp")).collect()
+    assert [r.outcome for r in sorted(got, key=lambda r: r.at) if r.case_id == 1 and r.outcome != "expired"] == ["granted", "refused", "granted", "granted"]
+    assert [r.reviewer for r in got if r.outcome == "expired"] == ["c"]
+
+
+def test_watched_folder(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    folder = tmp_path / "w"
+    folder.mkdir()
+    for n, body in enumerate(['{"ok": true}', '{"ok": false}', '{"ok": tr', '{"ok": true}']):
+        (folder / f"{n}.json").write_text(body)
+    schema = T.StructType([T.StructField("ok", T.BooleanType())])
+    got = ledger.run_available(ledger.watched(spark, str(folder), schema), "watched", "complete", str(tmp_path / "cp"))
+    assert {r.verdict: r.n for r in got.collect()} == {"pass": 2, "fail": 1, "retry": 1}

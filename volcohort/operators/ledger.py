@@ -61,3 +61,48 @@ def reviewer_stats(submissions: DataFrame) -> DataFrame:
 def final_pick(submissions: DataFrame) -> DataFrame:
     """(case_id, slot, changed): the submission that changes fewest voxels; ties go to the first slot."""
     return submissions.groupBy("case_id").agg(F.min(F.struct("changed", "slot")).alias("m")).select("case_id", "m.slot", "m.changed")
+
+
+def seed_cases(records: DataFrame, existing: DataFrame, regions: dict[str, str], worklist: DataFrame | None = None) -> DataFrame:
+    """(case_id, region, priority) to add: records (case_id, config, triage) of known configs that are not there yet, and, if a
+    worklist (case_id) is given, only those on it; an empty worklist adds nothing."""
+    table = F.create_map(*[F.lit(x) for kv in regions.items() for x in kv])
+    new = records.withColumn("region", table[F.col("config")]).where("region is not null").join(existing.select("case_id"), "case_id", "left_anti")
+    if worklist is not None:
+        new = new.join(worklist.select("case_id"), "case_id", "left_semi")
+    return new.groupBy("case_id").agg(F.min("region").alias("region"), F.max(F.coalesce("triage", F.lit(0))).alias("priority"))
+
+
+def reset(slot_rows: DataFrame, outcomes: DataFrame, reviewer: str) -> tuple[DataFrame, DataFrame]:
+    """(slots, outcomes) without a reviewer's slots; outcomes of the cases they were in lose agreement and decision."""
+    hit = slot_rows.where(F.col("reviewer") == reviewer).select("case_id").distinct().withColumn("_hit", F.lit(True))
+    out = outcomes.join(hit, "case_id", "left")
+    kept = lambda c: F.when(F.col("_hit").isNull(), F.col(c)).alias(c)
+    return slot_rows.where(F.col("reviewer") != reviewer), out.select("case_id", kept("agree"), kept("final"))
+
+
+def expert_take(cases: DataFrame, expert: str, roster: list[str], wanted: DataFrame) -> DataFrame:
+    """Cases (case_id, priority, deferred_by) with those wanted put off for everyone but the expert, and put first."""
+    others = F.array(*[F.lit(r) for r in roster if r != expert])
+    w = cases.join(wanted.select("case_id", F.lit(True).alias("_w")), "case_id", "left")
+    return w.select(
+        "case_id", F.when(F.col("_w"), F.greatest(F.col("priority"), F.lit(1_000_000))).otherwise(F.col("priority")).alias("priority"),
+        F.when(F.col("_w"), F.array_sort(F.array_remove(F.array_union("deferred_by", others), expert))).otherwise(F.col("deferred_by")).alias("deferred_by"),
+    )
+
+
+def pending(states: DataFrame) -> DataFrame:
+    """(case_id, reason) of the cases that are neither final nor excluded."""
+    reason = (
+        F.when(F.col("status") == "needs_adjudication", "adjudicate").when(F.col("n_done") == 1, "second_review").when(F.col("n_claimed") > 0, "claimed")
+        .otherwise("unclaimed")
+    )
+    return states.where(~F.col("status").isin("finalized", "excluded")).select("case_id", reason.alias("reason"))
+
+
+def restore_outside(base: DataFrame, edited: DataFrame, remit: list[int], at: list[str]) -> DataFrame:
+    """The edited voxels, but where the base or the edit has a label out of the remit, the base's label."""
+    b, e = base.select(*at, F.col("label").alias("_b")), edited.select(*at, F.col("label").alias("_e"))
+    m = b.join(e, at, "full_outer").fillna(0, ["_b", "_e"])
+    inside = lambda c: (F.col(c) == 0) | F.col(c).isin(remit)
+    return m.select(*at, F.when(inside("_b") & inside("_e"), F.col("_e")).otherwise(F.col("_b")).alias("label"))

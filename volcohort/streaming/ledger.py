@@ -50,3 +50,41 @@ def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> D
     if q.exception():
         raise q.exception()
     return stream.sparkSession.table(name)
+
+
+LEASES = "case_id long, reviewer string, at timestamp, outcome string"
+
+
+def leases(stream: DataFrame, hours: int) -> DataFrame:
+    """(case_id, reviewer, at, outcome) of claims (case_id, reviewer, ts) with a watermark: granted if the case is free, its lease
+    has run out or is the reviewer's own; else refused. When the watermark passes a lease's end it is given up: expired."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = []
+        if state.hasTimedOut:
+            holder, until = state.get
+            rows.append((key[0], holder, pd.Timestamp(until, unit="ms"), "expired"))
+            state.remove()
+        else:
+            holder, until = state.get if state.exists else (None, 0)
+            claims = pd.concat(list(batches)).sort_values(["ts", "reviewer"])
+            for who, at in zip(claims["reviewer"], claims["ts"], strict=True):
+                now = int(at.timestamp() * 1000)
+                if holder is None or now >= until or who == holder:
+                    holder, until = who, now + hours * 3_600_000
+                    rows.append((key[0], who, at, "granted"))
+                else:
+                    rows.append((key[0], who, at, "refused"))
+            state.update((holder, until))
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(rows, columns=["case_id", "reviewer", "at", "outcome"])
+
+    return stream.groupBy("case_id").applyInPandasWithState(step, LEASES, "reviewer string, until long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def watched(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """(verdict, n): running totals of verdicts over JSON files of a folder, each read once; a file whose JSON is broken counts as
+    retry."""
+    rows = spark.readStream.text(folder, wholetext=True).select(F.from_json("value", schema).alias("r"))
+    verdict = F.when(F.col("r").isNull() | F.col("r.ok").isNull(), "retry").when(F.col("r.ok"), "pass").otherwise("fail")
+    return rows.groupBy(verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
