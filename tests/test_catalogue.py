@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from volcohort.plans import reviewing
+from volcohort.plans import density
 
 DATA = "/root/testdata/sf0.001"
 
@@ -27,14 +27,14 @@ def plain(v):
     return round(float(v), 6) if hasattr(v, "as_tuple") else v
 
 
-@pytest.mark.parametrize("name", list(reviewing.QUERIES))
+@pytest.mark.parametrize("name", list(density.QUERIES))
 def test_query(spark, duck, name):
-    df = reviewing.QUERIES[name](spark, DATA)
+    df = density.QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
-    if name not in reviewing.ORACLES:
+    if name not in density.ORACLES:
         assert df.count() > 0
         return
-    rel = duck.sql(reviewing.ORACLES[name])
+    rel = duck.sql(density.ORACLES[name])
     assert sorted(rel.columns) == cols
     at = [rel.columns.index(c) for c in cols]
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)

@@ -125,3 +125,20 @@ def test_strays(spark):
     parts = voxel.components(spark.createDataFrame(cells, "case_id int, k int, j int, i int, label int"))
     assert [r.voxels for r in morphology.stray_parts(parts, 2, 0.05).collect()] == [1]
     assert voxel.without_specks(parts, 2).count() == 10
+
+
+def test_sphere_and_bright_parts(spark):
+    import math
+
+    from volcohort.operators import density
+
+    ball = [(1, k, j, i, 7) for k in range(21) for j in range(21) for i in range(21) if abs(math.dist((k, j, i), (10, 9, 11)) - 8) <= 0.6]
+    noise = [(1, 0, 0, i, 7) for i in range(12)]
+    cells = spark.createDataFrame(ball + noise, "case_id int, k int, j int, i int, label int")
+    r = density.fit_spheres(cells).first()
+    assert abs(r.k - 10) < 0.1 and abs(r.j - 9) < 0.1 and abs(r.i - 11) < 0.1 and abs(r.radius - 8) < 0.2
+    assert density.fit_spheres(cells.limit(5)).count() == 0
+    bone = spark.createDataFrame([(1, 0, 0, 0, 20), (1, 0, 0, 9, 21)], cells.schema)
+    hu = spark.createDataFrame([(1, 0, 0, i, 2500 if i in (1, 2, 30) else 0) for i in range(40)], "case_id int, k int, j int, i int, hu int")
+    got = density.bright_objects(bone, hu, least=2).collect()
+    assert [(x.voxels, x.touched) for x in got] == [(2, [20])]
