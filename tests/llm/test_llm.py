@@ -421,24 +421,65 @@ def test_numbering_is_gapless(spark):
         assert sorted(r.n for r in got if r.g == g) == list(range(sum(r.g == g for r in got)))
 
 
+def word_set(t: str | None) -> set:
+    w = bytes_of(t).lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def leaks_item(t: str | None, item: str) -> bool:
+    """Whether a window of the text as long as the item is similar enough, by trying all."""
+    w, x = (t or "").lower().split(), item.lower().split()
+    sh = lambda y: Counter(tuple(y[i : i + 5]) for i in range(len(y) - 4))
+    b = sh(x)
+    return any(sum((sh(w[p : p + len(x)]) & b).values()) >= 0.8 * sum((sh(w[p : p + len(x)]) | b).values()) for p in range(max(1, len(w) - len(x) + 1)) if w)
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_keep_one_of_repeated_rows(spark, repeat):
+    rows = [(i, f"text number {i} " + " ".join(f"w{i}x{j}" for j in range(30)), "en", "s", 1, 1) for i in range(6)]
+    rows += [(7, rows[2][1], "en", "s", 1, 1), (None, rows[3][1], "en", "s", 1, 1), (None, "alone " * 30, "en", "s", 1, 1)]
+    df = spark.createDataFrame(rows + (rows[:3] if repeat else []), SCHEMA)
+    for keep in (similar.keep_one, simhash.keep_one):
+        assert sorted(map(str, (r.doc_id for r in keep(df).collect()))) == sorted(map(str, [*range(6), None, None]))
+
+
 def test_pipeline(spark, tmp_path):
+    """Each stage by brute force on what it is given."""
     import corpus_pipeline
 
-    rows = make(11, 80)
-    spark.createDataFrame(rows, SCHEMA).drop("fp").write.parquet(str(tmp_path / "documents.parquet"))
-    item = next(r[1] for r in rows if 100 < len((r[1] or "").split()) < 1000)
-    bench = [(1, " ".join(item.split()[10:40]))]
-    spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rng = random.Random(11)
+    rows = [r[:5] for r in make(11, 60)]
+    for g in range(12):
+        words = [f"v{rng.randrange(500)}" for _ in range(rng.randint(60, 200))]
+        for share in (0, 0.008, 0.1):
+            rows.append((1000 + len(rows), " ".join(edited(rng, words, share)), "en", "s", 1))
+    fresh = [f"z{i}" for i in range(80)]
+    rows.append((5000, " ".join([*(f"y{i}" for i in range(50)), *fresh, *(f"y{i}" for i in range(50, 90))]), "en", "s", 1))
+    item = " ".join([*fresh[:12], "other", *fresh[13:]])
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     columns = docs.columns
     for i, (_, work) in enumerate(corpus_pipeline.STAGES[:-1]):
         after = storage.stage(work(spark, docs, str(tmp_path)), f"s{i}")
         assert after.columns == columns
-        before = {r.doc_id: r.text for r in docs.collect()}
-        kept = {r.doc_id: r.text for r in after.collect()}
-        assert kept.keys() <= before.keys()
-        if i != 2:
+        before, kept = ({r.doc_id: r.text for r in d.collect()} for d in (docs, after))
+        if i == 0:
+            assert kept.keys() == {r.doc_id for r in quality_rules.measure(docs).collect() if r.kept}
+        if i == 1:
+            sets = {d: word_set(t) for d, t in before.items()}
+            name = {d: d for d in sets}
+            for _ in range(4):
+                name = {a: min(name[b] for b in sets if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])) for a in sets}
+            assert kept.keys() == set(name.values()) and len(kept) < len(before)
+        if i == 2:
+            gone = covered(list(before.items()), lambda t: bytes_of(t).split(), 20, False)
+            assert kept.keys() == before.keys() and any(g.any() for g in gone.values())
+            assert all(bytes_of(kept[d]).split() == [w for w, g in zip(bytes_of(t).split(), gone[d], strict=True) if not g] for d, t in before.items())
+        else:
             assert all(before[d] == kept[d] for d in kept)
+        if i == 3:
+            assert kept.keys() == {d for d, t in before.items() if not leaks_item(t, item)} and 5000 not in kept
         docs = after
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == set(kept) and sum(r.n_tokens for r in got) == sum(len((t or "").split()) for t in kept.values())

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from volcohort.llm.components import components
 from volcohort.llm.storage import stage
-from volcohort.llm.text import boxed, unboxed
+from volcohort.llm.text import boxed, one_each, unboxed
 
 SEED = 42
 RADIUS = 3
@@ -173,6 +173,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFr
 
 
 def keep_one(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
-    """The documents of smallest doc_id of each component, with the columns they came with."""
-    found = near_duplicates(docs, k, radius).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return unboxed(boxed(docs, "doc_id").join(found, F.col("doc_id") == F.col("_keep")), docs)
+    """One row of the smallest doc_id of each component, with the columns it came with; a repeated row stays once."""
+    named = stage(near_duplicates(docs, k, radius).where("doc_id <=> component_id").select("doc_id"), "kept")
+    keep = named.distinct().select(F.col("doc_id").alias("_keep"))
+    kept = boxed(docs, "doc_id").join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")))
+    return unboxed(one_each(kept, "doc_id", named), docs)

@@ -33,6 +33,16 @@ def unboxed(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
     return df.select(*[changed.get(c, F.col("row_in")[c]).alias(c) for c in like.columns])
 
 
+def one_each(df: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """One row of each `key` that isn't null; counts: (key) of all rows, without the wide columns. Only rows whose key repeats are
+    shuffled."""
+    many = counts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_many")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_many")
+    if many.isEmpty():
+        return df
+    again = df.join(many, F.col(key).eqNullSafe(F.col("_many")), "left_semi").dropDuplicates([key])
+    return df.join(many, F.col(key).eqNullSafe(F.col("_many")), "left_anti").union(again)
+
+
 def _joined(col: str, offset: int):
     return lambda x, i: F.xxhash64(x, F.get(col, i + offset))
 
