@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.llm.storage import shared_dir
+from volcohort.llm.storage import shared_dir, stage
 from volcohort.llm.text import text_of
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,7 @@ CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 #: Bytes of text that are encoded in one call.
 CALL_BYTES = 1 << 20
 ARROW_ROWS = 2000
+HOT = 1000
 
 
 def tokenizer_path(name: str) -> str:
@@ -97,11 +98,20 @@ def count_tokens(docs: DataFrame, name: str = TOKENIZER, cache: str | None = Non
     stored = read_cache(spark, cache).where(F.col("version") == version).select("digest", "n_tokens").dropDuplicates(["digest"])
     # The document of each text that isn't stored; copies are gathered by digest, without their texts, and the texts are
     # then shuffled by document: a text with many copies brings one row.
-    first = held.groupBy("digest").agg(F.min(F.struct("doc_id")).alias("f")).join(stored, "digest", "left_anti")
-    first = first.select(F.col("digest").alias("_d"), F.col("f.doc_id").alias("_id"))
+    groups = stage(held.groupBy("digest").agg(F.min(F.struct("doc_id")).alias("f"), F.count(F.lit(1)).alias("n")), "token-digests")
+    first = groups.join(stored, "digest", "left_anti").select(F.col("digest").alias("_d"), F.col("f.doc_id").alias("_id"))
     misses = held.join(first, (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("digest", "text")
     added = _encoded(misses, name).select("digest", F.lit(version).alias("version"), "n_tokens")
     added.write.mode("append").option("compression", "zstd").parquet(cache)
     counts = read_cache(spark, cache).where(F.col("version") == version).groupBy("digest").agg(F.first("n_tokens").alias("n_tokens"))
+    # Texts with more than one in HOT of all rows, fewer than HOT of them, are looked up by broadcast; their rows then join
+    # by keys of their own that match nothing, so no task gets all copies of a text.
+    total = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = groups.where(F.col("n") * HOT > total).select("digest").join(counts, "digest")
+    hot = F.broadcast(hot.select(F.col("digest").alias("_hot"), F.col("n_tokens").alias("_n")))
     out = held.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "digest")
-    return out.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+    out = out.join(hot, F.col("digest") == F.col("_hot"), "left")
+    key = F.when(F.col("_hot").isNull(), F.col("digest")).otherwise(F.concat("digest", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+    out = out.withColumn("_key", key).join(counts.withColumnRenamed("digest", "_of"), F.col("_key") == F.col("_of"), "left")
+    n = F.coalesce("_n", "n_tokens")
+    return out.select("doc_id", "n_bytes", n.alias("n_tokens"), (n > LIMIT).alias("over_limit"))
