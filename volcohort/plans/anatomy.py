@@ -125,7 +125,7 @@ def review_violations(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.size(review.violations(decision, sha, changed)).cast("long").alias("n"))
 
 
-@query("""select s_suppkey, round(sqrt(pow(s_suppkey % 7, 2) + pow(s_nationkey, 2) + pow(s_suppkey % 3, 2)), 6) dist, s_suppkey % 4 <> 0 valid, case when s_suppkey % 4 = 0 then 0.0 else 2.0 * (s_suppkey % 4) * 3.0 end det from supplier""")
+@query("""select s_suppkey, round(sqrt(pow(s_suppkey % 7, 2) + pow(s_nationkey, 2) + pow(s_suppkey % 3, 2)), 6) dist, s_suppkey % 4 <> 0 valid, cast(6 * (s_suppkey % 4) as double) det from supplier""")
 def affine_checks(spark, sf_dir):
     k = F.col("s_suppkey")
     num = lambda x: F.lit(x).cast("double") if not hasattr(x, "cast") else x.cast("double")

@@ -65,7 +65,7 @@ def qc_merge(spark, sf_dir):
     return m.select("k", F.col("flag_mixing").alias("fm"), F.col("flag_leak").alias("fl"), F.col("flag_structure").alias("fs"), "n_flags", "needs_review", severity.alias("severity"))
 
 
-@query(f"""with {BASE_SQL} select sum(fm) mixing, sum(fl) leak, sum(fs) structure, count(*) cases, sum(case when fm + fl + fs > 0 then 1 else 0 end) flagged from merged""")
+@query(f"""with {BASE_SQL} select cast(sum(fm) as bigint) mixing, cast(sum(fl) as bigint) leak, cast(sum(fs) as bigint) structure, count(*) cases, cast(sum(case when fm + fl + fs > 0 then 1 else 0 end) as bigint) flagged from merged""")
 def qc_flag_rates(spark, sf_dir):
     m = qc.merge_checks(["k"], _checks(spark, sf_dir))
     return m.agg(F.sum("flag_mixing").alias("mixing"), F.sum("flag_leak").alias("leak"), F.sum("flag_structure").alias("structure"), F.count(F.lit(1)).alias("cases"), F.sum("needs_review").alias("flagged"))
@@ -83,7 +83,7 @@ def tukey_fences(spark, sf_dir):
     return stats.tukey(table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_extendedprice").withColumns({"lo": F.round("lo", 6), "hi": F.round("hi", 6)})
 
 
-@query("""select l_orderkey, l_linenumber, flags, case when flags = '' then 0 else len(string_split(flags, ';')) end n_flags, score from (
+@query("""select l_orderkey, l_linenumber, flags, cast(case when flags = '' then 0 else len(string_split(flags, ';')) end as int) n_flags, score from (
   select l_orderkey, l_linenumber, concat_ws(';', case when l_quantity > 45 then 'bulk' end, case when l_discount >= 0.09 then 'cheap' end, case when l_tax > 0.07 then 'taxed' end) flags,
   round(case when l_quantity > 45 then 3.0 else 0 end + case when l_discount >= 0.09 then l_discount * 4 else 0 end + case when l_tax > 0.07 then 1.5 else 0 end, 2) score from lineitem)""")
 def triage_score(spark, sf_dir):
@@ -479,7 +479,7 @@ def changed_box(spark, sf_dir):
 
 
 @query(f"""with {VOXEL_SQL}, m as (select o.c, o.l o, a.l x, b.l y from O o join A a on a.c = o.c and a.k = o.k and a.j = o.j and a.i = o.i join B b on b.c = o.c and b.k = o.k and b.j = o.j and b.i = o.i where o.l <> 0 or a.l <> 0 or b.l <> 0)
-  select cast(c as int) case_id, case when x = y then 'agree' when y = o then 'only_a' when x = o then 'only_b' else 'conflict' end state, count(*) n, sum(case when x = y then x when y = o then x when x = o then y end) labels from m group by 1, 2""")
+  select cast(c as int) case_id, case when x = y then 'agree' when y = o then 'only_a' when x = o then 'only_b' else 'conflict' end state, count(*) n, cast(sum(case when x = y then x when y = o then x when x = o then y end) as bigint) labels from m group by 1, 2""")
 def three_way_merge(spark, sf_dir):
     m = voxel.three_way(_voxels(spark, 3, 9, 8), _voxels(spark, 3, 8), _voxels(spark, 4, 9))
     return m.groupBy("case_id", "state").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("labels"))
@@ -566,7 +566,7 @@ def reviewer_stats(spark, sf_dir):
     return ledger.reviewer_stats(_log(spark, sf_dir).where("kind = 'submit'").withColumn("passed", F.col("value") > 50))
 
 
-@query(f"""with {LEDGER_SQL}, s as (select c, slot, sum(cast(floor(v) as bigint)) changed from log where kind = 'submit' group by c, slot), r as (select *, row_number() over (partition by c order by changed, slot) r from s) select c case_id, slot, changed from r where r = 1""")
+@query(f"""with {LEDGER_SQL}, s as (select c, slot, sum(cast(floor(v) as bigint)) changed from log where kind = 'submit' group by c, slot), r as (select *, row_number() over (partition by c order by changed, slot) r from s) select c case_id, slot, cast(changed as bigint) changed from r where r = 1""")
 def finalize_pick(spark, sf_dir):
     s = _log(spark, sf_dir).where("kind = 'submit'").groupBy("case_id", "slot").agg(F.sum(F.floor("value")).alias("changed"))
     return ledger.final_pick(s)
@@ -625,7 +625,7 @@ def modal_offset(spark, sf_dir):
     return g.select("p", (-F.col("m.t")).alias("modal"), F.col("m.n").alias("n"), F.round(F.col("m.n") / F.col("total"), 6).alias("share"))
 
 
-@query("""select o_custkey, visit, o_orderkey from (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) visit from orders)""")
+@query("""select o_custkey, cast(visit as int) visit, o_orderkey from (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) visit from orders)""")
 def visit_index(spark, sf_dir):
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     return table(spark, sf_dir, "orders").select("o_custkey", F.row_number().over(w).alias("visit"), "o_orderkey")

@@ -40,7 +40,7 @@ def slice_profile(spark, sf_dir):
     return p.select("case_id", "label", F.col("k0").cast("long").alias("k0"), F.col("k1").cast("long").alias("k1"), "slices")
 
 
-@query(f"""with {VOXEL_SQL}, e as (select a.c, a.k, a.j, a.i from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where (a.l = 21) <> (b.l = 21)) select cast(c as int) case_id, count(*) errors, count(*) near, 1.0 share from e group by c""")
+@query(f"""with {VOXEL_SQL}, e as (select a.c, a.k, a.j, a.i from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where (a.l = 21) <> (b.l = 21)) select cast(c as int) case_id, count(*) errors, count(*) near, cast(1 as double) share from e group by c""")
 def boundary_errors(spark, sf_dir):
     return density.boundary_share(_voxels(spark, 3, 8), _voxels(spark, 4, 9), 21)
 
@@ -51,7 +51,7 @@ def longest_extent(spark, sf_dir):
     return density.longest_extent(_voxels(spark, 3, 8))
 
 
-@query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", round(avg(k), 6) k, round(avg(j), 6) j, round(avg(i), 6) i, 1.0 along_k from A where l <> 0 and k < 3 group by c, l""")
+@query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", round(avg(k), 6) k, round(avg(j), 6) j, round(avg(i), 6) i, cast(1 as double) along_k from A where l <> 0 and k < 3 group by c, l""")
 def fitted_planes(spark, sf_dir):
     p = density.planes(_voxels(spark, 3, 8).where("label <> 0 and k < 3"))
     at = lambda c, n: F.round(F.get(F.col(c), F.lit(n)), 6)
@@ -68,6 +68,6 @@ def bright_objects(spark, sf_dir):
     return density.bright_objects(_voxels(spark, 3, 8), _hu(spark), 200, 2, 10).select("case_id", F.array_join(F.transform("touched", lambda x: x.cast("string")), ",").alias("touched"), "voxels")
 
 
-@query(f"select status, count(*) n, sum(n_done) submitted from ({ORACLES['ledger_status']}) group by status")
+@query(f"select status, count(*) n, cast(sum(n_done) as bigint) submitted from ({ORACLES['ledger_status']}) group by status")
 def status_summary(spark, sf_dir):
     return ledger_status(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("n_done").alias("submitted"))
