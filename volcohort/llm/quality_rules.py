@@ -28,6 +28,10 @@ COMMON_WORDS = {
 #: Production parameters. Distances above these reject; texts below the lengths aren't judged.
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
+#: For filters: a text with fewer common words than its reference goes if the distance of the two shares is above the first value
+#: and the second over the root of its words, the noise of a sample.
+MAX_SHARE_DISTANCE = 0.1
+SHARE_NOISE = 1.2
 MIN_BYTES = 200
 MIN_WORDS = 40
 #: Upper-case, digit and mark characters, further bytes of characters past ASCII, and all other bytes.
@@ -87,7 +91,7 @@ def _histograms(df: DataFrame) -> DataFrame:
     out = out.withColumn("_k", F.when((F.col("_na") >= MIN_WORDS) & F.col("_list").isNotNull(), counts))
     used = F.aggregate("_k", F.lit(0.0), lambda a, x: a + x)
     out = out.withColumn("_common", F.transform(F.concat("_k", F.array(F.col("_na") - used)), lambda x: x / F.col("_na")))
-    return out.drop("_n", "_upper", "_digit", "_marks", "_far", "_list", "_a", "_na", "_c", "_k")
+    return out.drop("_n", "_upper", "_digit", "_marks", "_far", "_list", "_a", "_c", "_k")
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -114,8 +118,16 @@ def references(docs: DataFrame) -> DataFrame:
     )
 
 
-def apply_rules(docs: DataFrame) -> DataFrame:
-    """`docs` (text, lang and any other columns) with the counts, the distances, base_failed and kept."""
+def _few_common() -> Column:
+    """Whether a text holds too few common words: their share against all others, as rare words each weigh next to nothing."""
+    rest, ref = F.element_at("_common", -1), F.element_at("ref_common", -1)
+    far = distance(F.array(1 - rest, rest), F.array(1 - ref, ref)) > MAX_SHARE_DISTANCE + SHARE_NOISE / F.sqrt("_na")
+    return F.coalesce((rest > ref) & far, F.lit(False))
+
+
+def apply_rules(docs: DataFrame, shares: bool = False) -> DataFrame:
+    """`docs` (text, lang and any other columns) with the counts, the distances, base_failed and kept; shares: `kept` also asks
+    for the share of common words."""
     ref = stage(references(docs), "quality-references")
     ref = F.broadcast(ref) if ref.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS else ref
     out = _repeats(_base(docs)).drop("_w")
@@ -126,8 +138,9 @@ def apply_rules(docs: DataFrame) -> DataFrame:
         "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
     })
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
+    far = far | _few_common() if shares else far
     # A generator between: a filter on `kept` would else be pushed down with every expression copied into it, many times over.
-    return out.withColumn("kept", F.explode(F.array(~F.col("base_failed") & ~far))).drop("_t", "_classes", "_common", "ref_lang", "ref_classes", "ref_common")
+    return out.withColumn("kept", F.explode(F.array(~F.col("base_failed") & ~far))).drop("_t", "_classes", "_common", "_na", "ref_lang", "ref_classes", "ref_common")
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -136,5 +149,5 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with the columns they came with."""
-    return unboxed(apply_rules(boxed(docs, "text", "lang")).where("kept"), docs)
+    """The documents that the rules and the share of common words keep, with the columns they came with."""
+    return unboxed(apply_rules(boxed(docs, "text", "lang"), shares=True).where("kept"), docs)
