@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
-from volcohort.llm import quality_rules
+import pytest
+
+from volcohort.llm import quality_rules, similar
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long"
 
@@ -19,3 +21,32 @@ def test_texts_without_common_words_go(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in enumerate(good + bad)], SCHEMA)
     assert all(r.word_distance < quality_rules.MAX_WORD_DISTANCE for r in quality_rules.measure(df).collect())
     assert {r.doc_id for r in quality_rules.filter_documents(df).collect()} == set(range(60))
+
+
+def groups(texts: list[str]) -> list[int]:
+    """The smallest place that links of similarity 0.8 reach, by trying all pairs."""
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    link = [[b for b in range(len(sets)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])] for a in range(len(sets))]
+    name, before = list(range(len(sets))), None
+    while name != before:
+        name, before = [min(name[b] for b in near) for near in link], name
+    return name
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_long_lists_lose_no_link(spark, monkeypatch, block):
+    """Texts around one shared passage: in one long list, with links of just 0.8 beside nearer fingerprints that fail."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(109)]
+    texts = []
+    for _ in range(50):
+        own = [f"q{rng.randrange(10**6)}" for _ in range(14)]
+        texts += [" ".join([*passage, *own[:n], *(f"r{rng.randrange(10**6)}" for _ in range(14 - n))]) for n in (0, 4, 8)]
+    monkeypatch.setattr(similar, "BLOCK", block)
+    df = spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    want = dict(enumerate(groups(texts)))
+    assert len(set(want.values())) == 100
+    assert {r.doc_id: r.component_id for r in similar.near_duplicates(df).collect()} == want

@@ -11,6 +11,10 @@ similarity about a tenth of the bits differ:
    brings all its pairs: these links are those that single linkage would use, and a text has a chance in every list that
    it is in. Lists are cut into blocks, so a task never holds more than two of them.
 3. The links are verified on the shingles, and components are taken of those that hold.
+4. What these miss comes from an index that misses nothing. All shingles have one order, those of few texts first by a table of
+   counts of bounded size (it decides the work, never the result). Two sets of THRESHOLD share a shingle among the first fifth of
+   both, so postings are keyed by these. In each list all pairs of different components whose sizes and places allow THRESHOLD
+   are verified as well, and components are taken of all links.
 
 Nulls: a null text is an empty one; texts without words are copies of each other. Repeated rows are copies. Rows with a null
 doc_id can't be told apart: `keep_one` keeps them all if a group has no other doc_id, else none.
@@ -18,6 +22,8 @@ doc_id can't be told apart: `keep_one` keeps them all if a group has no other do
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -41,6 +47,11 @@ RADIUS = 30
 MATCHES = 3
 BLOCK = 2048
 SMALL = 32
+#: Bits of the table that counts shingles, and cells in a piece of it.
+COUNTED = 20
+PIECE = 1 << 16
+#: Pairs in a batch of rows.
+MANY = 1 << 20
 PAIRS = [c for half in (range(8), range(8, 16)) for c in combinations(half, 2)]
 
 
@@ -185,6 +196,100 @@ def _shingled(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, names binary")
 
 
+def _levels(docs: DataFrame) -> np.ndarray:
+    """A step for each cell of the table of counts: quarters of a doubling of the shingles that texts have in it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << COUNTED, np.uint32)
+        for b in batches:
+            for t in b.column("text"):
+                np.add.at(cells, (np.unique(_names(_words(t.as_py()), SHINGLE)) >> np.uint64(64 - COUNTED)).astype(np.int64), 1)
+        pieces = [p for p in range(len(cells) // PIECE) if cells[p * PIECE : (p + 1) * PIECE].any()]
+        held = pa.array([cells[p * PIECE : (p + 1) * PIECE].tobytes() for p in pieces], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), held], names=["piece", "cells"])
+
+    def add(found: pa.Table) -> pa.Table:
+        total = np.zeros(PIECE, np.int64)
+        for x in found.column("cells"):
+            total += np.frombuffer(x.as_py(), np.uint32)
+        steps = (4 * np.log2(1 + total)).astype(np.uint8)
+        return pa.table({"piece": found.column("piece").slice(0, 1), "steps": pa.array([steps.tobytes()], pa.binary())})
+
+    out = np.zeros(1 << COUNTED, np.uint8)
+    for r in docs.select("text").mapInArrow(count, "piece int, cells binary").groupBy("piece").applyInArrow(add, "piece int, steps binary").collect():
+        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["steps"], np.uint8)
+    return out
+
+
+def _prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
+    """(doc_id, size, first): how many shingles a text has, and those of which any similar text shares one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, first = [], []
+            for t in b.column("text"):
+                names = np.unique(_names(_words(t.as_py()), SHINGLE))
+                n = len(names)
+                order = np.argsort(levels[(names >> np.uint64(64 - COUNTED)).astype(np.int64)], kind="stable")
+                sizes.append(n)
+                first.append(names[order[: n - math.ceil(THRESHOLD * n - 1e-9) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.list_(pa.int64()))], names=["doc_id", "size", "first"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, size long, first array<long>")
+
+
+def _across(g: np.ndarray, doc: np.ndarray, comp: np.ndarray, size: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of different components in all lists (rows with one g, by size) that may be similar."""
+    rows, held, have = np.arange(len(g)), [], 0
+    for d in range(1, len(g)):
+        rows = rows[rows + d < len(g)]
+        far = rows + d
+        rows = rows[(g[rows] == g[far]) & (THRESHOLD * size[far] <= size[rows] + 1e-6)]
+        if not len(rows):
+            break
+        far = rows + d
+        most = np.minimum(size[rows] - at[rows], size[far] - at[far])  # in the list of their first common shingle
+        maybe = (comp[rows] != comp[far]) & ((1 + THRESHOLD) * most >= THRESHOLD * (size[rows] + size[far]) - 1e-6)
+        held.append((doc[rows[maybe]], doc[far[maybe]]))
+        have += int(maybe.sum())
+        if have > MANY:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, have = [], 0
+    if have:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def _missed(prefixes: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b): distinct pairs of texts of different components that share a first shingle and may be similar.
+
+    prefixes: as `_prefixes`; heads: (doc_id, comp) of the texts.
+    """
+    texts = prefixes.join(heads, "doc_id").select("doc_id", "comp", "size", "first")
+    texts = stage(texts, "first-shingles")
+    keyed = texts.select("doc_id", "comp", "size", F.posexplode("first").alias("at", "key"))
+    lists = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    lists = small(stage(lists.select(F.col("key").alias("_key"), F.ceil(F.col("n") / BLOCK).cast("long").alias("parts")), "first-lists"))
+    held = keyed.join(lists, F.col("key") == F.col("_key"))
+    # A long list is cut into parts; each pair of parts meets in one group.
+    part, other = F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    held = held.select("doc_id", "comp", "size", F.col("at").cast("long").alias("at"), "key", part.alias("part"), F.explode(other).alias("other"))
+    held = held.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("g"), "doc_id", "comp", "size", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.empty(0, np.int64)] * 5
+        for b in itertools.chain(batches, [None]):
+            have = rest if b is None else [np.concatenate([x, b.column(i).to_numpy()]) for i, x in enumerate(rest)]
+            if not len(have[0]):
+                continue
+            last = len(have[0]) if b is None else int(np.flatnonzero(have[0] == have[0][-1])[0])  # the list that may go on
+            for x, y in _across(*(h[:last] for h in have)):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+            rest = [h[last:] for h in have]
+
+    found = held.repartition(F.col("g")).sortWithinPartitions("g", "size").mapInArrow(run, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     """(a, b) of the pairs whose shingles reach THRESHOLD."""
     x = shingled.select(F.col("doc_id").alias("a"), F.col("names").alias("x"))
@@ -202,17 +307,26 @@ def _verified(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b) of the staged pairs that hold on the shingles, staged."""
+    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "wide-nodes")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(nodes), F.col("doc_id") == F.col("_id")).select("doc_id", "text")
+    shingled = stage(_shingled(texts).dropDuplicates(["doc_id"]), "wide-shingles")
+    return stage(_verified(pairs, shingled), "wide-verified")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id) for every row of `docs`: the smallest doc_id that verified links reach."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4000)
     fps = stage(_fingerprints(docs), "wide-simhash")
     least = F.min("doc_id")
     groups = stage(fps.groupBy("d1", "d2").agg(least.alias("doc_id"), F.first("f0").alias("f0"), F.first("f1").alias("f1")), "wide-texts")
-    pairs = stage(_candidates(groups.where("doc_id is not null").select("doc_id", "f0", "f1")), "wide-links")
-    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "wide-nodes")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small(nodes), F.col("doc_id") == F.col("_id")).select("doc_id", "text")
-    shingled = stage(_shingled(texts).dropDuplicates(["doc_id"]), "wide-shingles")
-    named = components(stage(_verified(pairs, shingled), "wide-verified"))
+    texts = groups.where("doc_id is not null")
+    links = _links(docs, stage(_candidates(texts.select("doc_id", "f0", "f1")), "wide-links"))
+    named = components(links).select(F.col("node").alias("_node"), "component")
+    heads = texts.join(named, F.col("doc_id") == F.col("_node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"))
+    prefixes = stage(_prefixes(docs, _levels(docs)), "wide-prefixes")
+    named = components(links.union(_links(docs, stage(_missed(prefixes, heads), "first-links"))))
     of = groups.join(named, groups["doc_id"] == named["node"], "left")
     of = of.select(F.col("d1").alias("_1"), F.col("d2").alias("_2"), F.coalesce("component", "doc_id").alias("component_id"))
     return fps.join(of, (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2"))).select("doc_id", "component_id")
