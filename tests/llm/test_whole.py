@@ -50,3 +50,21 @@ def test_long_lists_lose_no_link(spark, monkeypatch, block):
     want = dict(enumerate(groups(texts)))
     assert len(set(want.values())) == 100
     assert {r.doc_id: r.component_id for r in similar.near_duplicates(df).collect()} == want
+
+
+def test_weak_links_are_found(spark):
+    """Pairs just above a similarity of 0.8, by words appended or a block replaced: few positional bytes agree."""
+    rng = random.Random(22)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    texts = []
+    for n in (24, 60, 240):
+        for _ in range(40):
+            words, changed = fresh(n), int(0.09 * n) - 2
+            at = rng.randrange(5, n - changed - 5)
+            texts += [" ".join(words), " ".join(words + fresh(int(0.23 * (n - 4))))]
+            words = fresh(n)
+            texts += [" ".join(words), " ".join([*words[:at], *fresh(changed), *words[at + changed :]])]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    want = dict(enumerate(groups(texts)))
+    assert sum(a != b for a, b in want.items()) > 150
+    assert {r.doc_id: r.component_id for r in similar.near_duplicates(df).collect()} == want
