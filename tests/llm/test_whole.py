@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from volcohort.llm import quality_rules, similar
+from volcohort.llm import quality_rules, similar, substring_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long"
 
@@ -68,3 +68,11 @@ def test_weak_links_are_found(spark):
     want = dict(enumerate(groups(texts)))
     assert sum(a != b for a, b in want.items()) > 150
     assert {r.doc_id: r.component_id for r in similar.near_duplicates(df).collect()} == want
+
+
+def test_odd_white_space_is_kept(spark):
+    """Only blank and 0x09 to 0x0D part words; other white space is part of them."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(1, passage), (2, f"\u00a0first {passage} last\u3000"), (3, f"\x1c {passage} \x85")]
+    out = substring_dedup.strip_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in out} == {1: passage, 2: "\u00a0first last\u3000", 3: "\x1c \x85"}

@@ -189,7 +189,8 @@ def strip_documents(docs: DataFrame) -> DataFrame:
             a, b = word_bounds(np.frombuffer(data, np.uint8), np.array([0]))
             gone = _gone(len(a), s)
             before = np.concatenate([[0], b[:-1]])
-            return b"".join(data[x:y] for x, y, g in zip(before.tolist(), b.tolist(), gone.tolist(), strict=True) if not g).decode("utf-8", "surrogatepass").strip()
+            kept = b"".join(data[x:y] for x, y, g in zip(before.tolist(), b.tolist(), gone.tolist(), strict=True) if not g)
+            return kept.strip(b" \t\n\x0b\x0c\r").decode("utf-8", "surrogatepass")
 
         return text.combine(packed, one)
 
