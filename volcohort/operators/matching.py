@@ -15,6 +15,13 @@ def cascade(left: DataFrame, right: DataFrame, on: list[str], key: str, tiers: l
     return out.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*rank)))
 
 
+def first_candidate(pairs: DataFrame, keys: list[str], tiers: list[Column], rank: list[Column], keep: list[str]) -> DataFrame:
+    """keys, tier, keep: the row of `cascade` with rank 1, by a partial aggregate before the shuffle instead of windows."""
+    tier = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(tiers)], F.lit(len(tiers)))
+    ranked = F.struct(tier.alias("tier"), *[c.alias(f"_{i}") for i, c in enumerate(rank)], *keep)
+    return pairs.groupBy(*keys).agg(F.min(ranked).alias("_b")).select(*keys, "_b.tier", *[F.col("_b")[c].alias(c) for c in keep])
+
+
 def best_by(df: DataFrame, keys: list[str], value: str, tie: str, keep: list[str]) -> DataFrame:
     """The row of the greatest value of each key; ties go to the smallest `tie` (numeric)."""
     return df.groupBy(*keys).agg(F.max_by(F.struct(*keep), F.struct(F.col(value), -F.col(tie))).alias("_b")).select(*keys, "_b.*")

@@ -170,14 +170,26 @@ def transition_calls(spark, sf_dir):
   select ok, ln, tier, sk, xo, xl from r where rank = 1""")
 def candidate_cascade(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    a = li.where("l_orderkey % 10 = 1").select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("os"), F.col("l_quantity").alias("oq"), "l_partkey", F.struct("l_orderkey", "l_linenumber").alias("id"))
+    pairs, tiers, rank = _line_pairs(li.where("l_orderkey % 10 = 1"), li)
+    out = matching.cascade(pairs.select("id", "ok", "ln", "os", "oq", "xo", "xl", "sk", "xq"), pairs.select("id").distinct(), ["id"], "id", tiers, rank)
+    return out.where("rank = 1").select("ok", "ln", "tier", "sk", "xo", "xl")
+
+
+@query()
+def candidate_cascade_all(spark, sf_dir):
+    """All lines as the side to match; a test holds it against brute force."""
+    li = table(spark, sf_dir, "lineitem")
+    pairs, tiers, rank = _line_pairs(li, li)
+    return matching.first_candidate(pairs, ["ok", "ln"], tiers, rank, ["sk", "xo", "xl"]).select("ok", "ln", "tier", "sk", "xo", "xl")
+
+
+def _line_pairs(left, li):
+    """Pairs of lines of the same part, the tiers of a cascade and its rank."""
+    a = left.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("os"), F.col("l_quantity").alias("oq"), "l_partkey", F.struct("l_orderkey", "l_linenumber").alias("id"))
     b = li.select(F.col("l_orderkey").alias("xo"), F.col("l_linenumber").alias("xl"), F.col("l_suppkey").alias("sk"), F.col("l_quantity").alias("xq"), "l_partkey")
     dq = F.abs(F.col("oq") - F.col("xq"))
-    tiers = [F.col("os") == F.col("sk"), dq == 0, dq <= 5]
     itself = (F.col("ok") == F.col("xo")) & (F.col("ln") == F.col("xl"))
-    pairs = a.join(b, "l_partkey").where(~itself)
-    out = matching.cascade(pairs.select("id", "ok", "ln", "os", "oq", "xo", "xl", "sk", "xq"), pairs.select("id").distinct(), ["id"], "id", tiers, [dq, F.col("sk"), F.col("xo"), F.col("xl")])
-    return out.where("rank = 1").select("ok", "ln", "tier", "sk", "xo", "xl")
+    return a.join(b, "l_partkey").where(~itself), [F.col("os") == F.col("sk"), dq == 0, dq <= 5], [dq, F.col("sk"), F.col("xo"), F.col("xl")]
 
 
 FUSION_SQL = """with b as (select l_orderkey k, l_returnflag f, l_suppkey s, row_number() over (partition by l_orderkey, l_returnflag order by l_extendedprice desc, l_linenumber) r from lineitem),
