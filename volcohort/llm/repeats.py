@@ -1,17 +1,16 @@
-"""Exact repeats of fixed length across documents, shared by the byte and the word operator.
+"""Exact repeats of fixed length across documents, in rounds of Spark: shared by the byte and the word operator.
 
-A document is a row of symbols; a window is L symbols from a start. Each window picks an anchor inside itself by its
-content alone, so equal windows pick equal anchors. Consecutive windows with one anchor are a *run*, one row for about a
-dozen windows: (name of the anchor, context = name of all symbols the run covers, document, first window, further windows).
+A document is a row of symbols; a window is L symbols from a start. A round gives each window that is still open a name that
+equal windows share, and hands Spark one row for each stretch of neighbouring windows with one name: (name, check, document,
+first window, further windows). Spark brings equal names together. There are two kinds of rounds:
 
-Runs are shuffled by name. Runs of one name and context are equal: all but the first are covered. A name with one context
-only is settled. Other runs stay open, as some of their windows may be shared: they are cut into shorter runs, at fixed
-distances from the anchor, named by all symbols that their windows have in common, and shuffled in the same way, down to
-single windows.
+* a *filter* drops the windows whose name occurs in one place only: they can't repeat. It covers nothing by itself;
+* a *decision* compares names and checks (80 bits at least in all): all but the first of equal stretches are covered. Stretches
+  of one name but several checks stay open for the next round, which takes shorter ones, down to single windows.
 
-Copies within a batch are settled before the shuffle, so a hot name brings at most one row from each batch. Rows travel in
-blocks of columns, several thousand to a block, to keep the shuffle a small multiple of the text. A name has 64 bits and a context 48: two runs
-count as equal if all 112 agree.
+What is left open returns to the documents as ranges of windows. Copies within a batch are settled before the shuffle, so a
+hot name brings at most one row from each batch. Rows travel in blocks of columns, several thousand to a block, to keep the
+shuffle a small multiple of the text.
 """
 
 from __future__ import annotations
@@ -23,17 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.llm.storage import small, stage
+from volcohort.llm.storage import arrow_rows, drop, release, small, stage
 
-#: kind: 0 runs, 1 covered ranges.
+RUN, COVERED, OPEN = 0, 1, 2
 BLOCK = "bucket int, kind int, name binary, ctx binary, doc binary, at binary, more binary"
 TYPES = {"name": np.uint64, "ctx": np.uint64, "doc": np.int64, "at": np.uint32, "more": np.uint32}
 #: Bytes of text that are worked on at once.
 CHUNK = 1 << 18
-#: Documents in an Arrow batch; a batch is held in memory.
-ARROW_ROWS = 4000
-#: Bytes of text for each bucket, at least.
-BUCKET_BYTES = 2 << 20
+#: Documents in an Arrow batch.
+ARROW_ROWS = 2000
+#: Stretches of windows that a task holds before it hands them on.
+FLUSH = 1 << 20
+#: Bytes of text for each bucket: what a task holds at once doesn't grow with the input.
+BUCKET_BYTES = 4 << 20
 NO_ID = -(1 << 63)
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -75,10 +76,9 @@ def _blocks(kind: int, bucket: np.ndarray, c: Columns) -> pa.RecordBatch:
     bucket, c = bucket[order], {n: x[order] for n, x in c.items()}
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]).tolist()
     spans = list(zip(cuts[:-1], cuts[1:], strict=True)) if len(bucket) else []
-    six = np.ascontiguousarray(c["ctx"].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
     held = {
-        "name": [c["name"][a:b].tobytes() if not kind else b"" for a, b in spans],
-        "ctx": [six[a:b].tobytes() if not kind else b"" for a, b in spans],
+        "name": [c["name"][a:b].tobytes() if kind == RUN else b"" for a, b in spans],
+        "ctx": [_tight(c["ctx"][a:b]) if kind == RUN else b"" for a, b in spans],
         "doc": [c["doc"][a : a + 1].tobytes() + _tight(np.diff(c["doc"][a:b]).view(np.uint64)) for a, b in spans],
         "at": [_tight(c["at"][a:b]) for a, b in spans],
         "more": [_tight(c["more"][a:b]) for a, b in spans],
@@ -90,12 +90,11 @@ def _blocks(kind: int, bucket: np.ndarray, c: Columns) -> pa.RecordBatch:
 def _unblocked(rows: list[dict]) -> Columns:
     parts = []
     for r in rows:
-        at, n = _loose(r["at"]), len(r["ctx"]) // 6
-        ctx = np.zeros((len(at), 8), np.uint8)
-        ctx[:n, :6] = np.frombuffer(r["ctx"], np.uint8).reshape(-1, 6)
-        name = np.frombuffer(r["name"], np.uint64) if n else np.zeros(len(at), np.uint64)
+        at = _loose(r["at"])
+        none = np.zeros(len(at), np.uint64)
+        name, ctx = (np.frombuffer(r["name"], np.uint64), _loose(r["ctx"])) if r["kind"] == RUN else (none, none)
         doc = np.cumsum(np.concatenate([np.frombuffer(r["doc"][:8], np.int64), _loose(r["doc"][8:]).astype(np.uint64).view(np.int64)]))
-        parts.append(columns(name=name, ctx=ctx.view("<u8").ravel(), doc=doc, at=at, more=_loose(r["more"])))
+        parts.append(columns(name=name, ctx=ctx, doc=doc, at=at, more=_loose(r["more"])))
     return joined(parts)
 
 
@@ -114,45 +113,64 @@ def _merged(doc: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     return doc[first], at[first], far[last]
 
 
-def settle(c: Columns, across: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(covered, open) masks over runs. across: only runs of other documents cover a run."""
-    order = np.lexsort((c["at"], c["doc"], c["ctx"], c["name"]))
-    name, ctx, doc = c["name"][order], c["ctx"][order], c["doc"][order]
+def settle(c: Columns, across: bool, decide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(covered, open) masks over runs. across: only runs of other documents cover a run; decide: whether any may be covered."""
+    order = np.lexsort((c["at"], c["doc"], c["ctx"], c["name"]) if decide else (c["at"], c["doc"], c["name"]))
+    name, doc, at = c["name"][order], c["doc"][order], c["at"][order]
     n = len(order)
     covered, open_ = np.zeros(n, bool), np.zeros(n, bool)
     if not n:
         return covered, open_
     new_name = np.concatenate([[True], name[1:] != name[:-1]])
-    new = new_name | np.concatenate([[True], ctx[1:] != ctx[:-1]])
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]  # the first row of each class
-    at = c["at"][order]
-    hit = doc > doc[first] if across else (doc != doc[first]) | (at != at[first])  # a repeated row doesn't cover itself
     of = np.cumsum(new_name) - 1
+    starts = np.flatnonzero(new_name)
+    other = lambda first: doc > doc[first] if across else (doc != doc[first]) | (at != at[first])  # noqa: E731  # a repeated row doesn't cover itself
+    if not decide:  # a name in several documents, or in several places
+        far = np.maximum.reduceat(doc, starts) > doc[starts] if across else np.logical_or.reduceat(other(starts[of]), starts)
+        open_[order] = far[of]
+        return covered, open_
+    ctx = c["ctx"][order]
+    new = new_name | np.concatenate([[True], ctx[1:] != ctx[:-1]])
+    hit = other(np.flatnonzero(new)[np.cumsum(new) - 1])  # the first row of each class
     several = np.bincount(of, weights=new)[of] > 1
     if across:  # and in several documents
-        starts = np.flatnonzero(new_name)
         several &= (np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts))[of]
     covered[order], open_[order] = hit, several & ~hit
     return covered, open_
 
 
-def _local(c: Columns, across: bool, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of a batch: what it covers by itself, and the runs that are left."""
+def _ranges(kind: int, c: Columns, mask: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The marked runs as ranges of windows, by document."""
+    if mask.any():
+        doc, at, end = _merged(c["doc"][mask], c["at"][mask], c["at"][mask] + c["more"][mask])
+        none = np.zeros(len(doc), np.uint64)
+        yield _blocks(kind, (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), columns(name=none, ctx=none, doc=doc, at=at, more=end - at))
+
+
+def _local(c: Columns, across: bool, decide: bool, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of a batch: what it settles by itself, and one run of each name (and check) for the other batches."""
     if not len(c["name"]):
         return
-    hit, _ = settle(c, across)
-    if hit.any():
-        doc, at, end = _merged(c["doc"][hit], c["at"][hit], c["at"][hit] + c["more"][hit])
-        none = np.zeros(len(doc), np.uint64)
-        yield _blocks(1, (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), columns(name=none, ctx=none, doc=doc, at=at, more=end - at))
-    rest = {n: x[~hit] for n, x in c.items()}
+    hit, several = settle(c, across, decide)
+    if decide:
+        yield from _ranges(COVERED, c, hit, buckets)
+        rest = {n: x[~hit] for n, x in c.items()}
+    else:
+        yield from _ranges(OPEN, c, several, buckets)
+        names, first = np.unique(c["name"][several], return_index=True)
+        keep = ~several
+        keep[np.flatnonzero(several)[first]] = True
+        rest = {n: x[keep] for n, x in c.items()}
     order = np.lexsort((rest["at"], rest["doc"]))
     rest = {n: x[order] for n, x in rest.items()}
-    yield _blocks(0, (mix(rest["name"]) % np.uint64(buckets)).astype(np.int64), rest)
+    yield _blocks(RUN, (mix(rest["name"]) % np.uint64(buckets)).astype(np.int64), rest)
 
 
-def exchange(blocks: DataFrame, work: Callable[[int, Columns, Columns], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Bring the blocks of each bucket together and apply `work(bucket, runs, ranges)`."""
+def exchange(blocks: DataFrame, work: Callable[[dict[int, Columns]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Bring the blocks of each bucket together and apply `work` to its rows by kind."""
+
+    def done(held: list[dict]) -> Iterator[pa.RecordBatch]:
+        return work({kind: _unblocked([r for r in held if r["kind"] == kind]) for kind in (RUN, COVERED, OPEN)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -160,20 +178,21 @@ def exchange(blocks: DataFrame, work: Callable[[int, Columns, Columns], Iterator
             for row in batch.to_pylist():
                 if row["bucket"] != at:
                     if held:
-                        yield from work(at, _unblocked([r for r in held if not r["kind"]]), _unblocked([r for r in held if r["kind"]]))
+                        yield from done(held)
                     at, held = row["bucket"], []
                 held.append(row)
         if held:
-            yield from work(at, _unblocked([r for r in held if not r["kind"]]), _unblocked([r for r in held if r["kind"]]))
+            yield from done(held)
 
     return blocks.repartition(F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-Emit = Callable[[list, list, int], Iterator[Columns]]
+#: emit((id, bytes) of documents, open ranges or None for each): the runs of their windows, or of those in the ranges.
+Emit = Callable[[list, list], Iterator[Columns]]
 
 
-def _emitted(docs: DataFrame, emit: Emit, width: int, across: bool, buckets: int) -> DataFrame:
-    """Blocks of the runs, of `width` windows at most, of `docs` (doc, text and, if only those are asked for, open ranges)."""
+def _emitted(docs: DataFrame, emit: Emit, across: bool, decide: bool, buckets: int) -> DataFrame:
+    """Blocks of the runs of `docs` (doc, text and, if only those are asked for, open ranges)."""
     ranges = "open" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,27 +200,31 @@ def _emitted(docs: DataFrame, emit: Emit, width: int, across: bool, buckets: int
             texts, ids = b.column("text").to_pylist(), b.column("doc").to_pylist()
             asked = [None] * len(ids) if not ranges else [np.frombuffer(x, np.uint32).reshape(-1, 2) for x in b.column("open").to_pylist()]
             data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-            yield from _local(joined(list(emit(list(zip(ids, data, strict=True)), asked, width))), across, buckets)
+            held, have = [], 0
+            for part in emit(list(zip(ids, data, strict=True)), asked):
+                held.append(part)
+                have += len(part["name"])
+                if have > FLUSH:
+                    yield from _local(joined(held), across, decide, buckets)
+                    held, have = [], 0
+            yield from _local(joined(held), across, decide, buckets)
 
     return docs.mapInArrow(run, BLOCK)
 
 
-def _by_doc(blocks: DataFrame, across: bool, buckets: int, keep_open: bool) -> DataFrame:
+def _by_doc(blocks: DataFrame, across: bool, decide: bool, buckets: int, keep_open: bool) -> DataFrame:
     """(doc, covered, open): the window ranges of each document as pairs of 32-bit numbers."""
 
-    def first(_: int, runs: Columns, ranges: Columns) -> Iterator[pa.RecordBatch]:
-        hit, more = settle(runs, across)
-        none = lambda n: np.zeros(n, np.uint64)
-        doc = np.concatenate([runs["doc"][hit], ranges["doc"]])
-        at, end = (np.concatenate([f(runs)[hit], f(ranges)]) for f in (lambda x: x["at"], lambda x: x["at"] + x["more"]))
-        for kind, (d, a, e) in ((1, _merged(doc, at, end)), (0, _merged(runs["doc"][more], runs["at"][more], runs["at"][more] + runs["more"][more]))):
-            if len(d) and (kind or keep_open):
-                yield _blocks(kind, (mix(d.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), columns(name=none(len(d)), ctx=none(len(d)), doc=d, at=a, more=e - a))
-
-    def second(_: int, open_: Columns, covered: Columns) -> Iterator[pa.RecordBatch]:
-        ids = np.unique(np.concatenate([open_["doc"], covered["doc"]]))
+    def first(by: dict[int, Columns]) -> Iterator[pa.RecordBatch]:
+        hit, more = settle(by[RUN], across, decide)
+        for kind, mask in ((COVERED, hit), (OPEN, more & keep_open)):
+            yield from _ranges(kind, by[RUN], mask, buckets)
+            yield from _ranges(kind, by[kind], np.ones(len(by[kind]["doc"]), bool), buckets)
+
+    def second(by: dict[int, Columns]) -> Iterator[pa.RecordBatch]:
+        ids = np.unique(np.concatenate([by[OPEN]["doc"], by[COVERED]["doc"]]))
         found = []
-        for c in (covered, open_):
+        for c in (by[COVERED], by[OPEN]):
             doc, at, end = _merged(c["doc"], c["at"], c["at"] + c["more"])
             flat = np.stack([at, end], axis=1).astype(np.uint32)
             low, high = np.searchsorted(doc, ids, "left").tolist(), np.searchsorted(doc, ids, "right").tolist()
@@ -211,23 +234,29 @@ def _by_doc(blocks: DataFrame, across: bool, buckets: int, keep_open: bool) -> D
     return exchange(exchange(blocks, first, BLOCK), second, "doc long, covered binary, open binary")
 
 
-def repeated(docs: DataFrame, emit: Emit, across: bool, widths: tuple[int, ...]) -> DataFrame:
+def repeated(docs: DataFrame, rounds: list[tuple[Emit, bool]], across: bool) -> DataFrame:
     """(_doc, _spans): for each document with covered windows, their ranges [first, last] as pairs of 32-bit numbers.
 
-    docs: (doc, text). emit((id, bytes) of documents, ranges or None for each, width): the runs of the documents, of their
-    windows in the ranges if there are any, cut to `width` windows. widths: those of each step; the last is 1.
+    docs: (doc, text). rounds: how each names the open windows, and whether it decides; the last one decides single windows.
     """
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    # Not so many that a block from a task holds a few rows only.
-    buckets = max(1, min(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES))
-    asked, covered = docs, []
-    for width in widths:
-        runs = stage(_by_doc(_emitted(asked, emit, width, across, buckets), across, buckets, width > 1), "repeat-runs")
-        covered.append(runs.where(F.octet_length("covered") > 0).select(F.col("doc").alias("_doc"), "covered"))
-        if width > 1:
-            open_ = stage(runs.where(F.octet_length("open") > 0).select(F.col("doc").alias("_doc"), "open"), "repeat-open")
-            asked = docs.join(small(open_), F.col("doc") == F.col("_doc")).select("doc", "text", "open")
+    buckets = max(1, size // BUCKET_BYTES)
+    asked, before, covered = docs, None, []
+    with arrow_rows(spark, ARROW_ROWS):
+        for i, (emit, decide) in enumerate(rounds):
+            last = i == len(rounds) - 1
+            runs = stage(_by_doc(_emitted(asked, emit, across, decide, buckets), across, decide, buckets, not last), "repeat-runs")
+            if before is not None:
+                drop(before)
+            if decide:
+                covered.append(runs.where(F.octet_length("covered") > 0).select(F.col("doc").alias("_doc"), "covered"))
+            if not last:
+                before = stage(runs.where(F.octet_length("open") > 0).select(F.col("doc").alias("_doc"), "open"), "repeat-open")
+                asked = docs.join(small(before), F.col("doc") == F.col("_doc")).select("doc", "text", "open")
+                if not decide:
+                    drop(runs)
+            release(spark)
     every = covered[0]
     for more in covered[1:]:
         every = every.union(more)
@@ -258,8 +287,8 @@ def chunks(docs: list, asked: list) -> Iterator[tuple[np.ndarray, np.ndarray, np
         at = to
 
 
-def chosen(p: np.ndarray, began: np.ndarray, of: np.ndarray, ranges: list) -> np.ndarray:
-    """A mask of the windows p that lie in the ranges of their document `of`, which begins at `began`."""
+def chosen(p: np.ndarray, began: np.ndarray, ranges: list) -> np.ndarray:
+    """A mask of the windows p that lie in the ranges of their document; documents begin at `began`."""
     if ranges[0] is None:
         return np.ones(len(p), bool)
     most = int(p[-1]) + 2 if len(p) else 1

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +62,37 @@ def small(staged: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast where the files of a staged table are within `limit` (a quarter of it, as they are compressed);
     else leave the join to be shuffled."""
     return F.broadcast(staged) if 4 * size_of(staged) <= limit else staged
+
+
+#: Keys with more than one in HOT of all rows, of which there are fewer than HOT, are looked up by broadcast.
+HOT = 1000
+
+
+def lookup(df: DataFrame, staged: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """`df` left-joined on `keys` with `staged`, which has each key once and in `count` how many rows of `df` have it at most.
+    A table that isn't small is shuffled, but for the hot keys, so that no task gets all rows of a key."""
+    held = staged.drop(count)
+    if 4 * size_of(staged) <= BROADCAST_BYTES:
+        return df.join(F.broadcast(held), keys, "left")
+    total = staged.agg(F.sum(count).alias("n")).first()["n"] or 0
+    hot = F.broadcast(staged.where(F.col(count) * HOT > total).drop(count))
+    rest = df.join(hot.select(*keys), keys, "left_anti").join(held, keys, "left")
+    return df.join(hot, keys).select(*rest.columns).union(rest)
+
+
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for the jobs inside; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more, before the next round adds its own."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -1,20 +1,26 @@
-"""Substring dedup of words by recompression.
-
-Each round names pairs of neighbouring symbols, after a first round that names runs of one word. A pair is joined if its
-first symbol falls in the left half of the alphabet and its second in the right half, by a bit of their names in that
-round. Names follow from content alone, so all documents use the same ones. Inside two equal windows the symbols are equal
-but for those at the edges that a neighbour outside might join; what is left after three rounds are the window's interior
-symbols: one at least for windows without runs. A window without any is named as a whole.
-
-The interior symbol of least scrambled name stands for the window. Spark brings equal symbols together, finds those that
-occur in several places, and compares first the words of whole groups of windows, then single windows, by their names.
-
-Nulls: a null text has no words; a null doc_id counts as the smallest. Texts under 20 words lose nothing. Rows that share a
-doc_id are one document; a row that is repeated doesn't cover itself.
+"""Substring dedup of words by recompression, in rounds of Spark.
+
+A text is a sequence of symbols: its words at first. A round of recompression names runs of one symbol (before the first
+pairs) and pairs of neighbouring symbols: a pair is joined if its first symbol falls in the left half of the alphabet and its
+second in the right half, by a bit of their names in that round. A name is made of the names it joins, so all documents give
+equal runs and pairs the same one. Inside two equal windows of LENGTH words the symbols are equal but for those at the edges
+that a neighbour outside might join; the others are the window's interior symbols, one at least after ROUNDS rounds in
+windows without runs. A window without any is named as a whole.
+
+Of the interior symbols the one of least scrambled name stands for the window. After each round of recompression Spark brings
+the symbols of all documents together by name: windows whose symbol occurs in one place only can't repeat and are dropped,
+so each round works on what the one before left open. The symbols of the last round that are shared reveal the repeats; they
+are verified on the words of whole stretches of windows, then of shorter ones and of single windows, by 64-bit names and
+checks of as many bits over the words.
+
+Nulls: a null text has no words; a null doc_id counts as the smallest. Texts under 20 words lose nothing, empty tables give no
+rows. Rows that share a doc_id are one document; a row that is repeated doesn't cover itself. Very long texts are compressed as
+a whole. Other columns of the input pass through `strip_documents` and are ignored by `measure`.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -30,9 +36,8 @@ from volcohort.llm.text import boxed, unboxed
 
 LENGTH = 20
 ROUNDS = 3
-#: Windows of a run in each step.
+#: Windows of a stretch in each step that verifies.
 WIDTHS = (LENGTH, 5, 1)
-PLACE = np.uint64((1 << 28) - 1)
 BASE = 0xD6E8FEB86659FD93
 BACK = pow(BASE, -1, 1 << 64)
 #: A number for each byte, by rule.
@@ -75,15 +80,15 @@ def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _interior(word: np.ndarray, doc: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, first word of each, first and last interior symbol of each window that starts at p)."""
+def _interior(word: np.ndarray, doc: np.ndarray, p: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, first word of each, first and last interior symbol of each window that starts at p) after so many rounds."""
     new = np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])])
     at = np.flatnonzero(new)
     size = np.diff(np.append(at, len(word))).astype(np.uint64)
     sym, of = np.where(size > 1, pair(word[at], size, 7), word[at]), doc[at]
     index = np.cumsum(new) - 1
     low, high = index[p] + 1, index[p + LENGTH - 1] - 1  # a run at an edge may go on outside
-    for r in range(ROUNDS):
+    for r in range(rounds):
         left = (mix(sym + np.uint64(r + 1)) >> np.uint64(17)) & np.uint64(1) == 1
         starts = np.concatenate([left[:-1] & ~left[1:] & (of[1:] == of[:-1]), [False]])
         kept = np.concatenate([[True], ~starts[:-1]])
@@ -99,11 +104,12 @@ def _interior(word: np.ndarray, doc: np.ndarray, p: np.ndarray) -> tuple[np.ndar
     return sym, at, low, high
 
 
-def _anchors(word: np.ndarray, doc: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(word: np.ndarray, doc: np.ndarray, p: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(name, first word, whether there is any) of the interior symbol that stands for each window; else the window itself."""
-    sym, at, low, high = _interior(word, doc, p)
+    sym, at, low, high = _interior(word, doc, p, rounds)
     none = low > high
-    key = (mix(sym) & ~PLACE) | np.arange(len(sym), dtype=np.uint64)
+    place = np.uint64((1 << len(sym).bit_length()) - 1)
+    key = (mix(sym) & ~place) | np.arange(len(sym), dtype=np.uint64)
     table = np.full((5, len(key)), np.iinfo(np.uint64).max, np.uint64)  # least key of 1, 2, 4, 8, 16 symbols
     table[0] = key
     for j in range(1, 5):
@@ -112,11 +118,12 @@ def _anchors(word: np.ndarray, doc: np.ndarray, p: np.ndarray) -> tuple[np.ndarr
             table[j, :n] = np.minimum(table[j - 1, :n], table[j - 1, h : h + n])
     low, high = np.where(none, 0, low), np.where(none, 0, high)
     j = LOG2[high - low + 1]
-    best = (np.minimum(table[j, low], table[j, high - (1 << j) + 1]) & PLACE).astype(np.int64)
+    best = (np.minimum(table[j, low], table[j, high - (1 << j) + 1]) & place).astype(np.int64)
     return sym[best], np.where(none, p, at[best]), ~none
 
 
-def emit(docs: list, asked: list, width: int) -> Iterator[Columns]:
+def symbols(docs: list, asked: list, rounds: int, width: int, check: bool) -> Iterator[Columns]:
+    """Stretches of up to `width` windows by the symbol that stands for them after `rounds` rounds; check: with names of their words."""
     for data, starts, ids, ranges in repeats.chunks(docs, asked):
         if not len(data):
             continue
@@ -127,10 +134,10 @@ def emit(docs: list, asked: list, width: int) -> Iterator[Columns]:
         doc = np.searchsorted(starts, a, "right") - 1
         began = np.searchsorted(doc, np.arange(len(ids)))  # the first word of each document
         p = np.flatnonzero(doc[: len(word) - LENGTH + 1] == doc[LENGTH - 1 :])
-        p = p[repeats.chosen(p, began, ids, ranges)]
+        p = p[repeats.chosen(p, began, ranges)]
         if not len(p):
             continue
-        name, anchor, any_ = _anchors(word, doc, p)
+        name, anchor, any_ = _anchors(word, doc, p, rounds)
         first, end = repeats.groups(p, doc[p], np.where(any_, anchor, -1 - p), anchor - p, width)
         p, last, a, name, any_ = p[first], p[end], anchor[first], name[first], any_[first]
         names = Names(word)
@@ -139,14 +146,21 @@ def emit(docs: list, asked: list, width: int) -> Iterator[Columns]:
             low = (a - p) // width * width
             name = names.of(a - low, a - np.minimum(low + width, LENGTH) + 1 + LENGTH)
         name = np.where(any_, name, mix(content + np.uint64(5)))
-        again = Names(mix(word + np.uint64(1))).of(p, last + LENGTH)
-        ctx = pair(pair(content, again), ((a - p) * 64 + (last - p)).astype(np.uint64), 9)
+        ctx = np.zeros(len(p), np.uint64)
+        if check:
+            again = Names(mix(word + np.uint64(1))).of(p, last + LENGTH)
+            ctx = pair(pair(content, again), ((a - p) * 64 + (last - p)).astype(np.uint64), 9)
         yield columns(name=name, ctx=ctx, doc=ids[doc[p]], at=p - began[doc[p]], more=last - p)
 
 
+#: A filter after each round of recompression but the last, whose shared symbols are verified.
+STEPS = [(functools.partial(symbols, rounds=r, width=LENGTH, check=False), False) for r in range(1, ROUNDS)]
+STEPS += [(functools.partial(symbols, rounds=ROUNDS, width=w, check=True), True) for w in WIDTHS]
+
+
 def _cut(docs: DataFrame) -> DataFrame:
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    spans = repeats.repeated(docs.select(doc.alias("doc"), "text"), emit, False, WIDTHS)
+    spans = repeats.repeated(docs.select(doc.alias("doc"), "text"), STEPS, False)
     return docs.join(small(spans), doc == F.col("_doc"), "left")
 
 
