@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from volcohort.llm.storage import drop, stage
 
-MAX_ROUNDS = 60
-
-
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link the neighbours of each node to the smallest of them and itself: the larger ones (large), or the smaller ones."""
     both = edges if not large else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -26,17 +23,15 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of each node in links (a, b), long; component is the smallest node. No node: no row."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = stage(edges, "edges")
-    for _ in range(MAX_ROUNDS):
+    settled = False
+    while not settled:  # the rounds grow with the logarithm of the longest path
         after = stage(_star(_star(edges, large=True), large=False), "edges")
         # Stars alone remain once no node has two smaller neighbours and no centre has a smaller one.
         many = after.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
         chain = after.select(F.col("v").alias("u")).join(after.select("u"), "u", "left_semi").select("u")
         drop(edges)
         edges = after
-        if many.union(chain).isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        settled = many.union(chain).isEmpty()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -10,7 +10,8 @@ Training starts from emissions near the token frequencies and takes STEPS steps.
 tokens, of which all are used; scoring runs through the whole text.
 
 Nulls: a null text is an empty one, just the end token. A null doc_id counts as the empty text under crc32. Repeated rows each
-get a score. Without training rows every count is zero and the scores are those of even emissions.
+get a score. Without training rows every count is zero and the scores are those of even emissions. Very long texts are scored
+whole; an empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def _head(vocab: DataFrame) -> list[bytes]:
-    """At most HEAD words of the highest counts: all above a bound on the count."""
+    """The HEAD words of the highest counts, by steps of their logarithm; within the last step those of smallest digest."""
     level = F.floor(F.log2("c") * 64).cast("long")
     levels = sorted(((r["l"], r["n"]) for r in vocab.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
     total, bound = 0, None
@@ -76,9 +77,12 @@ def _head(vocab: DataFrame) -> list[bytes]:
         if total + n > HEAD:
             break
         total, bound = total + n, at
-    if bound is None:
-        return []
-    return sorted(bytes(r["word"]) for r in vocab.where(level >= bound).select("word").collect() if bytes(r["word"]) != END)
+    whole = vocab.where(level >= bound) if bound is not None else vocab.where("false")
+    part = vocab.where(level < bound) if bound is not None else vocab
+    if total < HEAD and part.limit(1).count():
+        next_ = part.where(level == part.agg(F.max(level)).first()[0])
+        whole = whole.union(next_.orderBy(F.xxhash64("word"), "word").limit(HEAD - total))
+    return sorted(bytes(r["word"]) for r in whole.select("word").collect() if bytes(r["word"]) != END)  # HEAD words at most
 
 
 def _encoded(docs: DataFrame, head: list[bytes]) -> DataFrame:

@@ -74,10 +74,11 @@ win as (select doc_id, p, array_to_string(w[p:p + 7], ' ') s from (select doc_id
 dup as (select doc_id, p from (select *, count(*) over (partition by doc_id, s) k from win) where k > 1),
 rep as (select doc_id, count(distinct p + g) n_repeat_words from dup, range(8) z(g) group by doc_id),
 o as (select m.doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars, cast(n_symbols as bigint) n_symbols, cast(len(ls) - len(list_distinct(ls)) as bigint) n_dup_lines,
-  cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words, case when cl is not null and rc is not null then {js("cl", "rc")} end cd, case when cm is not null and rw is not null then {js("cm", "rw")} end wd
+  cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words, case when cl is not null and rc is not null then {js("cl", "rc")} end cd, case when cm is not null and rw is not null then {js("cm", "rw")} end wd,
+  cm[-1] rest, rw[-1] ref, len(a) na, case when cm is not null and rw is not null then {js("[1 - cm[-1], cm[-1]]", "[1 - rw[-1], rw[-1]]")} end sd
   from m left join ref on ref.lang = m.lang left join rep on rep.doc_id = m.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(cd, 6) class_distance, round(wd, 6) word_distance, n_words < 20 or 100 * n_repeat_words > 30 * n_words base_failed,
-  not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and not (coalesce(cd, 0) > {q.MAX_CLASS_DISTANCE} or coalesce(wd, 0) > {q.MAX_WORD_DISTANCE}) kept from o"""
+  not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and not (coalesce(cd, 0) > {q.MAX_CLASS_DISTANCE} or coalesce(wd, 0) > {q.MAX_WORD_DISTANCE} or coalesce(rest > ref and sd > {q.MAX_SHARE_DISTANCE} + {q.SHARE_NOISE} / sqrt(na), false)) kept from o"""
 
 
 OP1 = _op1()

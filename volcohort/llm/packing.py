@@ -5,7 +5,9 @@ padded to the length of its bucket. Bucket boundaries minimise the padding of al
 histogram of lengths, which has at most MAX_LEN entries however large the input. A batch of a bucket holds
 floor(TOKEN_BUDGET / bucket length) pieces.
 
-Nulls and empty texts have no tokens and no piece: one row with chunk null tells that. Repeated rows are packed each.
+Nulls and empty texts have no tokens and no piece: one row with chunk null tells that. Repeated rows are packed each, a null
+doc_id like any other. Boundaries that tie are those with the most lengths in the last bucket. An empty table gives no rows.
+Other columns of the input are ignored.
 """
 
 from __future__ import annotations

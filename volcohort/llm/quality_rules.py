@@ -4,9 +4,13 @@ A document's character classes and its use of common words are compared with tho
 Jensen-Shannon distance (base 2, so 0 to 1). The references are means over all documents of a language that are long
 enough, each counting the same. A document too short for a histogram isn't judged by it.
 
-Nulls: a null text is an empty one; a null language has no reference, so divergence never rejects. Empty texts have no
-words and fail the base rules. Repeated rows each get their own verdict. Extra columns of the input are left alone by
-`apply_rules` and ignored by `measure`.
+Common words are compared twice: their histogram as a whole, and the share of all of them against all other words, under a
+limit that narrows with the number of words, as rare words each weigh next to nothing in the histogram.
+
+Nulls: a null text is an empty one; a null language has no reference, so divergence never rejects; a null doc_id gets its row.
+Empty texts have no words and fail the base rules. Repeated rows each get their own verdict, a distance that ties with its limit
+keeps the text, very long texts are measured whole, and an empty table gives no rows. Extra columns of the input are left
+alone by `filter_documents` and ignored by `measure`.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ COMMON_WORDS = {
 #: Production parameters. Distances above these reject; texts below the lengths aren't judged.
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
-#: For filters: a text with fewer common words than its reference goes if the distance of the two shares is above the first value
+#: A text with fewer common words than its reference goes if the distance of the two shares is above the first value
 #: and the second over the root of its words, the noise of a sample.
 MAX_SHARE_DISTANCE = 0.1
 SHARE_NOISE = 1.2
@@ -125,9 +129,8 @@ def _few_common() -> Column:
     return F.coalesce((rest > ref) & far, F.lit(False))
 
 
-def apply_rules(docs: DataFrame, shares: bool = False) -> DataFrame:
-    """`docs` (text, lang and any other columns) with the counts, the distances, base_failed and kept; shares: `kept` also asks
-    for the share of common words."""
+def apply_rules(docs: DataFrame) -> DataFrame:
+    """`docs` (text, lang and any other columns) with the counts, the distances, base_failed and kept."""
     ref = stage(references(docs), "quality-references")
     ref = F.broadcast(ref) if ref.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS else ref
     out = _repeats(_base(docs)).drop("_w")
@@ -138,16 +141,17 @@ def apply_rules(docs: DataFrame, shares: bool = False) -> DataFrame:
         "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
     })
     far = (F.coalesce("class_distance", F.lit(0.0)) > MAX_CLASS_DISTANCE) | (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
-    far = far | _few_common() if shares else far
+    far = far | _few_common()
     # A generator between: a filter on `kept` would else be pushed down with every expression copied into it, many times over.
     return out.withColumn("kept", F.explode(F.array(~F.col("base_failed") & ~far))).drop("_t", "_classes", "_common", "_na", "ref_lang", "ref_classes", "ref_common")
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts, distances and verdicts."""
-    return apply_rules(docs.select("doc_id", "text", "lang")).drop("text", "lang")
+    out = apply_rules(docs.select("doc_id", "text", "lang"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules and the share of common words keep, with the columns they came with."""
-    return unboxed(apply_rules(boxed(docs, "text", "lang"), shares=True).where("kept"), docs)
+    """The documents that the rules keep, with the columns they came with."""
+    return unboxed(apply_rules(boxed(docs, "text", "lang")).where("kept"), docs)

@@ -1,12 +1,14 @@
 """Shards by vector bin packing: bytes, tokens and rows are balanced jointly.
 
-Equal texts form a group. Small groups are gathered into cells by digest, a fixed number whatever the input; a group too
-large for a cell is placed by itself, and in pieces if it exceeds the grain, so that a text with a third of all rows
-spreads over the shards. At most CELLS cells and as many pieces, largest first, each go where the dot product of their
-sizes with the residual capacity is highest.
+Equal texts form a group, which stays together. Groups smaller than a cell, 1/GRAIN of a shard, are gathered into cells by
+digest, a fixed number whatever the input; a larger group is placed by itself. Only a group that exceeds a shard's fair share of
+bytes, tokens or rows is split, into pieces of a cell each, so that a text with a third of all rows spreads over the shards.
+Cells, groups and pieces, a few for each cell whatever the input, largest first, each go where the dot product of their sizes
+with the residual capacity is highest; ties go to the lower shard.
 
-Nulls: a null text has no bytes and no tokens; it is a group like any other. A null doc_id is kept. Repeated rows each get
-a slot. An empty table gives no rows.
+Nulls: a null text has no bytes and no tokens; it is a group like any other. A null doc_id is kept; within a group that is
+split, rows of one doc_id go to one piece. Repeated rows each get a slot. Very long texts are measured whole; a text larger than
+a shard's share is a shard's largest item. An empty table gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -47,14 +49,13 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     cells = shards * GRAIN
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     total = sized.agg(*sums).first()
-    most = [max(1, (total[k] or 0) // cells) for k in ("size", "tokens", "rows")]
+    most, share = ([max(1, (total[k] or 0) // n) for k in ("size", "tokens", "rows")] for n in (cells, shards))
     group = ["digest", "text_crc32", "size"]
     # Only groups of more than one cell are returned: at most 3 * cells of them, since each kind adds up to the total.
     groups = sized.groupBy(*group).agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
-    need = F.greatest(*[F.ceil(F.col(c) / m) for c, m in zip(("bytes", "tokens", "rows"), most, strict=True)])
-    large = groups.where(need > 1).select(
-        F.col("digest").alias("_d"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), F.least(need, F.col("rows")).alias("_pieces")
-    )
+    times = lambda of: F.greatest(*[F.ceil(F.col(c) / m) for c, m in zip(("bytes", "tokens", "rows"), of, strict=True)])
+    pieces = F.when(times(share) > 1, F.least(times(most), F.col("rows"))).otherwise(F.lit(1).cast("long"))
+    large = groups.where(times(most) > 1).select(F.col("digest").alias("_d"), F.col("text_crc32").alias("_c"), F.col("size").alias("_s"), pieces.alias("_pieces"))
     large = F.broadcast(large)
     same = (F.col("digest") == F.col("_d")) & (F.col("text_crc32") == F.col("_c")) & (F.col("size") == F.col("_s"))
     piece = F.when(F.col("_d").isNotNull(), F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.col("_pieces"))).cast("long")

@@ -10,7 +10,9 @@ blocks of bounded size and returns a spanning forest of the links it found, neve
 BLOCK postings are split by two further bytes first (ten keys, one of which a pair with five shared bytes has in common).
 
 Nulls: a null text is an empty one; texts without a word have fingerprint zero and link like any other. A null doc_id gets a
-row but doesn't name a component unless all its members are null. Repeated rows each get a row.
+row but doesn't name a component unless all its members are null. Repeated rows each get a row. Very long texts are hashed
+whole, ties of a bit (half of the shingles) leave it zero, and an empty table gives no rows. `keep_one` passes other columns
+through, `near_duplicates` ignores them.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from volcohort.llm.components import components
-from volcohort.llm.storage import stage
+from volcohort.llm.storage import lookup, stage
 from volcohort.llm.text import boxed, one_each, unboxed
 
 SEED = 42
@@ -66,6 +68,14 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
+LOW = np.uint64(0x7F7F7F7F7F7F7F7F)
+
+
+def shared_bytes(x: np.ndarray) -> np.ndarray:
+    """How many of the eight positional bytes two fingerprints share, from their exclusive or: its bytes that are zero."""
+    return 8 - np.bitwise_count((((x & LOW) + LOW) | x) & ~LOW)
+
+
 def _links(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between two blocks (which may be the same): ends as indices into both, joined."""
     both = np.concatenate([left, right])
@@ -81,12 +91,8 @@ def _links(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray
     a, b = [], []
     for i in range(n):
         x = right ^ left[i]
-        near = np.bitwise_count(x) <= radius
-        if not near.any():
-            continue
-        at = np.flatnonzero(near)
-        shared = (x[at, None].view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # the tally of positional bytes
-        for j in at[shared >= 8 - radius]:
+        at = np.flatnonzero(shared_bytes(x) >= 8 - radius)  # the count filter
+        for j in at[np.bitwise_count(x[at]) <= radius]:  # the verification
             if left[i] != right[j] and (p := top(i)) != (q := top(n + int(j))):
                 root[max(p, q)] = min(p, q)
                 a.append(i)
@@ -161,15 +167,14 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of `docs`."""
     fps = stage(fingerprints(docs, k), "simhash")
-    groups = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
+    groups = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "simhash-groups")
     found = links(groups.select("fp"), radius)
     # Components are named by their smallest doc_id, not by a fingerprint.
     named = components(stage(found, "simhash-links"))
-    of = groups.join(named, groups["fp"] == named["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
+    of = groups.join(named, groups["fp"] == named["node"], "left").select("fp", "first", "n", F.coalesce("component", "fp").alias("c"))
     least = of.groupBy("c").agg(F.min("first").alias("component_id"))
-    of = of.join(least, "c").select(F.col("fp").alias("_fp"), "component_id")
-    out = fps.join(of, F.col("fp") == F.col("_fp"))
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = stage(of.join(least, "c").select("fp", "n", "component_id"), "simhash-components")
+    return lookup(fps, of, ["fp"], "n").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:

@@ -17,7 +17,8 @@ similarity about a tenth of the bits differ:
    are verified as well, and components are taken of all links.
 
 Nulls: a null text is an empty one; texts without words are copies of each other. Repeated rows are copies. Rows with a null
-doc_id can't be told apart: `keep_one` keeps them all if a group has no other doc_id, else none.
+doc_id can't be told apart: `keep_one` keeps them all if a group has no other doc_id, else none. Very long texts are compared
+whole; an empty table gives no rows. Other columns pass through `keep_one`.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from volcohort.llm.components import components
 from volcohort.llm.repeats import mix
 from volcohort.llm.simhash import SEED
-from volcohort.llm.storage import small, stage
+from volcohort.llm.storage import lookup, small, stage
 from volcohort.llm.text import boxed, one_each, unboxed
 
 SHINGLE = 5
@@ -320,7 +321,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4000)
     fps = stage(_fingerprints(docs), "wide-simhash")
     least = F.min("doc_id")
-    groups = stage(fps.groupBy("d1", "d2").agg(least.alias("doc_id"), F.first("f0").alias("f0"), F.first("f1").alias("f1")), "wide-texts")
+    groups = stage(fps.groupBy("d1", "d2").agg(least.alias("doc_id"), F.first("f0").alias("f0"), F.first("f1").alias("f1"), F.count(F.lit(1)).alias("n")), "wide-texts")
     texts = groups.where("doc_id is not null")
     links = _links(docs, stage(_candidates(texts.select("doc_id", "f0", "f1")), "wide-links"))
     named = components(links).select(F.col("node").alias("_node"), "component")
@@ -328,8 +329,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prefixes = stage(_prefixes(docs, _levels(docs)), "wide-prefixes")
     named = components(links.union(_links(docs, stage(_missed(prefixes, heads), "first-links"))))
     of = groups.join(named, groups["doc_id"] == named["node"], "left")
-    of = of.select(F.col("d1").alias("_1"), F.col("d2").alias("_2"), F.coalesce("component", "doc_id").alias("component_id"))
-    return fps.join(of, (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2"))).select("doc_id", "component_id")
+    of = stage(of.select("d1", "d2", "n", F.coalesce("component", "doc_id").alias("component_id")), "wide-components")
+    return lookup(fps, of, ["d1", "d2"], "n").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
