@@ -20,12 +20,13 @@ def side_grade(fused: Column, joint: Column, height: Column) -> Column:
 
 
 def both_sides(left: Column, right: Column) -> Column:
-    """The grade of a pair of sides: equal ones are b, one alone is a, II with III is IV, any other pair is atypical."""
+    """The grade of a pair of sides: equal ones are b, one alone is a, II with III is IV, any other pair is atypical, with its sides."""
     none = left.isNull() & right.isNull()
     return (
         F.when(none, F.lit(None).cast("string")).when(left == right, F.concat(left, F.lit("b")))
         .when(left.isNull() | right.isNull(), F.concat(F.coalesce(left, right), F.lit("a")))
-        .when(left.isin("II", "III") & right.isin("II", "III"), "IV").otherwise("atypical")
+        .when(left.isin("II", "III") & right.isin("II", "III"), "IV")
+        .otherwise(F.concat(F.lit("atypical:"), left, F.lit("_left/"), right, F.lit("_right")))
     )
 
 

@@ -13,10 +13,25 @@ def is_flag(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c)).isin("1", "1.0", "true"), F.lit(False))
 
 
+# How a note says that only the edge of the scan is meant.
+SCAN_EDGE = ("fov-truncated", "clipped by the top/bottom of the scan", "clipped by the scan edge", "clipped by the edge of the scan")
+
+
+def scan_edge_note(message: Column) -> Column:
+    """Whether a message is a note that only tells of the edge of the scan."""
+    low = F.lower(F.trim(message))
+    return low.startswith("note") & F.greatest(*[low.contains(m) for m in SCAN_EDGE])
+
+
 def auto_accept(ok: Column, messages: Column) -> tuple[Column, Column]:
-    """(accept, reason): accepted if it is ok and has messages, all of which say OK or are notes on the field of view."""
-    harmless = F.forall(messages, lambda m: F.lower(m).startswith("ok") | m.rlike("(?i)field of view|fov"))
-    reason = F.when(~ok, "not_ok").when(F.size(messages) < 1, "no_messages").when(~harmless, "messages").otherwise("accepted")
+    """(accept, reason): accepted if it is ok and every message says OK or is a note on the edge of the scan. Blank messages say
+    nothing, and neither do none; else the first message that stands against it gives the reason."""
+    kind = lambda m: (
+        F.when(F.coalesce(F.trim(m), F.lit("")) == "", F.lit(None).cast("string")).when(F.trim(m).startswith("X"), "blocking")
+        .when(F.lower(F.trim(m)).startswith("ok") | scan_edge_note(m), F.lit(None).cast("string")).otherwise("note")
+    )
+    against = F.get(F.filter(F.transform(messages, kind), lambda k: k.isNotNull()), F.lit(0))
+    reason = F.when(~F.coalesce(ok, F.lit(False)), "not_ok").otherwise(F.coalesce(against, F.lit("accepted")))
     return reason == "accepted", reason
 
 

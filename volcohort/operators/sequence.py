@@ -22,13 +22,22 @@ def inversions(df: DataFrame, keys: list[str], number: str, position: str) -> Da
     return out.where("step >= 0").select(*keys, number, "step")
 
 
-def pitch(df: DataFrame, keys: list[str], number: str, position: str, default: float) -> DataFrame:
-    """keys, pitch: median distance of neighbours; the default for one row."""
-    w = Window.partitionBy(*keys).orderBy(number)
-    d = df.withColumn("_d", F.abs(F.col(position) - F.lag(position).over(w)))
+def pitch(df: DataFrame, keys: list[str], number: str, position: str, default: float, sides: list[str] | None = None) -> DataFrame:
+    """keys, pitch: median distance of rows whose numbers are one apart, within each of the `sides`; the default without any."""
+    w = Window.partitionBy(*keys, *(sides or [])).orderBy(number)
+    near = F.col(number) - F.lag(number).over(w) == 1
+    d = df.withColumn("_d", F.when(near, F.abs(F.col(position) - F.lag(position).over(w))))
     return d.groupBy(*keys).agg(F.coalesce(F.median("_d"), F.lit(default)).alias("pitch"))
 
 
+def pitch_of_range(df: DataFrame, keys: list[str], number: str, position: str, default: float) -> DataFrame:
+    """keys, pitch: the range of positions over the difference of the numbers at both ends; the default if there is no such
+    difference or next to no pitch."""
+    ends = df.groupBy(*keys).agg(F.min(F.struct(F.col(position).alias("z"), F.col(number).alias("n"))).alias("a"), F.max(F.struct(F.col(position).alias("z"), F.col(number).alias("n"))).alias("b"))
+    p = F.abs((F.col("b.z") - F.col("a.z")) / F.nullif(F.col("b.n") - F.col("a.n"), F.lit(0)))
+    return ends.select(*keys, F.when(p > 1e-3, p).otherwise(F.lit(default)).alias("pitch"))
+
+
 def walk_from_anchor(df: DataFrame, keys: list[str], order: str, position: str, anchor: str) -> DataFrame:
     """Add `solved`: the anchor's number, stepped in both directions by round(distance / median distance), one at least.
 

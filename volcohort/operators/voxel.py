@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -113,7 +115,7 @@ def surface(voxels: DataFrame) -> DataFrame:
     return v.join(inside, [*AT, "label"], "left").where("_n is null or _n < 6").drop("_n")
 
 
-def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26, rounds: int = 64) -> DataFrame:
+def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
     """(case_id, k, j, i, label, component): parts of a label that hang together, named by their least place.
 
     The least name of a neighbourhood spreads round by round, with a jump to the name of the named voxel; each round is
@@ -121,9 +123,12 @@ def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26, ro
     own = F.struct("k", "j", "i")
     cur = voxels.where("label <> 0").select("case_id", "k", "j", "i", "label", own.alias("component"))
     spark = voxels.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir("/tmp/cohort-checkpoints")  # local sessions only
-    for _ in range(rounds):
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if found is None and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="cohort-checkpoints-"))
+    while True:  # the rounds grow with the logarithm of the longest path
         d = cur.select("*", _near([*reach, (0, 0, 0)]).alias("d"))
         d = d.select("case_id", *[(F.col(c) + F.col(f"d.d{c}")).alias(c) for c in "kji"], "label", "component")
         low = d.groupBy("case_id", "k", "j", "i", "label").agg(F.min("component").alias("low"))
@@ -135,7 +140,6 @@ def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26, ro
         cur = new.select("case_id", "k", "j", "i", "label", F.col("next").alias("component"))
         if settled:
             return cur
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def settle_conflicts(merged: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, keep: int = 200, drop: int = 100) -> DataFrame:

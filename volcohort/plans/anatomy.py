@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from volcohort.functions import geometry, review
+from volcohort.functions import coerce, geometry, review
 from volcohort.operators import morphology, ribs, voxel
 from volcohort.plans.catalogue import _voxels, query, table
 from volcohort.plans.release import ORACLES, QUERIES, VOXEL_SQL
@@ -108,14 +108,33 @@ def principal_axes(spark, sf_dir):
     return p.select("case_id", "label", "voxels", F.round(F.col("length") * F.col("length"), 6).alias("longest"))
 
 
-@query("""select o_orderkey, case when o_orderkey % 4 = 0 then 'not_ok' when o_orderkey % 4 = 1 then 'no_messages' when o_orderkey % 8 = 2 then 'messages' else 'accepted' end reason from orders""")
+@query("""select o_orderkey, case when o_orderkey % 4 = 0 then 'not_ok' when o_orderkey % 8 = 2 then 'note' when o_orderkey % 8 = 6 then 'blocking' else 'accepted' end reason from orders""")
 def auto_accepted(spark, sf_dir):
     k = F.col("o_orderkey")
-    messages = F.when(k % 4 == 1, F.array().cast("array<string>")).when(k % 8 == 2, F.array(F.lit("OK: fine"), F.lit("gap between ribs"))).otherwise(F.array(F.lit("OK"), F.lit("note: outside the FOV")))
+    lines = lambda *m: F.array(*[F.lit(x).cast("string") for x in m])
+    messages = F.when(k % 8 == 1, lines().cast("array<string>")).when(k % 8 == 2, lines("OK: fine", " ", "note: L6 suspected")).when(k % 8 == 6, lines(None, "X gap", "note: L6"))
+    messages = messages.otherwise(lines("OK", "NOTE: rib 12 clipped by the scan edge"))
     _, reason = review.auto_accept(k % 4 != 0, messages)
     return table(spark, sf_dir, "orders").select("o_orderkey", reason.alias("reason"))
 
 
+@query("""select c_custkey, case when age is null then null else least(89, case unit when 'M' then age // 12 when 'W' then age * 7 // 365 when 'D' then age // 365 else age end) end as "years",
+  case c_custkey % 7 when 0 then null when 1 then 'supine' when 2 then 'prone' when 3 then 'decubitus_left' when 4 then 'decubitus_right' when 5 then 'sitting' else 'supine' end position,
+  case when c_custkey % 5 = 0 then 'a_b-' || c_custkey else lpad(cast(c_custkey as varchar), cast(greatest(4, len(cast(c_custkey as varchar))) as int), '0') end safe_name,
+  case when c_custkey % 5 = 0 then 'a_b-' || c_custkey else '00' || c_custkey end || '__fused__r_' || c_nationkey || '__r1' review_key
+  from (select *, case when c_custkey % 11 = 0 then null else c_custkey % 700 end age, ['Y', 'M', 'W', 'D', ''][c_custkey % 5 + 1] unit from customer)""")
+def coded_fields(spark, sf_dir):
+    k = F.col("c_custkey")
+    unit = F.get(F.array(*[F.lit(x) for x in ("Y", "m", " W", "d ", "")]), (k % 5).cast("int"))
+    age = F.when(k % 11 == 0, F.lit("none")).otherwise(F.concat(F.lit(" "), (k % 700).cast("string"), unit))
+    code = F.get(F.array(*[F.lit(x) for x in ("", "HFS", " ffp", "HFDL", "FFDR", "Sitting", "FFS")]), (k % 7).cast("int"))
+    token = F.when(k % 5 == 0, F.concat(F.lit("_a b-"), k)).otherwise(F.concat(F.lit("00"), k))
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", coerce.years(age).cast("long").alias("years"), coerce.position(code).alias("position"), coerce.safe_name(token).alias("safe_name"),
+        coerce.review_key(token, F.lit("fused"), F.concat(F.lit("r "), "c_nationkey")).alias("review_key"),
+    )
+
+
 @query("""select o_orderkey, len(list_filter([case when o_orderkey % 4 = 3 then 'd' end, case when o_orderkey % 5 = 0 then 's' end, case when o_orderkey % 7 = 0 then 'c' end, case when o_orderkey % 4 = 0 and o_orderkey % 7 <> 0 and o_orderkey % 3 > 0 then 'a' end], lambda x: x is not null)) n from orders""")
 def review_violations(spark, sf_dir):
     k = F.col("o_orderkey")

@@ -141,7 +141,7 @@ def label_agreement(spark, sf_dir):
     return d.join(lab, "doc_id", "left").select("doc_id", band.alias("n_words_band"), grades.three_valued_agreement(call("quality", 1), call("toxic", 0)).alias("agreement"))
 
 
-@query("""select l, r, case when l = '' and r = '' then null when l = r then l || 'b' when l = '' or r = '' then l || r || 'a' when l in ('II', 'III') and r in ('II', 'III') then 'IV' else 'atypical' end grade, count(*) n from (
+@query("""select l, r, case when l = '' and r = '' then null when l = r then l || 'b' when l = '' or r = '' then l || r || 'a' when l in ('II', 'III') and r in ('II', 'III') then 'IV' else 'atypical:' || l || '_left/' || r || '_right' end grade, count(*) n from (
   select case when l_quantity % 4 = 0 then 'III' when l_linenumber % 3 = 0 then 'II' when l_quantity >= 19 then 'I' else '' end l,
          case when l_partkey % 4 = 0 then 'III' when l_suppkey % 3 = 0 then 'II' when l_orderkey % 40 >= 19 then 'I' else '' end r from lineitem) group by l, r""")
 def side_grades(spark, sf_dir):
@@ -355,7 +355,7 @@ def order_inversions(spark, sf_dir):
     return sequence.inversions(_lines(spark, sf_dir), ["k"], "n", "q")
 
 
-@query(f"""select k, coalesce(quantile_cont(d, 0.5), 20.0) pitch from (select k, abs(q - lag(q) over (partition by k order by n)) d from {LINES_SQL}) group by k""")
+@query(f"""select k, coalesce(median(d), 20.0) pitch from (select a.k, abs(b.q - a.q) d from {LINES_SQL} a left join {LINES_SQL} b on a.k = b.k and b.n = a.n + 1) group by k""")
 def pitch(spark, sf_dir):
     return sequence.pitch(_lines(spark, sf_dir), ["k"], "n", "q", 20.0)
 
@@ -378,6 +378,11 @@ def paired_asymmetry(spark, sf_dir):
     return sequence.paired_counts(x, "c", "num", "side", "cut")
 
 
+@query(f"""with e as (select k, min((q, n)) a, max((q, n)) b from {LINES_SQL} group by k), p as (select k, abs((b[1] - a[1]) / nullif(b[2] - a[2], 0)) p from e) select k, round(case when p > 0.001 then p else 20.0 end, 9) pitch from p""")
+def pitch_of_range(spark, sf_dir):
+    return sequence.pitch_of_range(_lines(spark, sf_dir), ["k"], "n", "q", 20.0).withColumn("pitch", F.round("pitch", 9))
+
+
 # --- statistics -------------------------------------------------------------------------------------------------------
 
 
@@ -386,10 +391,16 @@ def hist_fixed(spark, sf_dir):
     return stats.histogram(table(spark, sf_dir, "orders"), "o_totalprice", 1000.0, 500000.0, 20)
 
 
-@query("""with g as (select g point, 1 + g * (49.0 / 63) x from range(64) t(g)), v as (select cast(p_size as double) v, count(*) c from part where p_size between 1 and 50 group by p_size)
-  select cast(point as int) point, round(x, 6) x, round(sum(c * (exp(-0.5 * pow((x - v) / 4.0, 2)) + exp(-0.5 * pow((x - (2 - v)) / 4.0, 2)) + exp(-0.5 * pow((x - (100 - v)) / 4.0, 2)))) / (sum(c) * 4.0 * sqrt(2 * pi())), 9) density from g, v group by point, x""")
+@query("""with v as (select cast(p_size as double) v from part where p_size between 1 and 50), r as (select v, row_number() over (order by v) - 1 r, count(*) over () n from v),
+  u as (select v, lead(v) over (order by v) - v g from (select distinct v from v)), s as (select count(*) u, (select list(g order by g) from u where g is not null) gs from u),
+  q as (select max(n) n, (select stddev_samp(v) from v) sd, max(case when r = floor(0.25 * (n - 1)) then v end) a, max(case when r = floor(0.75 * (n - 1)) then v end) b from r),
+  k as (select n, (case when n >= 200 then 0.85 when n >= 100 then 1.0 else 1.15 end) * 0.9 * (case when b > a then least(sd, (b - a) / 1.34) else sd end) * pow(n, -0.2) h0 from q),
+  h as (select n, case when u > 4 and u < 0.4 * n then greatest(h0, 1.5 * gs[len(gs) // 2 + 1]) else h0 end h from k, s),
+  g as (select g point, 1 + g * (49.0 / 63) x from range(64) t(g)), m as (select v, count(*) c from v group by v),
+  z as (select point, x, c, n, h, unnest([(x - v) / h, (x - (2 - v)) / h, (x - (100 - v)) / h]) z from g, m, h where n >= 8)
+  select cast(point as int) point, round(x, 6) x, round(sum(case when abs(z) < 5 then c * exp(-0.5 * z * z) else 0 end) / (max(n) * max(h) * sqrt(2 * pi())), 9) density from z group by point, x""")
 def kde_reflected(spark, sf_dir):
-    k = stats.reflected_kde(table(spark, sf_dir, "part"), "p_size", 1.0, 50.0, 4.0, 64)
+    k = stats.reflected_kde(table(spark, sf_dir, "part"), "p_size", 1.0, 50.0, 64)
     return k.select("point", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
 
 
@@ -403,7 +414,7 @@ def wilson_interval(spark, sf_dir):
 
 
 @query("""with r as (select p_brand, p_retailprice v, row_number() over (partition by p_brand order by p_retailprice) - 1 r, count(*) over (partition by p_brand) n from part),
-  q as (select p_brand, max(n) n, max(case when r = floor(0.25 * (n - 1)) then v end) a, max(case when r = floor(0.5 * (n - 1)) then v end) m, max(case when r = floor(0.75 * (n - 1)) then v end) b from r group by p_brand)
+  q as (select p_brand, max(n) n, max(case when r = floor(0.25 * (n - 1)) then v end) a, max(case when r = n // 2 then v end) m, max(case when r = floor(0.75 * (n - 1)) then v end) b from r group by p_brand)
   select p_brand, n, m median, round(m - 1.58 * (b - a) / sqrt(n), 6) lo, round(m + 1.58 * (b - a) / sqrt(n), 6) hi from q where n >= 8""")
 def median_interval(spark, sf_dir):
     return stats.median_interval(table(spark, sf_dir, "part"), ["p_brand"], "p_retailprice").withColumns({"lo": F.round("lo", 6), "hi": F.round("hi", 6)})

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import gzip
 import struct
+import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,15 +67,15 @@ def landmarks(spark: SparkSession, path: str) -> DataFrame:
     return points.where("coalesce(p.positionStatus, 'defined') = 'defined' and size(p.position) = 3").select("file", F.col("p.label").alias("name"), "p.position")
 
 
+#: Bytes that hold a header, packed or not.
+HEAD = 4096
 HEADER = "file string, shape array<int>, spacing array<double>, affine array<double>, error string"
 
 
 def _header(data: bytes) -> tuple[list[int], list[float], list[float]]:
     """Shape, spacing and row-major affine of a NIfTI-1 header."""
     if data[:2] == b"\x1f\x8b":
-        import io
-
-        data = gzip.GzipFile(fileobj=io.BytesIO(data)).read(352)
+        data = zlib.decompressobj(wbits=31).decompress(data, 352)
     end = "<" if struct.unpack("<i", data[:4])[0] == 348 else ">"
     if struct.unpack(end + "i", data[:4])[0] != 348:
         raise ValueError("not a NIfTI-1 header")
@@ -84,17 +86,20 @@ def _header(data: bytes) -> tuple[list[int], list[float], list[float]]:
 
 
 def volume_headers(spark: SparkSession, path: str, pattern: str = "*.nii*") -> DataFrame:
-    """Shape, spacing and affine of each volume file; a broken file gets a row with its error."""
+    """Shape, spacing and affine of each volume file; a broken file gets a row with its error. Only the first HEAD bytes of a file
+    are read, by the task that has its path."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for file, data in zip(b["path"], b["content"], strict=True):
+            for file in b["path"]:
                 try:
-                    rows.append((file, *_header(data), None))
-                except (ValueError, struct.error, OSError, EOFError) as e:
+                    store, name = fs.FileSystem.from_uri(unquote(file) if file.startswith("file:") else file)
+                    with store.open_input_stream(name) as f:
+                        rows.append((file, *_header(f.read(HEAD)), None))
+                except (ValueError, struct.error, OSError, EOFError, zlib.error) as e:
                     rows.append((file, None, None, None, str(e)))
             yield pd.DataFrame(rows, columns=["file", "shape", "spacing", "affine", "error"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(run, HEADER)
+    return files.select("path").mapInPandas(run, HEADER)
