@@ -163,10 +163,8 @@ def edited(rng, words, share):
     return [f"new{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("small", [32, 2])
-def test_similar_texts(spark, monkeypatch, small):
-    """Every link of 0.8 or more is found and none below; with long lists (small = 2) by spanning forests."""
-    monkeypatch.setattr(similar, "SMALL", small)
+def test_similar_texts(spark):
+    """Every link of 0.8 or more is found and none below."""
     rng = random.Random(12)
     rows = []
     for g in range(30):
@@ -188,6 +186,22 @@ def test_similar_texts(spark, monkeypatch, small):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(name))
 
 
+def test_similar_texts_in_long_lists(spark):
+    """Groups of edited copies larger than a short list: nothing depends on the length of a list, as all pairs are compared that
+    may reach the similarity."""
+    rng, rows = random.Random(31), []
+    for g in range(3):
+        shared = [f"s{g}x{i}" for i in range(100)]
+        rows += [" ".join([*shared, *(f"p{g}x{m}x{i}" for i in range(rng.randint(6, 24)))]) for m in range(90)]
+    sets = [word_set(t) for t in rows]
+    root = list(range(len(rows)))
+    link = [[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets]
+    for _ in range(6):
+        root = [min(root[b] for b in range(len(rows)) if link[a][b]) for a in range(len(rows))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in enumerate(rows)], SCHEMA).repartition(3)
+    assert {r.doc_id: r.component_id for r in similar.near_duplicates(docs).collect()} == dict(enumerate(root))
+
+
 def test_spanning_forest_is_minimal():
     rng = np.random.default_rng(2)
     fp = np.repeat(rng.integers(0, 1 << 63, (3, 2), dtype=np.uint64), 12, axis=0)
@@ -483,3 +497,136 @@ def test_pipeline(spark, tmp_path):
         docs = after
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == set(kept) and sum(r.n_tokens for r in got) == sum(len((t or "").split()) for t in kept.values())
+
+
+def test_shared_bytes():
+    """The count filter: positional bytes that two fingerprints share."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 1 << 63, 500, dtype=np.uint64) & rng.choice(np.array([0, 0xFF, 0xFF00FF, 0x80, (1 << 63) | 1], np.uint64), 500)
+    assert simhash.shared_bytes(x).tolist() == [int(v).to_bytes(8, "big").count(0) for v in x]
+
+
+def test_equal_texts_stay_together(spark):
+    rng = random.Random(21)
+    texts = [f"group {g} " + "w " * rng.randint(1, 30) for g in range(60)]
+    rows = [(i, texts[rng.randrange(60)], None, None, None, None) for i in range(400)] + [(i, "hot", None, None, None, None) for i in range(400, 600)]
+    got = {r.doc_id: r.shard for r in sharding.shard(spark.createDataFrame(rows, SCHEMA), 4).collect()}
+    where: dict = {}
+    for d, t, *_ in rows:
+        where.setdefault(t, set()).add(got[d])
+    assert all(len(s) == 1 for t, s in where.items() if t != "hot") and len(where["hot"]) == 4  # a third of all rows is more than a shard's share
+
+
+def test_placement_is_greedy():
+    """Largest first, each to the shard whose residual capacity has the highest dot product; ties to the lower shard."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        items = rng.integers(0, 9, (rng.integers(1, 30), 3)).astype(float)
+        unit = items / np.where(items.sum(axis=0) > 0, items.sum(axis=0), 1)
+        free = [[1 / 5] * 3 for _ in range(5)]
+        want = [0] * len(items)
+        for i in sorted(range(len(items)), key=lambda i: (-max(unit[i]), i)):
+            dots = [sum(f * u for f, u in zip(row, unit[i], strict=True)) for row in free]
+            want[i] = max(range(5), key=lambda s: (round(dots[s], 12), -s))
+            free[want[i]] = [f - u for f, u in zip(free[want[i]], unit[i], strict=True)]
+        assert sharding.place(items, 5).tolist() == want
+
+
+def test_language_model_end_to_end(spark, monkeypatch):
+    """Training and scores by plain loops over all texts, with a head, tail classes and pieces."""
+    monkeypatch.setattr(hmm_lm, "HEAD", 12)
+    rng = random.Random(17)
+    voc = [f"w{i}" for i in range(25)]
+    rows = [(i, " ".join(voc[min(24, int(rng.expovariate(0.2)))] for _ in range(rng.choice([0, 3, 40, 700]))), "en", "s", 1, 1) for i in range(40)]
+    got = {r.doc_id: r.score for r in hmm_lm.score(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    train = [t for d, t, *_ in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in [*hmm_lm.tokens(t), hmm_lm.END])
+    level = lambda w: math.floor(math.log2(count[w]) * 64)
+    from pyspark.sql import functions as F
+
+    digest = {bytes(r.w): r.h for r in spark.createDataFrame([(w,) for w in count], "w binary").select("w", F.xxhash64("w").alias("h")).collect()}
+    head = sorted(w for w in sorted(count, key=lambda w: (-level(w), digest[w], w))[:12] if w != hmm_lm.END)
+    ids = {w: i + 1 for i, w in enumerate(head)} | {hmm_lm.END: 0}
+    symbol = lambda w: ids.get(w, len(head) + 1 + zlib.crc32(w) % hmm_lm.TAIL)
+    total, kinds = Counter(), Counter()
+    for w, c in count.items():
+        total[symbol(w)] += c
+        kinds[symbol(w)] += 1
+    frequency = np.array([total[s] + 1 for s in range(len(head) + 1 + hmm_lm.TAIL)], float)
+    frequency /= frequency.sum()
+    start, middle, move, emit = hmm_lm._initial(frequency)
+    S = len(move)
+    for _ in range(hmm_lm.STEPS):
+        counts, moves, begun = np.zeros_like(emit), np.zeros((S, S)), np.zeros(S)
+        for t in train:
+            seq = [symbol(w) for w in [*hmm_lm.tokens(t), hmm_lm.END]]
+            for p in range(0, len(seq), hmm_lm.PIECE):
+                part = seq[p : p + hmm_lm.PIECE]
+                a, b = [(start if p == 0 else middle) * emit[part[0]]], [np.ones(S)]
+                for s in part[1:]:
+                    a[-1] = a[-1] / a[-1].sum()
+                    a.append((a[-1] @ move) * emit[s])
+                a[-1] = a[-1] / a[-1].sum()
+                for s in reversed(part[1:]):
+                    x = move @ (emit[s] * b[0])
+                    b.insert(0, x / x.sum())
+                gamma = [x * y / (x @ y) for x, y in zip(a, b, strict=True)]
+                for s, g in zip(part, gamma, strict=True):
+                    counts[s] += g
+                begun += gamma[0] if p == 0 else 0
+                for i in range(len(part) - 1):
+                    xi = np.outer(a[i], emit[part[i + 1]] * b[i + 1]) * move
+                    moves += xi / xi.sum()
+        used = counts.sum(axis=0)
+        emit = (counts + hmm_lm.SMOOTH * frequency[:, None]) / (used + hmm_lm.SMOOTH)
+        middle, start = (used + 1 / S) / (used + 1 / S).sum(), (begun + 1 / S) / (begun + 1 / S).sum()
+        move = (moves + 1 / S) / (moves + 1 / S).sum(axis=1, keepdims=True)
+    for d, t, *_ in rows:
+        words = [*hmm_lm.tokens(t), hmm_lm.END]
+        log, a = 0.0, None
+        for w in words:
+            a = (start if a is None else a @ move) * emit[symbol(w)]
+            log += math.log10(a.sum())
+            a = a / a.sum()
+            if w not in ids:
+                log += math.log10((count[w] + 1) / (total[symbol(w)] + kinds[symbol(w)] + 1))
+        assert abs(got[d] - log) < 1e-6 * max(1, abs(log)), d
+
+
+def test_ranking_on_tied_scores(spark):
+    """Equal texts of both labels tie: the threshold lies at their score, so all are predicted 1."""
+    rows = [(d, "the same text " * 5, "en", "s", 1, 1) for d in range(60)]
+    labels = spark.createDataFrame([(d, d % 2, 0) for d in range(60)], "doc_id long, quality int, toxic int")
+    got = pairwise_quality.rank(spark.createDataFrame(rows, SCHEMA), labels).collect()
+    assert len({(r.score, r.predicted) for r in got}) == 1 and len(got) == 60
+
+
+def test_null_and_repeated_ids(spark, rows):
+    """Every operator takes rows without an id and rows that repeat, and gives each its row."""
+    odd = [*rows, rows[0], rows[1], (None, rows[10][1], "en", "s", 1, 1), (None, "new words " * 20, None, None, None, None), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(odd, SCHEMA).repartition(4)
+    bench = spark.createDataFrame([(None, None), (1, "new words " * 10), (1, "new words " * 10)], "item_id long, text string")
+    labels = spark.createDataFrame([(rows[0][0], 1, 0), (rows[0][0], 1, 0), (rows[5][0], 0, 0), (None, 1, 0), (rows[7][0], None, 0)], "doc_id long, quality int, toxic int")
+    want = Counter(r[0] for r in odd)
+    for out in (
+        quality_rules.measure(docs), token_cache.count_tokens(docs, cache=storage.new_path(spark, "t")), sharding.shard(docs, 3), suffix_dedup.measure(docs), substring_dedup.measure(docs), simhash.near_duplicates(docs),
+        similar.near_duplicates(docs), hmm_lm.score(docs), pairwise_quality.rank(docs, labels), substring_dedup.strip_documents(docs),
+    ):
+        assert Counter(r.doc_id for r in out.select("doc_id").collect()) == want
+    assert {r.doc_id for r in packing.pack(docs).collect()} == set(want)
+    assert decontaminate.leaks(docs, bench).where("doc_id is null").count() == 1
+    assert None not in {r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()}
+
+
+def test_hot_keys_are_looked_up_apart(spark, monkeypatch):
+    monkeypatch.setattr(storage, "BROADCAST_BYTES", 0)
+    df = spark.range(3000).select(half_hot().alias("key"), "id")
+    table = storage.stage(df.groupBy("key").count().selectExpr("key", "count n", "key * 2 twice").where("key <> 5"), "t")
+    got = storage.lookup(df, table, ["key"], "n").collect()
+    assert len(got) == 3000 and all(r.twice == (None if r.key == 5 else r.key * 2) for r in got)
+
+
+def half_hot():
+    from pyspark.sql import functions as F
+
+    return F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1500)

@@ -33,7 +33,7 @@ def place(items: np.ndarray, shards: int) -> np.ndarray:
     free = np.full((shards, items.shape[1]), 1 / shards)
     out = np.zeros(len(items), dtype=np.int64)
     for i in np.lexsort((np.arange(len(items)), -unit.max(axis=1))):
-        out[i] = int(np.argmax(free @ unit[i]))
+        out[i] = int(np.argmax(np.round(free @ unit[i], 12)))  # what differs by rounding alone ties
         free[out[i]] -= unit[i]
     return out
 
