@@ -32,7 +32,7 @@ CHUNK = 1 << 18
 #: Documents in an Arrow batch.
 ARROW_ROWS = 2000
 #: Stretches of windows that a task holds before it hands them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Bytes of text for each bucket: what a task holds at once doesn't grow with the input.
 BUCKET_BYTES = 4 << 20
 NO_ID = -(1 << 63)

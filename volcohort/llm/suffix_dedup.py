@@ -43,7 +43,7 @@ CHECK = np.uint64(0xFFFF)
 #: Odd multipliers of the eight-byte words of a check, by rule.
 WEIGHTS = mix(np.arange(1, 8, dtype=np.uint64)) | np.uint64(1)
 #: Positions in one piece of the rows that a task hands on.
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 
 def _ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
