@@ -24,5 +24,5 @@ def test_every_line_gets_its_candidate(spark, tmp_path):
             tier, _, supplier, xo, xn = min(found)
             want.add((o, n, tier, supplier, xo, xn))
     assert {o % 10 for o, *_ in want} == set(range(10))
-    got = catalogue.candidate_cascade_all(spark, str(tmp_path)).select("ok", "ln", "tier", "sk", "xo", "xl").collect()
+    got = catalogue.candidate_cascade(spark, str(tmp_path)).select("ok", "ln", "tier", "sk", "xo", "xl").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want

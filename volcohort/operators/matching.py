@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def cascade(left: DataFrame, right: DataFrame, on: list[str], key: str, tiers: list[Column], rank: list[Column]) -> DataFrame:
-    """Candidates of each `key`: an equi-join, then only those of the first tier that any of its candidates meets, ranked."""
+def cascade(
+    left: DataFrame, right: DataFrame, on: list[str], keys: list[str], tiers: list[Column], rank: list[Column], where: Column | None = None
+) -> DataFrame:
+    """Candidates of each row of `left`, told apart by `keys`: an equi-join (pairs that meet `where`, if given), then only those
+    of the first tier that any of its candidates meets, ranked."""
     tier = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(tiers)], F.lit(len(tiers)))
-    out = left.join(right, on).withColumn("tier", tier)
-    out = out.withColumn("_best", F.min("tier").over(Window.partitionBy(key))).where("tier = _best").drop("_best")
-    return out.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*rank)))
+    pairs = left.join(right, on)
+    out = (pairs if where is None else pairs.where(where)).withColumn("tier", tier)
+    out = out.withColumn("_best", F.min("tier").over(Window.partitionBy(*keys))).where("tier = _best").drop("_best")
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*rank)))
 
 
 def first_candidate(pairs: DataFrame, keys: list[str], tiers: list[Column], rank: list[Column], keep: list[str]) -> DataFrame:

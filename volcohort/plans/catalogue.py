@@ -164,32 +164,37 @@ def transition_calls(spark, sf_dir):
 
 @query("""with c as (select l.l_orderkey ok, l.l_linenumber ln, x.l_orderkey xo, x.l_linenumber xl, x.l_suppkey sk, abs(l.l_quantity - x.l_quantity) dq,
     case when l.l_suppkey = x.l_suppkey then 0 when l.l_quantity = x.l_quantity then 1 when abs(l.l_quantity - x.l_quantity) <= 5 then 2 else 3 end tier
-    from lineitem l join lineitem x on l.l_partkey = x.l_partkey and (l.l_orderkey <> x.l_orderkey or l.l_linenumber <> x.l_linenumber) where l.l_orderkey % 10 = 1),
+    from lineitem l join lineitem x on l.l_partkey = x.l_partkey and (l.l_orderkey <> x.l_orderkey or l.l_linenumber <> x.l_linenumber)),
   t as (select *, min(tier) over (partition by ok, ln) best from c),
   r as (select *, row_number() over (partition by ok, ln order by dq, sk, xo, xl) rank from t where tier = best)
   select ok, ln, tier, sk, xo, xl from r where rank = 1""")
 def candidate_cascade(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    pairs, tiers, rank = _line_pairs(li.where("l_orderkey % 10 = 1"), li)
-    out = matching.cascade(pairs.select("id", "ok", "ln", "os", "oq", "xo", "xl", "sk", "xq"), pairs.select("id").distinct(), ["id"], "id", tiers, rank)
-    return out.where("rank = 1").select("ok", "ln", "tier", "sk", "xo", "xl")
+    """All lines are matched against all others of their part."""
+    a, b, other, tiers, rank = _line_cascade(spark, sf_dir)
+    return matching.first_candidate(a.join(b, "l_partkey").where(other), ["ok", "ln"], tiers, rank, ["sk", "xo", "xl"])
 
 
-@query()
-def candidate_cascade_all(spark, sf_dir):
-    """All lines as the side to match; a test holds it against brute force."""
-    li = table(spark, sf_dir, "lineitem")
-    pairs, tiers, rank = _line_pairs(li, li)
-    return matching.first_candidate(pairs, ["ok", "ln"], tiers, rank, ["sk", "xo", "xl"]).select("ok", "ln", "tier", "sk", "xo", "xl")
+@query("""with c as (select l.l_orderkey ok, l.l_linenumber ln, x.l_orderkey xo, x.l_linenumber xl, x.l_suppkey sk, abs(l.l_quantity - x.l_quantity) dq,
+    case when l.l_suppkey = x.l_suppkey then 0 when l.l_quantity = x.l_quantity then 1 when abs(l.l_quantity - x.l_quantity) <= 5 then 2 else 3 end tier
+    from lineitem l join lineitem x on l.l_partkey = x.l_partkey and (l.l_orderkey <> x.l_orderkey or l.l_linenumber <> x.l_linenumber)),
+  t as (select *, min(tier) over (partition by ok, ln) best from c),
+  r as (select *, row_number() over (partition by ok, ln order by dq, sk, xo, xl) rank from t where tier = best)
+  select tier, rank, count(*) n, sum(dq) dq from r group by tier, rank""")
+def candidate_ranks(spark, sf_dir):
+    """How many lines have a candidate of each rank in their first tier, and how far these are."""
+    a, b, other, tiers, rank = _line_cascade(spark, sf_dir)
+    out = matching.cascade(a, b, ["l_partkey"], ["ok", "ln"], tiers, rank, other)
+    return out.groupBy(F.col("tier").cast("int").alias("tier"), F.col("rank").cast("long").alias("rank")).agg(F.count(F.lit(1)).alias("n"), F.sum(rank[0]).alias("dq"))
 
 
-def _line_pairs(left, li):
-    """Pairs of lines of the same part, the tiers of a cascade and its rank."""
-    a = left.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("os"), F.col("l_quantity").alias("oq"), "l_partkey", F.struct("l_orderkey", "l_linenumber").alias("id"))
+def _line_cascade(spark, sf_dir):
+    """Both sides of a join of lines on their part, what tells a line from itself, the tiers and the rank."""
+    li = table(spark, sf_dir, "lineitem")
+    a = li.select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("os"), F.col("l_quantity").alias("oq"), "l_partkey")
     b = li.select(F.col("l_orderkey").alias("xo"), F.col("l_linenumber").alias("xl"), F.col("l_suppkey").alias("sk"), F.col("l_quantity").alias("xq"), "l_partkey")
     dq = F.abs(F.col("oq") - F.col("xq"))
-    itself = (F.col("ok") == F.col("xo")) & (F.col("ln") == F.col("xl"))
-    return a.join(b, "l_partkey").where(~itself), [F.col("os") == F.col("sk"), dq == 0, dq <= 5], [dq, F.col("sk"), F.col("xo"), F.col("xl")]
+    other = (F.col("ok") != F.col("xo")) | (F.col("ln") != F.col("xl"))
+    return a, b, other, [F.col("os") == F.col("sk"), dq == 0, dq <= 5], [dq, F.col("sk"), F.col("xo"), F.col("xl")]
 
 
 FUSION_SQL = """with b as (select l_orderkey k, l_returnflag f, l_suppkey s, row_number() over (partition by l_orderkey, l_returnflag order by l_extendedprice desc, l_linenumber) r from lineitem),
