@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from volcohort.plans import compare
+from volcohort.plans import index
 
 DATA = "/root/testdata/sf0.001"
 
@@ -27,14 +27,14 @@ def plain(v):
     return round(float(v), 6) if hasattr(v, "as_tuple") else v
 
 
-@pytest.mark.parametrize("name", list(compare.QUERIES))
+@pytest.mark.parametrize("name", list(index.QUERIES))
 def test_query(spark, duck, name):
-    df = compare.QUERIES[name](spark, DATA)
+    df = index.QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
-    if name not in compare.ORACLES:
+    if name not in index.ORACLES:
         assert df.count() > 0
         return
-    rel = duck.sql(compare.ORACLES[name])
+    rel = duck.sql(index.ORACLES[name])
     assert sorted(rel.columns) == cols
     at = [rel.columns.index(c) for c in cols]
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)

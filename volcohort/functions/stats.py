@@ -52,6 +52,21 @@ def median_interval(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return out.select(*keys, "n", "median", (F.col("median") - half).alias("lo"), (F.col("median") + half).alias("hi"))
 
 
+def middle(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, n, median: v[n // 2] of the ordered values of each key, exactly. A mergeable sketch bounds where it lies, with room for
+    the sketch's error; only the values between the bounds, a tenth, are ordered, and equal ones are counted before."""
+    v = F.col(value).cast("double")
+    own = df.where(v.isNotNull()).select(*keys, v.alias("_v"))
+    bounds = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", [0.45, 0.55], 1000).alias("_b"))
+    bounds = bounds.withColumn("_wide", F.col("n") < 40)  # so few that the bounds may be ranks away
+    low, high = F.when(~F.col("_wide"), F.col("_b")[0]).otherwise(float("-inf")), F.when(~F.col("_wide"), F.col("_b")[1]).otherwise(float("inf"))
+    counted = own.join(bounds.select(*keys, "n", low.alias("_lo"), high.alias("_hi")), keys).where("_v <= _hi")
+    counted = counted.groupBy(*keys, F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v")).alias("_v")).agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("_c"))
+    seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")))
+    found = counted.withColumn("_seen", seen).where((F.col("_seen") > F.floor(F.col("n") / 2)) & F.col("_v").isNotNull())
+    return found.groupBy(*keys).agg(F.first("n").alias("n"), F.min("_v").alias("median"))
+
+
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
     """(bin, n) of equal bins over [low, high]; the last holds its upper edge; values outside are left out."""
     width = (high - low) / bins
