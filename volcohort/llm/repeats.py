@@ -115,7 +115,10 @@ def _merged(doc: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
 
 def settle(c: Columns, across: bool, decide: bool) -> tuple[np.ndarray, np.ndarray]:
     """(covered, open) masks over runs. across: only runs of other documents cover a run; decide: whether any may be covered."""
-    order = np.lexsort((c["at"], c["doc"], c["ctx"], c["name"]) if decide else (c["at"], c["doc"], c["name"]))
+    if across:  # the least document of a class is looked up, so rows needn't be in the order of their places
+        order = np.lexsort((c["ctx"], c["name"])) if decide else np.argsort(c["name"])
+    else:
+        order = np.lexsort((c["at"], c["doc"], c["ctx"], c["name"]) if decide else (c["at"], c["doc"], c["name"]))
     name, doc, at = c["name"][order], c["doc"][order], c["at"][order]
     n = len(order)
     covered, open_ = np.zeros(n, bool), np.zeros(n, bool)
@@ -124,14 +127,15 @@ def settle(c: Columns, across: bool, decide: bool) -> tuple[np.ndarray, np.ndarr
     new_name = np.concatenate([[True], name[1:] != name[:-1]])
     of = np.cumsum(new_name) - 1
     starts = np.flatnonzero(new_name)
-    other = lambda first: doc > doc[first] if across else (doc != doc[first]) | (at != at[first])  # noqa: E731  # a repeated row doesn't cover itself
+    other = lambda first: (doc != doc[first]) | (at != at[first])  # noqa: E731  # a repeated row doesn't cover itself
     if not decide:  # a name in several documents, or in several places
-        far = np.maximum.reduceat(doc, starts) > doc[starts] if across else np.logical_or.reduceat(other(starts[of]), starts)
+        far = np.maximum.reduceat(doc, starts) > np.minimum.reduceat(doc, starts) if across else np.logical_or.reduceat(other(starts[of]), starts)
         open_[order] = far[of]
         return covered, open_
     ctx = c["ctx"][order]
     new = new_name | np.concatenate([[True], ctx[1:] != ctx[:-1]])
-    hit = other(np.flatnonzero(new)[np.cumsum(new) - 1])  # the first row of each class
+    firsts, nth = np.flatnonzero(new), np.cumsum(new) - 1
+    hit = doc > np.minimum.reduceat(doc, firsts)[nth] if across else other(firsts[nth])  # not of the first document, or row, of the class
     several = np.bincount(of, weights=new)[of] > 1
     if across:  # and in several documents
         several &= (np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts))[of]
