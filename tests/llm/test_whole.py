@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from volcohort.llm import quality_rules, similar, substring_dedup
@@ -76,3 +77,25 @@ def test_odd_white_space_is_kept(spark):
     rows = [(1, passage), (2, f"\u00a0first {passage} last\u3000"), (3, f"\x1c {passage} \x85")]
     out = substring_dedup.strip_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.text for r in out} == {1: passage, 2: "\u00a0first last\u3000", 3: "\x1c \x85"}
+
+
+def test_words_of_one_polynomial_name_differ(spark):
+    """Thue-Morse words and their complements agree in any polynomial of an odd base modulo 2^64, but aren't equal."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    morse, other = ("".join(pair[b] for b in bits) for pair in ("ab", "ba"))
+    side = [f"w{i}" for i in range(10)]
+    rows = [(1, " ".join([*side, morse, *side])), (2, " ".join([*side, other, *side])), (3, " ".join([*side, morse, *side]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring_dedup.measure(df).collect()} == {1: 0, 2: 0, 3: 21}
+    assert {r.doc_id: r.text for r in substring_dedup.strip_documents(df).collect()} == {1: rows[0][1], 2: rows[1][1], 3: ""}
+
+
+def test_names_of_words_tell_all_bytes():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.choice([1, 7, 8, 9, 16, 17, 5000]))) for _ in range(3000)})
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    a, b = substring_dedup.word_bounds(data, np.array([0]))
+    assert all(len(set(x.tolist())) == len(words) for x in substring_dedup.word_names(data, a, b))
+    at = np.array([a[-1]]), np.array([b[-1]])
+    alone = substring_dedup.word_names(np.frombuffer(words[-1].encode(), np.uint8), np.array([0]), np.array([len(words[-1])]))
+    assert [int(x[0]) for x in substring_dedup.word_names(data, *at)] == [int(x[0]) for x in alone]

@@ -10,8 +10,8 @@ windows without runs. A window without any is named as a whole.
 Of the interior symbols the one of least scrambled name stands for the window. After each round of recompression Spark brings
 the symbols of all documents together by name: windows whose symbol occurs in one place only can't repeat and are dropped,
 so each round works on what the one before left open. The symbols of the last round that are shared reveal the repeats; they
-are verified on the words of whole stretches of windows, then of shorter ones and of single windows, by 64-bit names and
-checks of as many bits over the words.
+are verified on the words of whole stretches of windows, then of shorter ones and of single windows. Each word has two names of
+64 bits, both scrambled from its bytes; one makes the names of stretches, the other the checks beside them.
 
 Nulls: a null text has no words; a null doc_id counts as the smallest. Texts under 20 words lose nothing, empty tables give no
 rows. Rows that share a doc_id are one document; a row that is repeated doesn't cover itself. Very long texts are compressed as
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from volcohort.llm import repeats
-from volcohort.llm.repeats import NO_ID, Columns, columns, mix, pair
+from volcohort.llm.repeats import M1, M2, M3, NO_ID, Columns, columns, mix, pair
 from volcohort.llm.storage import small
 from volcohort.llm.text import boxed, unboxed
 
@@ -40,10 +40,10 @@ ROUNDS = 3
 WIDTHS = (LENGTH, 5, 1)
 BASE = 0xD6E8FEB86659FD93
 BACK = pow(BASE, -1, 1 << 64)
-#: A number for each byte, by rule.
-BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
+#: Masks of the first 0 to 8 bytes of a number.
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 LOG2 = np.array([0, 0, 1, 1, *[2] * 4, *[3] * 8, *[4] * 16])
 _powers: dict[str, np.ndarray] = {}
 
@@ -80,6 +80,24 @@ def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def word_names(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two names of 64 bits for each word of the bytes data[a:b], made by scrambling eight bytes at a time: each step mixes what
+    it has with the next bytes, so no rule of arithmetic makes words of different bytes meet."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = (b - a).astype(np.uint64)
+    one, two = mix(size * M1 + M2), mix(size * M3 + M1)
+    at, left, rows = a, b - a, slice(None)
+    while len(at):
+        part = eight[at] & FIRST[np.minimum(left, 8)]
+        one[rows] = mix(one[rows] ^ mix(part + M1))
+        two[rows] = mix(two[rows] + mix(part ^ M2) * M3)
+        more = left > 8
+        rows = np.flatnonzero(more) if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    return one, two
+
+
 def _interior(word: np.ndarray, doc: np.ndarray, p: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, first word of each, first and last interior symbol of each window that starts at p) after so many rounds."""
     new = np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])])
@@ -130,7 +148,7 @@ def symbols(docs: list, asked: list, rounds: int, width: int, check: bool) -> It
         a, b = word_bounds(data, starts)
         if len(a) < LENGTH:
             continue
-        word = Names(BYTES[data]).of(a, b)
+        word, other = word_names(data, a, b)
         doc = np.searchsorted(starts, a, "right") - 1
         began = np.searchsorted(doc, np.arange(len(ids)))  # the first word of each document
         p = np.flatnonzero(doc[: len(word) - LENGTH + 1] == doc[LENGTH - 1 :])
@@ -148,7 +166,7 @@ def symbols(docs: list, asked: list, rounds: int, width: int, check: bool) -> It
         name = np.where(any_, name, mix(content + np.uint64(5)))
         ctx = np.zeros(len(p), np.uint64)
         if check:
-            again = Names(mix(word + np.uint64(1))).of(p, last + LENGTH)
+            again = Names(other).of(p, last + LENGTH)
             ctx = pair(pair(content, again), ((a - p) * 64 + (last - p)).astype(np.uint64), 9)
         yield columns(name=name, ctx=ctx, doc=ids[doc[p]], at=p - began[doc[p]], more=last - p)
 
