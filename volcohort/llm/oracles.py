@@ -52,6 +52,47 @@ r as (select *, row_number() over (partition by doc_id, item_id order by similar
 select doc_id, item_id, cast(st as int) as "start", cast(n as int) n_words, round(similarity, 6) similarity from r where r = 1"""
 
 
+# Lines whose key an earlier document holds go.
+OP11 = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents),
+l as (select doc_id, unnest(ls) l, generate_subscripts(ls, 1) i from d),
+k as (select doc_id, i, l, translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from l),
+f as (select k, min(doc_id) first from k where length(k) >= 10 group by k),
+g as (select k.*, coalesce(first < doc_id, false) gone from k left join f on f.k = k.k)
+select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped, sha256(coalesce(string_agg(l, chr(10) order by i) filter (not gone), '')) kept_sha256 from g group by doc_id"""
+
+# Runs by comparing all pairs of equal words of a text; crc32 by its polynomial, one bit at a time.
+OP12 = f"""
+with c as (select doc_id, {WORDS.format("coalesce(text, '')")} w, xor(4294967295::ubigint, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ord(x)::ubigint),
+  lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda r, z: xor(r >> 1, 3988292384::ubigint * (r & 1::ubigint))), 4294967295::ubigint))::bigint h from documents),
+g as (select *, len(w) n, h // 10 g from c),
+a as (select *, case when n > 0 and h % 10 = 0 then g % n end a from g),
+p as (select *, 1 + (n - a) // (3 + g % 8) p from a),
+d as (select doc_id, n, case when a is null then w else list_transform(range(0, n), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % p + 1] end) end w from p),
+t as (select doc_id, n, unnest(w) x, unnest(range(0, n)) i from d),
+m as (select s.doc_id, s.i, e.i - s.i p from t s join t e on s.doc_id = e.doc_id and s.x = e.x where e.i > s.i and 2 * (e.i - s.i) <= s.n),
+k as (select *, i - row_number() over (partition by doc_id, p order by i) k from m),
+e as (select doc_id, p, min(i) s, count(*) + p l from k group by doc_id, p, k having count(*) + p >= greatest(12, 2 * p)),
+r as (select doc_id, s, l, min(p) q from e group by doc_id, s, l),
+b as (select *, row_number() over (partition by doc_id order by l desc, s, q) b from r),
+o as (select doc_id, count(*) n_runs, max(s) filter (b = 1) "start", max(l) filter (b = 1) length, max(q) filter (b = 1) period, string_agg(concat(s, ',', l, ',', q, chr(10)), '' order by s, q) told from b group by doc_id),
+x as (select distinct doc_id, unnest(range(s + q, s + l)) i from r),
+y as (select t.doc_id, string_agg(t.x, ' ' order by t.i) kept from t left join x on x.doc_id = t.doc_id and x.i = t.i where x.i is null group by t.doc_id)
+select d.doc_id, coalesce(n_runs, 0) n_runs, cast("start" as bigint) "start", cast(length as bigint) length, cast(period as bigint) period, cast(1000 * length // period as bigint) exponent_milli,
+  sha256(coalesce(told, '')) runs_sha256, sha256(coalesce(kept, '')) collapsed_sha256 from d left join o on o.doc_id = d.doc_id left join y on y.doc_id = d.doc_id"""
+
+# Negatives by all scores of all anchors.
+OP13 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) e
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id anchor_id, b.vec_id, b.label = a.label same, cast(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) as bigint) s
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, vec_id positive_id, s positive_score from s where same qualify row_number() over (partition by anchor_id order by s desc, vec_id) <= 5),
+n as (select p.*, s.vec_id negative_id, s.s negative_score, row_number() over (partition by p.anchor_id, positive_id order by s.s desc, s.vec_id) r
+  from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * positive_score <= 100 * s.s and s.s <= positive_score)
+select anchor_id, positive_id, cast(r as int) rank, negative_id, positive_score, negative_score from n where r <= 5"""
+
+
 def _op1() -> str:
     q = quality_rules
     every = "['" + "', '".join(sorted({w for ws in q.COMMON_WORDS.values() for w in ws})) + "']"

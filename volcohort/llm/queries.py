@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volcohort.llm import (
-    decontaminate, hmm_lm, oracles, packing, pairwise_quality, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_cache,
+    decontaminate, hard_negatives, hmm_lm, line_dedup, oracles, packing, pairwise_quality, periodic, quality_rules, sharding, simhash, substring_dedup, suffix_dedup,
+    token_cache,
 )
 from volcohort.llm.storage import new_path
 
@@ -64,12 +65,28 @@ def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairwise_quality.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_line_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.measure(_table(spark, sf_dir, "documents"))
+
+
+def op12_harmonic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.collapse(periodic.planted(_table(spark, sf_dir, "documents"))))
+
+
+def op13_vantage_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(_table(spark, sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_decontamination, op3_length_buckets, op4_token_cache, op5_vector_shards, op6_prefix_doubling,
-        op7_simhash, op8_recompression, op9_hidden_markov, op10_pairwise_quality,
+        op7_simhash, op8_recompression, op9_hidden_markov, op10_pairwise_quality, op11_line_hash, op12_harmonic_runs,
+        op13_vantage_negatives,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": oracles.OP1, "op2_decontamination": oracles.OP2, "op6_prefix_doubling": oracles.OP6, "op8_recompression": oracles.OP8}
+    return {
+        "op1_quality_rules": oracles.OP1, "op2_decontamination": oracles.OP2, "op6_prefix_doubling": oracles.OP6, "op8_recompression": oracles.OP8,
+        "op11_line_hash": oracles.OP11, "op12_harmonic_runs": oracles.OP12, "op13_vantage_negatives": oracles.OP13,
+    }
