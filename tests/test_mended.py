@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from volcohort.functions import codes, coerce, review, stats
-from volcohort.operators import compare, sequence, transitions
+from volcohort.operators import compare, reports, sequence, transitions, voxel
 
 
 def column(spark, values, kind, f):
@@ -109,15 +109,60 @@ def test_automatic_adjudication(spark):
 
 
 def test_ledger_transitions(spark):
-    cases = spark.createDataFrame([(1, "ribs", "v4", 0, ["z"], False, [])], "case_id int, region string, label_file string, priority int, deferred_by array<string>, needs_expert boolean, rereads array<struct<by:string,reason:string>>")
+    cases = spark.createDataFrame([(1, "ribs", "v4", 0, ["z"], False, [])], "case_id int, region string, label_file string, priority int, deferred_by array<string>, needs_expert boolean, rereads array<struct<by:string,reason:string,at:timestamp>>")
     slots = spark.createDataFrame([(1, "1", "ann", "t1", False, True, None), (1, "2", "bob", "t2", True, False, None)], "case_id int, slot string, reviewer string, claim_token string, done boolean, amend boolean, amend_base string")
     ask = lambda *rows: spark.createDataFrame(rows, "case_id int, slot string, claim_token string, reviewer_id string, reason string")
     assert transitions.amend_next(cases, slots, "ann").first().base == "v4" and transitions.amend_next(cases, slots, "bob").count() == 0
     after, left, refused = transitions.defer(cases, slots, ask((1, "1", "t1", None, None), (1, "2", "t2", None, None), (1, "9", "t", None, None)))
     assert after.first().deferred_by == ["z", "ann"] and [r.slot for r in left.collect()] == ["2"]
     assert {r.slot: r.problem for r in refused.collect()} == {"2": "already submitted", "9": "no open claim"}
-    after, left, refused = transitions.flag(cases, slots, ask((1, "2", "drifted", "bob", "L6"), (1, "1", "no", "bob", "")))
+    after, left, refused = transitions.flag(cases, slots, ask((1, "2", "drifted", "bob", "L6"), (1, "1", "no", "bob", "")), F.lit("2024-01-02"))
     r = after.first()
-    assert r.needs_expert and r.rereads == [("bob", "L6")] and left.count() == 2 and refused.count() == 1
+    assert r.needs_expert and [(x.by, x.reason, str(x.at)[:10]) for x in r.rereads] == [("bob", "L6", "2024-01-02")] and left.count() == 2 and refused.count() == 1
     assert transitions.set_priority(cases, cases.select("case_id"), 9).first().priority == 9
     assert [r.accepted for r in transitions.gate(slots.withColumn("label", F.lit("x")), slots.where("false").selectExpr("case_id", "slot", "done ok", "array('') messages"), "ribs").collect()] == [False, False]
+
+
+def test_null_lists_of_a_case_count_as_empty(spark):
+    kind = "case_id int, region string, label_file string, priority int, deferred_by array<string>, needs_expert boolean, rereads array<struct<by:string,reason:string,at:timestamp>>"
+    cases = spark.createDataFrame([(1, "ribs", "v4", 0, None, None, None), (2, "ribs", "v4", 0, None, None, None)], kind)
+    slots = spark.createDataFrame([(1, "1", "ann", "t1", False, False, None), (2, "1", None, "t2", False, False, None)], "case_id int, slot string, reviewer string, claim_token string, done boolean, amend boolean, amend_base string")
+    ask = lambda *rows: spark.createDataFrame(rows, "case_id int, slot string, claim_token string, reviewer_id string, reason string")
+    after = {r.case_id: r for r in transitions.defer(cases, slots, ask((1, "1", "t1", None, None)))[0].collect()}
+    assert (after[1].deferred_by, after[2].deferred_by) == (["ann"], [])
+    after = {r.case_id: r for r in transitions.flag(cases, slots, ask((2, "1", "t2", "cy", "")), F.lit("2024-01-02"))[0].collect()}
+    assert after[2].needs_expert and after[2].deferred_by == ["cy"] and [(x.by, x.reason) for x in after[2].rereads] == [("cy", "(no reason given)")]
+    assert not after[1].needs_expert and after[1].rereads == []
+
+
+def test_conflicts_without_weights_stay_open(spark):
+    base, a, b = (volume(spark, [(c, 0, 0, 0, v) for c in (1, 2)]) for v in (34, 40, 41))
+    weights = spark.createDataFrame([(2, 2.0, 1.0)], "case_id int, wa double, wb double")
+    got = {r.case_id: r.label for r in compare.resolve_classes(voxel.three_way(base, a, b), a, b, weights).collect()}
+    assert got == {1: None, 2: 40}
+
+
+def test_specks_hang_together_by_faces(spark):
+    """A block of 4 x 4 x 4, a voxel that touches it by a corner, and a class in one small piece."""
+    block = [(1, k, j, i, 34) for k in range(4) for j in range(4) for i in range(4)]
+    v = volume(spark, [*block, (1, 4, 4, 4, 34), (1, 8, 0, 0, 35)])
+    hu = volume(spark, [(1, 0, 0, 0, 300)]).withColumnRenamed("label", "hu")
+    checks = spark.createDataFrame([(1, True)], "case_id int, ok boolean")
+    final, _ = compare.adjudicated(v, v, v, hu, checks)
+    assert {(r.k, r.label) for r in final.collect() if r.k > 3} == {(8, 35)} and final.count() == 65
+
+
+def test_border_of_grids(spark):
+    """Windows follow each case's own spacing and number of slices."""
+    truth = volume(spark, [(c, k, 0, 0, 5 if k == 10 else 7) for c in (1, 2, 3) for k in range(20)])
+    pred = volume(spark, [(c, k, 0, 0, 7) for c in (1, 2, 3) for k in range(20)])
+    grids = spark.createDataFrame([(1, 5.0, 20), (2, 3.0, 13)], "case_id int, spacing double, slices int")
+    got = {r.case_id: (r.lo, r.hi, r.voxels) for r in compare.border(pred, truth, grids).collect()}
+    assert got == {1: (6, 14, 8), 2: (3, 13, 10)}
+    assert {(r.case_id, r.truth, r.pred): r.n for r in compare.border_confusion(pred, truth, grids).collect()} == {(1, 5, 7): 1, (1, 7, 7): 7, (2, 5, 7): 1, (2, 7, 7): 9}
+
+
+def test_stated_totals_go_first(spark):
+    cases = spark.createDataFrame([("fused", None, None, None)], "match_type string, spine struct<bone_pct: double, method: string>, pelvic struct<bone_pct: double>, lstv_pelvic string")
+    got = {r.key: r.value for r in reports.fillsheet(cases, spark.createDataFrame([(7, None)], "n_cases int, n_fused int")).collect()}
+    assert (got["n_dataset"], got["n_fused"]) == ("7", "1")

@@ -84,21 +84,6 @@ def upper_border(top: Column, bottom_l: Column, bottom_r: Column, upper_l: Colum
     return F.when(top.isNull() | bottom.isNull() | z.isNull(), F.lit(None).cast("string")).when(z > top, "II").when(z >= (top + bottom) / 2, "I").otherwise("III")
 
 
-def gate(bones: Column, min_fit: float, max_bad: float, low: float, high: float) -> Column:
-    """What stands against bones carried over from another volume, as an array of texts; a single one if there are none.
-
-    bones: array of (name, n_source, n_warped, fit, bad, ratio); measures that are NULL or NaN say nothing."""
-    number = lambda c: F.when(~F.isnan(c), c)
-    two = lambda c: F.format_string("%.2f", c)
-    present = F.filter(bones, lambda b: (F.coalesce(b["n_source"], F.lit(0)) > 0) | (F.coalesce(b["n_warped"], F.lit(0)) > 0))
-    reasons = lambda b: F.array(
-        F.when(number(b["fit"]) < min_fit, F.concat(b["name"], F.lit("_lowfit="), two(b["fit"]))),
-        F.when(number(b["bad"]) > max_bad, F.concat(b["name"], F.lit("_bonewarp="), two(b["bad"]))),
-        F.when(~number(b["ratio"]).between(low, high), F.concat(b["name"], F.lit("_volratio="), two(b["ratio"]))),
-    )
-    return F.when(F.size(present) < 1, F.array(F.lit("no_bone_warped"))).otherwise(F.array_compact(F.flatten(F.transform(present, reasons))))
-
-
 def change_kind(before: Column, after: Column) -> Column:
     """0 none, 1 removed, 2 added, 3 relabelled."""
     return F.when(before == after, 0).when(after == 0, 1).when(before == 0, 2).otherwise(3)

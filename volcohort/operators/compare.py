@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.operators.voxel import AT, component_sizes, components, settle_conflicts, three_way, without_specks
+from volcohort.operators.voxel import AT, FACES, component_sizes, components, settle_conflicts, three_way, without_specks
 
 IGNORE = 255
 # Fixed values of the label scheme: bones of spine, pelvis and legs; thoracic vertebrae; ribs; the classes at the border of lumbar spine and sacrum.
@@ -79,9 +79,9 @@ def completeness(v: DataFrame) -> DataFrame:
 def resolve_classes(merged: DataFrame, a: DataFrame, b: DataFrame, weights: DataFrame, gap: float = 1.5) -> DataFrame:
     """`merged` (place, label, state), where open conflicts between two classes go to the side that is `gap` times as reliable.
 
-    weights: (case_id, wa, wb); other conflicts stay open (label NULL)."""
+    weights: (case_id, wa, wb), one where they are missing; other conflicts stay open (label NULL)."""
     x, y = a.select(*AT, F.col("label").alias("_x")), b.select(*AT, F.col("label").alias("_y"))
-    m = merged.join(x, AT, "left").join(y, AT, "left").join(weights, "case_id", "left").fillna(0, ["_x", "_y"])
+    m = merged.join(x, AT, "left").join(y, AT, "left").join(weights, "case_id", "left").fillna(0, ["_x", "_y"]).fillna(1.0, ["wa", "wb"])
     open_ = (F.col("state") == "conflict") & F.col("label").isNull() & (F.col("_x") != 0) & (F.col("_y") != 0)
     ratio = F.when(F.col("wb") != 0, F.col("wa") / F.col("wb")).otherwise(F.lit(float("inf")))
     sure = (ratio >= gap) | ((F.col("wa") != 0) & (ratio <= 1 / gap))
@@ -97,7 +97,7 @@ def adjudicated(base: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, chec
     merged = resolve_classes(merged, a, b, weights) if weights is not None else merged
     left = merged.where("label is null")
     held = merged.join(base.select(*AT, F.col("label").alias("_o")), AT, "left").select(*AT, F.coalesce("label", "_o", F.lit(0)).alias("label"))
-    kept = without_specks(components(held), specks)
+    kept = without_specks(components(held, FACES), specks)
     cases = base.select("case_id").union(a.select("case_id")).union(b.select("case_id")).distinct()
     out = cases.join(left.groupBy("case_id").agg(F.count(F.lit(1)).alias("open")), "case_id", "left").join(checks.select("case_id", F.col("ok").alias("qc_ok")), "case_id", "left")
     out = out.fillna(0, ["open"]).withColumn("qc_ok", F.coalesce("qc_ok", F.lit(False)))
@@ -153,17 +153,34 @@ def busiest_slices(a: DataFrame, b: DataFrame, axis: str = "k") -> DataFrame:
     return m.groupBy("case_id", axis).agg(*[F.count_if(kind == n).alias(c) for n, c in ((1, "removed"), (2, "added"), (3, "relabelled"))])
 
 
-def border(pred: DataFrame, truth: DataFrame, spacing: float, slices: int, window: float = 40.0) -> DataFrame:
-    """(case_id, centre, lo, hi, voxels, dsc, error, l5_as_sacrum, sacrum_as_l5, has_l6): labels around the last lumbar vertebra.
-
-    The window is centred on the mean slice of L5 in the truth, else on the last slice of the sacrum; cases without either are
-    left out. dsc is the mean over the classes of BORDER that either side has."""
-    half = -int(-(window / 2) // max(spacing, 0.1))
+def _border_window(truth: DataFrame, grids: DataFrame, window: float) -> DataFrame:
+    """(case_id, centre, lo, hi): slices lo up to hi around the mean slice of L5, else around the last slice of the sacrum."""
     where = truth.groupBy("case_id").agg(F.bround(F.avg(F.when(F.col("label") == L5, F.col("k"))), 0).alias("m"), F.max(F.when(F.col("label") == SACRUM, F.col("k"))).alias("s"))
     centre = F.coalesce("m", "s").cast("int")
-    where = where.where(centre.isNotNull()).select("case_id", centre.alias("centre"), F.greatest(F.lit(0), centre - half).alias("lo"), F.least(F.lit(slices), centre + half).alias("hi"))
+    half = F.ceil(F.lit(window / 2) / F.greatest(F.col("spacing").cast("double"), F.lit(0.1))).cast("int")
+    held = where.where(centre.isNotNull()).join(grids.select("case_id", "spacing", "slices"), "case_id")
+    return held.select("case_id", centre.alias("centre"), F.greatest(F.lit(0), centre - half).alias("lo"), F.least(F.col("slices").cast("int"), centre + half).alias("hi"))
+
+
+def _border_cells(pred: DataFrame, truth: DataFrame, where: DataFrame) -> DataFrame:
+    """(case_id, a, b, n): voxels by label of the truth and of the prediction within the window."""
     m = side_by_side(truth, pred).join(where, "case_id").where((F.col("k") >= F.col("lo")) & (F.col("k") < F.col("hi")))
-    cell = m.groupBy("case_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return m.groupBy("case_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def border_confusion(pred: DataFrame, truth: DataFrame, grids: DataFrame, window: float = 40.0) -> DataFrame:
+    """(case_id, truth, pred, n): what the voxels of each class at the border became, background included."""
+    cell = _border_cells(pred, truth, _border_window(truth, grids, window))
+    return cell.where(F.col("a").isin(*BORDER)).select("case_id", F.col("a").alias("truth"), F.col("b").alias("pred"), "n")
+
+
+def border(pred: DataFrame, truth: DataFrame, grids: DataFrame, window: float = 40.0) -> DataFrame:
+    """(case_id, centre, lo, hi, voxels, dsc, error, l5_as_sacrum, sacrum_as_l5, has_l6): labels around the last lumbar vertebra.
+
+    grids: (case_id, spacing of the slices, number of slices); cases that aren't in it, or have neither class in the truth, are
+    left out. dsc is the mean over the classes of BORDER that either side has."""
+    where = _border_window(truth, grids, window)
+    cell = _border_cells(pred, truth, where)
     total = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
     a, b = F.col("a"), F.col("b")
     sums = {"voxels": total(a.isin(*BORDER)), "wrong": total(a.isin(*BORDER) & (a != b)), "l5": total(a == L5), "l5s": total((a == L5) & (b == SACRUM)), "s": total(a == SACRUM), "sl5": total((a == SACRUM) & (b == L5)), "l6": total(b == L6)}

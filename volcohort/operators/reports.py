@@ -18,9 +18,10 @@ CRESTS, GROUPS = ("L3", "L4", "L5"), (5, 4, 6)
 THORACIC = (1, 12)
 
 
-def fillsheet(cases: DataFrame) -> DataFrame:
+def fillsheet(cases: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """(key, value): the figures of a cohort as texts, in one pass. cases: (match_type, spine, pelvic, lstv_pelvic); spine is
-    (bone_pct, method), pelvic (bone_pct), NULL where there is none. Figures are rounded half up, parts of the split half to even."""
+    (bone_pct, method), pelvic (bone_pct), NULL where there is none. totals: one row with the totals that the manifest itself states
+    (n_cases, n_fused, ..., any of them); a stated one goes before what is counted. Figures are rounded half up, parts of the split half to even."""
     low = F.lower(F.coalesce("lstv_pelvic", F.lit("")))
     method = F.when(F.col("spine").isNotNull(), F.lower(F.coalesce("spine.method", F.lit(""))))
     held = cases.select("match_type", F.col("spine.bone_pct").cast("double").alias("s"), F.col("pelvic.bone_pct").cast("double").alias("p"), low.alias("l"), method.alias("m"))
@@ -35,6 +36,10 @@ def fillsheet(cases: DataFrame) -> DataFrame:
         many(has("l", "semi")).alias("semi"),
     ]
     t = held.agg(*sums)
+    stated = {c: "n_dataset" if c == "n_cases" else c for c in ("n_cases", *[f"n_{m}" for m in MATCHES]) if totals is not None and c in totals.columns}
+    if stated:
+        t = t.join(F.broadcast(totals.limit(1).select(*[F.col(c).cast("long").alias(f"_{n}") for c, n in stated.items()])), F.lit(True), "left")
+        t = t.withColumns({n: F.coalesce(f"_{n}", n) for n in stated.values()}).drop(*[f"_{n}" for n in stated.values()])
     text = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
     tenth = lambda c: F.format_string("%.1f", c)
     rows: dict[str, Column] = {"n_dataset": text("n_dataset")} | {f"n_{m}": text(f"n_{m}") for m in MATCHES}

@@ -1,7 +1,7 @@
 """Transitions of the review ledger on tables: amend, defer, flag, adjudicate, priorities and the gate.
 
 slots: (case_id, slot, reviewer, claim_token, claimed_at, done, amend, amend_base); cases: (case_id, region, label_file, priority,
-deferred_by, needs_expert, rereads). Requests that don't match an open claim change nothing and are returned with the reason."""
+deferred_by, needs_expert, rereads); lists and flags that are NULL count as empty and false. Requests that don't match an open claim change nothing and are returned with the reason."""
 
 from __future__ import annotations
 
@@ -36,8 +36,9 @@ def _released(slots: DataFrame, good: DataFrame) -> DataFrame:
 def _put_off(cases: DataFrame, good: DataFrame, *more: Column) -> DataFrame:
     """Cases with the reviewers of `good` among those they are not given to again, each once, in the order they came."""
     by = good.groupBy("case_id").agg(F.sort_array(F.collect_set("_by")).alias("_who"), *more)
+    none = F.array().cast("array<string>")
     out = cases.join(by, "case_id", "left")
-    return out.withColumn("deferred_by", F.array_union("deferred_by", F.coalesce("_who", F.array().cast("array<string>")))).drop("_who")
+    return out.withColumn("deferred_by", F.array_union(F.coalesce("deferred_by", none), F.coalesce("_who", none))).drop("_who")
 
 
 def defer(cases: DataFrame, slots: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -47,16 +48,19 @@ def defer(cases: DataFrame, slots: DataFrame, requests: DataFrame) -> tuple[Data
     return _put_off(cases, good), _released(slots, good), asked.where("problem is not null").select("case_id", "slot", "problem")
 
 
-def flag(cases: DataFrame, slots: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cases, slots, refused): flagged cases wait for an expert; a claim that wasn't submitted is freed. The owner of a slot may
-    flag it without the right token."""
-    asked = _requests(slots, requests, owner=True)
+REREADS = "array<struct<by:string,reason:string,at:timestamp>>"
+
+
+def flag(cases: DataFrame, slots: DataFrame, requests: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cases, slots, refused): flagged cases wait for an expert, with who flagged them, why and when; a claim that wasn't submitted
+    is freed. The owner of a slot may flag it without the right token; a slot without a reviewer is flagged by who asks."""
+    asked = _requests(slots, requests, owner=True).withColumn("_by", F.coalesce(F.nullif("_by", F.lit("")), F.col("reviewer_id")))
     good = asked.where("problem is null")
     why = F.coalesce(F.nullif("reason", F.lit("")), F.lit("(no reason given)"))
-    told = F.sort_array(F.collect_list(F.struct(F.col("_by").alias("by"), why.alias("reason")))).alias("_told")
-    out = _put_off(cases, good, told)
-    out = out.withColumn("needs_expert", F.col("needs_expert") | F.col("_told").isNotNull())
-    out = out.withColumn("rereads", F.concat("rereads", F.coalesce("_told", F.array().cast("array<struct<by:string,reason:string>>")))).drop("_told")
+    told = F.sort_array(F.collect_list(F.struct(F.col("_by").alias("by"), why.alias("reason"), now.cast("timestamp").alias("at")))).alias("_told")
+    out, none = _put_off(cases, good, told), F.array().cast(REREADS)
+    out = out.withColumn("needs_expert", F.coalesce("needs_expert", F.lit(False)) | F.col("_told").isNotNull())
+    out = out.withColumn("rereads", F.concat(F.coalesce("rereads", none), F.coalesce("_told", none))).drop("_told")
     return out, _released(slots, good), asked.where("problem is not null").select("case_id", "slot", "problem")
 
 

@@ -164,8 +164,10 @@ def largest_share(parts: DataFrame) -> DataFrame:
 
 
 def without_specks(parts: DataFrame, least: int) -> DataFrame:
-    """Voxels of components of at least `least` voxels."""
-    small = component_sizes(parts).where(F.col("voxels") < least)
+    """Voxels of components of at least `least` voxels, and of labels in one piece, however small."""
+    sizes = component_sizes(parts)
+    several = sizes.groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    small = sizes.where(F.col("voxels") < least).join(several, ["case_id", "label"], "left_semi")
     return parts.join(small, ["case_id", "label", "component"], "left_anti").select(*AT, "label")
 
 

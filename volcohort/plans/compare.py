@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from volcohort.functions import codes
+from volcohort.functions import calls, codes
 from volcohort.operators import compare, dataset, transitions, voxel
 from volcohort.plans.catalogue import query, table
 from volcohort.plans.density import ORACLES, QUERIES
@@ -65,7 +65,7 @@ def slice_changes(spark, sf_dir):
     return compare.busiest_slices(*_pair(spark, sf_dir))
 
 
-@query(f"""with {CROP_SQL}, w as (select c, coalesce(cast(round_even(avg(case when x = 5 then k end), 0) as int), max(case when x = 7 then k end)) z from m group by c), q as (select c, z, greatest(0, z - 2) lo, least(8, z + 2) hi from w where z is not null),
+@query(f"""with {CROP_SQL}, w as (select c, coalesce(cast(round_even(avg(case when x = 5 then k end), 0) as int), max(case when x = 7 then k end)) z from m group by c), q as (select c, z, greatest(0, z - (2 + c % 2)) lo, least(6 + c % 3, z + 2 + c % 2) hi from w where z is not null),
   s as (select q.c, z, lo, hi, x, y from q join m on m.c = q.c and m.k >= lo and m.k < hi), t as (select c, z, lo, hi, count(case when x in (5, 6, 7) then 1 end) n, count(case when x in (5, 6, 7) and x <> y then 1 end) w,
   count(case when x = 5 then 1 end) x5, count(case when y = 5 then 1 end) y5, count(case when x = 5 and y = 5 then 1 end) z5, count(case when x = 6 then 1 end) x6, count(case when y = 6 then 1 end) y6, count(case when x = 6 and y = 6 then 1 end) z6,
   count(case when x = 7 then 1 end) x7, count(case when y = 7 then 1 end) y7, count(case when x = 7 and y = 7 then 1 end) z7, count(case when x = 5 and y = 7 then 1 end) a, count(case when x = 7 and y = 5 then 1 end) b from s group by c, z, lo, hi)
@@ -73,7 +73,19 @@ def slice_changes(spark, sf_dir):
   round(w / nullif(n, 0), 4) error, round(a / nullif(x5, 0), 4) l5_as_sacrum, round(b / nullif(x7, 0), 4) sacrum_as_l5, y6 > 0 has_l6 from t""")
 def border_analysis(spark, sf_dir):
     a, b = _pair(spark, sf_dir)
-    return compare.border(b, a, 10.0, 8)
+    return compare.border(b, a, _grids(spark, sf_dir))
+
+
+def _grids(spark, sf_dir):
+    """Slices 10 or 8 mm apart: windows of 2 or 3 slices on either side."""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey case_id", "if(o_orderkey % 2 = 0, 10.0, 8.0) spacing", "cast(6 + o_orderkey % 3 as int) slices")
+
+
+@query(f"""with {CROP_SQL}, w as (select c, coalesce(cast(round_even(avg(case when x = 5 then k end), 0) as int), max(case when x = 7 then k end)) z from m group by c)
+  select m.c case_id, x truth, y pred, count(*) n from m join w on m.c = w.c where z is not null and x in (5, 6, 7) and m.k >= greatest(0, z - (2 + m.c % 2)) and m.k < least(6 + m.c % 3, z + 2 + m.c % 2) group by m.c, x, y""")
+def border_confusion(spark, sf_dir):
+    a, b = _pair(spark, sf_dir)
+    return compare.border_confusion(b, a, _grids(spark, sf_dir))
 
 
 @query(f"""select count(*) n, round(avg(dsc), 4) dsc, round(avg(error), 4) error, round(avg(l5_as_sacrum), 4) l5_as_sacrum, round(avg(sacrum_as_l5), 4) sacrum_as_l5, count(case when has_l6 then 1 end) with_l6 from ({ORACLES['border_analysis']})""")
@@ -120,7 +132,7 @@ def pasted_crops(spark, sf_dir):
 WEIGHTS_SQL = "case when c % 4 = 0 then 2.0 when c % 4 = 1 then 0.5 else 1.0 end"
 MERGED_SQL = f"""t as (select c, k, j, i, 34 + k % 3 o, x, y, case when x = y then x when y = 34 + k % 3 then x when x = 34 + k % 3 then y end l from m),
 s as (select *, case when l is null and (x = 0) <> (y = 0) then (case when j >= 2 then greatest(x, y) when j < 1 then 0 end) else l end l2 from t),
-f as (select *, case when l2 is null and x <> 0 and y <> 0 then (case when {WEIGHTS_SQL} >= 1.5 then x when {WEIGHTS_SQL} <= 1 / 1.5 then y end) else l2 end l3 from s)"""
+f as (select *, case when l2 is null and x <> 0 and y <> 0 and c % 5 > 0 then (case when {WEIGHTS_SQL} >= 1.5 then x when {WEIGHTS_SQL} <= 1 / 1.5 then y end) else l2 end l3 from s)"""
 
 
 def _layers(spark, sf_dir):
@@ -128,7 +140,7 @@ def _layers(spark, sf_dir):
     base = a.withColumn("label", 34 + F.col("k") % 3)
     hu = a.select(*voxel.AT, (F.col("j") * 100).alias("hu"))
     wa = F.expr(WEIGHTS_SQL.replace("c %", "case_id %")).cast("double")
-    return base, a, b, hu, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("case_id")).select("case_id", wa.alias("wa"), F.lit(1.0).alias("wb"))
+    return base, a, b, hu, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("case_id")).where("case_id % 5 > 0").select("case_id", wa.alias("wa"), F.lit(1.0).alias("wb"))
 
 
 @query(f"""with {CROP_SQL}, {MERGED_SQL} select c case_id, count(case when l is null then 1 end) conflicts, count(case when l is null and l2 is not null then 1 end) by_density, count(case when l2 is null and l3 is not null then 1 end) by_weight, count(case when l3 is null then 1 end) open from f group by c""")
@@ -162,7 +174,7 @@ def _requests(slots):
 
 
 def _ledger_cases(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr("o_orderkey case_id", "if(o_orderkey % 10 = 0, null, 'spine') region", "concat('v4-', o_orderkey) label_file", "cast(o_orderkey % 100 as int) priority", "array('r8') deferred_by", "o_orderkey % 50 = 0 needs_expert", "cast(array() as array<struct<by:string,reason:string>>) rereads")
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey case_id", "if(o_orderkey % 10 = 0, null, 'spine') region", "concat('v4-', o_orderkey) label_file", "cast(o_orderkey % 100 as int) priority", "if(o_orderkey % 4 = 0, null, array('r8')) deferred_by", "if(o_orderkey % 50 = 0, true, null) needs_expert", f"if(o_orderkey % 4 = 0, null, cast(array() as {transitions.REREADS})) rereads")
 
 
 @query(f"""with {SLOT_SQL} select c case_id, slot, coalesce(base, 'v4-' || c) base from s where reviewer = 'r3' and amend and not done and c % 10 <> 0 order by c, slot limit 1""")
@@ -172,7 +184,7 @@ def amend_next(spark, sf_dir):
 
 @query(f"""with {SLOT_SQL}, g as (select q.c, q.slot, s.reviewer from q join s on s.c = q.c and s.slot = q.slot and s.token = q.token and not s.done), w as (select c, list_sort(list_distinct(list(reviewer))) w from g group by c),
   l as (select c, count(*) n from s where not exists (select 1 from g where g.c = s.c and g.slot = s.slot) group by c)
-  select o_orderkey case_id, list_aggregate(list_concat(['r8'], list_filter(coalesce(w, []), lambda x: x <> 'r8')), 'string_agg', ',') deferred_by, coalesce(n, 0) slots from orders left join w on w.c = o_orderkey left join l on l.c = o_orderkey""")
+  select o_orderkey case_id, coalesce(list_aggregate(list_concat(case when o_orderkey % 4 = 0 then [] else ['r8'] end, list_filter(coalesce(w, []), lambda x: o_orderkey % 4 = 0 or x <> 'r8')), 'string_agg', ','), '') deferred_by, coalesce(n, 0) slots from orders left join w on w.c = o_orderkey left join l on l.c = o_orderkey""")
 def deferred(spark, sf_dir):
     slots = _slots(spark, sf_dir)
     cases, left, _ = transitions.defer(_ledger_cases(spark, sf_dir), slots, _requests(slots))
@@ -182,12 +194,12 @@ def deferred(spark, sf_dir):
 
 @query(f"""with {SLOT_SQL}, g as (select q.c, q.slot, s.reviewer, s.done, case when reason = '' then '(no reason given)' else reason end reason from q join s on s.c = q.c and s.slot = q.slot and (s.token = q.token or s.reviewer = q.reviewer_id)),
   w as (select c, count(*) n, min(reason) why from g group by c), l as (select c, count(*) n from s where not exists (select 1 from g where g.c = s.c and g.slot = s.slot and not g.done) group by c)
-  select o_orderkey case_id, o_orderkey % 50 = 0 or w.n is not null needs_expert, coalesce(w.n, 0) rereads, why, coalesce(l.n, 0) slots from orders left join w on w.c = o_orderkey left join l on l.c = o_orderkey""")
+  select o_orderkey case_id, o_orderkey % 50 = 0 or w.n is not null needs_expert, coalesce(w.n, 0) rereads, why, case when w.n is not null then timestamp '2024-02-01' end since, coalesce(l.n, 0) slots from orders left join w on w.c = o_orderkey left join l on l.c = o_orderkey""")
 def flagged(spark, sf_dir):
     slots = _slots(spark, sf_dir)
-    cases, left, _ = transitions.flag(_ledger_cases(spark, sf_dir), slots, _requests(slots))
+    cases, left, _ = transitions.flag(_ledger_cases(spark, sf_dir), slots, _requests(slots), F.lit("2024-02-01"))
     n = left.groupBy("case_id").agg(F.count(F.lit(1)).alias("slots"))
-    return cases.join(n, "case_id", "left").select("case_id", "needs_expert", F.size("rereads").cast("long").alias("rereads"), F.get("rereads", F.lit(0))["reason"].alias("why"), F.coalesce("slots", F.lit(0)).alias("slots"))
+    return cases.join(n, "case_id", "left").select("case_id", "needs_expert", F.size("rereads").cast("long").alias("rereads"), F.get("rereads", F.lit(0))["reason"].alias("why"), F.get("rereads", F.lit(0))["at"].cast("timestamp_ntz").alias("since"), F.coalesce("slots", F.lit(0)).alias("slots"))
 
 
 ADJ_SQL = SLOT_SQL + """, p as (select c, 'adj' slot, 'a' || c % 4 reviewer, 'adj-' || c token, case when c % 6 = 0 then timestamp '2024-01-01' else timestamp '2024-01-09' end since, c % 8 = 0 done from (select distinct c from s) where c % 2 = 0)"""
@@ -349,8 +361,8 @@ def carried_over(spark, sf_dir):
     k = F.col("s_suppkey")
     nan = F.lit(float("nan"))
     bone = lambda name, n: F.struct(
-        F.lit(name).alias("name"), n.alias("n_source"), F.lit(0).alias("n_warped"), F.when(k % 5 == 1, F.lit(0.25)).when(k % 5 == 2, nan).otherwise(0.9).alias("fit"),
-        F.when(k % 7 == 1, F.lit(0.5)).otherwise(0.0).alias("bad"), F.when(k % 3 == 1, F.lit(1.75)).otherwise(1.0).alias("ratio"),
+        F.lit(name).alias("name"), n.alias("n_source"), F.lit(0).alias("n_warped"), F.when(k % 5 == 1, F.lit(0.25)).when(k % 5 == 2, nan).otherwise(0.9).alias("bone_fit"),
+        F.when(k % 7 == 1, F.lit(0.5)).otherwise(0.0).alias("jac_bad"), F.when(k % 3 == 1, F.lit(1.75)).otherwise(1.0).alias("vol_ratio"),
     )
     bones = F.array(bone("sacrum", F.when(k % 8 == 0, 0).otherwise(5)), bone("absent", F.lit(0)))
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(codes.gate(bones, 0.6, 0.1, 0.5, 1.5), ";").alias("reasons"))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(calls.gate(bones, 0.6, 0.1, 0.5, 1.5)[1], ";").alias("reasons"))
