@@ -66,45 +66,45 @@ def rib_groups(spark, sf_dir):
 @query(f"""with {VOXEL_SQL}, f as (select unnest([[0, 0, 0], [1, 0, 0], [-1, 0, 0], [0, 1, 0], [0, -1, 0], [0, 0, 1], [0, 0, -1]]) d), g as (select c, k + d[1] k, j + d[2] j, i + d[3] i, l, case when d[1] = 0 and d[2] = 0 and d[3] = 0 then 0 else 1 end far from A, f where l <> 0),
   m as (select c, k, j, i, arg_min(l, far * 1000 + l) l from g group by c, k, j, i) select cast(c as int) case_id, l as "label", count(*) n from m group by c, l""")
 def dilated(spark, sf_dir):
-    return morphology.dilate(_voxels(spark, 3, 8)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return morphology.dilate(_voxels(spark, sf_dir, 3, 8)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL}, f as (select unnest([[1, 1], [1, -1], [1, 0], [0, 1], [0, -1], [-1, 0], [-1, 1], [-1, -1]]) d), s as (select a.c, a.k, a.j, a.i, a.l, count(b.l) n from A a, f left join A b on b.c = a.c and b.k = a.k and b.j = a.j + d[1] and b.i = a.i + d[2] and b.l = a.l where a.l <> 0 group by all)
   select cast(c as int) case_id, l as "label", count(*) n from s where n = 8 group by c, l""")
 def eroded_in_plane(spark, sf_dir):
     flat = [t for t in voxel.ALL_26 if t[0] == 0]
-    return morphology.erode(_voxels(spark, 3, 8), 1, flat).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return morphology.erode(_voxels(spark, sf_dir, 3, 8), 1, flat).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", count(*) n from A where l <> 0 and i between 5 and 6 and j between 5 and 6 group by c, l""")
+@query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", count(*) n from A where l <> 0 and i = 7 and j between 5 and 6 group by c, l""")
 def filled_holes(spark, sf_dir):
-    hole = F.col("i").between(5, 6) & F.col("j").between(5, 6)
-    return morphology.fill_slices(_voxels(spark, 3, 8).where(~hole)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    hole = (F.col("i") == 7) & F.col("j").between(5, 6)
+    return morphology.fill_slices(_voxels(spark, sf_dir, 3, 8).where(~hole)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", round(avg(k), 6) k, round(avg(j), 6) j, round(avg(i), 6) i from A where l <> 0 group by c, l""")
 def label_centroids(spark, sf_dir):
-    return morphology.centroids(_voxels(spark, 3, 8)).select("case_id", "label", *[F.round(c, 6).alias(c) for c in "kji"])
+    return morphology.centroids(_voxels(spark, sf_dir, 3, 8)).select("case_id", "label", *[F.round(c, 6).alias(c) for c in "kji"])
 
 
 @query(f"""with {VOXEL_SQL} select distinct cast(c as int) case_id, l as "label" from A where l <> 0 and k in (0, 7)""")
 def clipped_labels(spark, sf_dir):
-    return morphology.clipped(_voxels(spark, 3, 8), (8, 16, 16))
+    return morphology.clipped(_voxels(spark, sf_dir, 3, 8), (8, 16, 16))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", count(*) n from A where k % 2 = 0 and j % 2 = 0 and i % 2 = 0 group by c, l""")
 def strided(spark, sf_dir):
-    return morphology.thin(_voxels(spark, 3, 8), 2).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return morphology.thin(_voxels(spark, sf_dir, 3, 8), 2).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, case when l = 20 and i > 5 then 30 else l end as "label", count(*) n from A group by 1, 2""")
 def lateralized(spark, sf_dir):
-    return morphology.lateralize(_voxels(spark, 3, 8), 20, 30, F.lit(5)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return morphology.lateralize(_voxels(spark, sf_dir, 3, 8), 20, 30, F.lit(5)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", count(*) voxels, round(greatest(var_pop(k), var_pop(j), var_pop(i)), 6) longest from A where l <> 0 group by c, l""")
 def principal_axes(spark, sf_dir):
-    p = morphology.principal_axes(_voxels(spark, 3, 8))
+    p = morphology.principal_axes(_voxels(spark, sf_dir, 3, 8))
     return p.select("case_id", "label", "voxels", F.round(F.col("length") * F.col("length"), 6).alias("longest"))
 
 

@@ -457,88 +457,90 @@ def sweep_argmax(spark, sf_dir):
 
 # --- volumes ----------------------------------------------------------------------------------------------------------
 
-#: Four volumes of 16 x 16 x 8, by rule.
-VOXEL_SQL = """v as (select id % 16 i, (id // 16) % 16 j, (id // 256) % 8 k, id // 2048 c from range(8192) t(id)),
-A as (select c, k, j, i, cast(case when i between 3 and 8 and j between 3 and 9 then 20 + k % 3 else 0 end as int) l from v),
-B as (select c, k, j, i, cast(case when i between 4 and 9 and j between 3 and 9 then 20 + k % 3 else 0 end as int) l from v),
-O as (select c, k, j, i, cast(case when i between 3 and 9 and j between 3 and 8 then 20 + k % 3 else 0 end as int) l from v)"""
+#: A volume of 16 x 16 x 8 for each supplier, by rule; the supplier's nation moves its box along i.
+VOXEL_SQL = """v as (select id % 16 i, (id // 16) % 16 j, id // 256 k, s_suppkey c, s_nationkey % 4 s from supplier, range(2048) t(id)),
+A as (select c, s, k, j, i, cast(case when i - s between 3 and 8 and j between 3 and 9 then 20 + k % 3 else 0 end as int) l from v),
+B as (select c, s, k, j, i, cast(case when i - s between 4 and 9 and j between 3 and 9 then 20 + k % 3 else 0 end as int) l from v),
+O as (select c, s, k, j, i, cast(case when i - s between 3 and 9 and j between 3 and 8 then 20 + k % 3 else 0 end as int) l from v)"""
 
 
-def _voxels(spark: SparkSession, i0: int, i1: int, j1: int = 9) -> DataFrame:
-    v = spark.range(8192).selectExpr("cast(id div 2048 as int) case_id", "cast((id div 256) % 8 as int) k", "cast((id div 16) % 16 as int) j", "cast(id % 16 as int) i")
-    return v.withColumn("label", F.when(F.col("i").between(i0, i1) & F.col("j").between(3, j1), 20 + F.col("k") % 3).otherwise(0).cast("int"))
+def _voxels(spark: SparkSession, sf_dir: str, i0: int, i1: int, j1: int = 9) -> DataFrame:
+    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey % 4 s", "explode(sequence(0, 2047)) id")
+    v = v.selectExpr("cast(s_suppkey as int) case_id", "id div 256 k", "(id div 16) % 16 j", "id % 16 i", "s").selectExpr("case_id", "cast(k as int) k", "cast(j as int) j", "cast(i as int) i", "s")
+    inside = (F.col("i") - F.col("s")).between(i0, i1) & F.col("j").between(3, j1)
+    return v.withColumn("label", F.when(inside, 20 + F.col("k") % 3).otherwise(0).cast("int")).drop("s")
 
 
 @query(f"""with {VOXEL_SQL}, g as (select *, i - row_number() over (partition by c, k, j, l order by i) g from A where l <> 0)
   select cast(c as int) case_id, cast(k as int) k, cast(j as int) j, l as "label", cast(min(i) as int) i0, cast(max(i) as int) i1 from g group by c, k, j, l, g""")
 def rle_runs(spark, sf_dir):
-    return voxel.runs(_voxels(spark, 3, 8))
+    return voxel.runs(_voxels(spark, sf_dir, 3, 8))
 
 
 @query(f"""with {VOXEL_SQL}, s as (select a.c, x.l, count(case when a.l = x.l then 1 end) na, count(case when b.l = x.l then 1 end) nb, count(case when a.l = x.l and b.l = x.l then 1 end) n
   from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i, (select unnest([20, 21, 22]) l) x group by a.c, x.l)
   select cast(c as int) case_id, cast(l as int) as "label", na, nb, round(2.0 * n / (na + nb), 9) dice from s""")
 def dice_per_class(spark, sf_dir):
-    return voxel.dice_of_runs(voxel.runs(_voxels(spark, 3, 8)), voxel.runs(_voxels(spark, 4, 9)))
+    return voxel.dice_of_runs(voxel.runs(_voxels(spark, sf_dir, 3, 8)), voxel.runs(_voxels(spark, sf_dir, 4, 9)))
 
 
 @query(f"""with {VOXEL_SQL} select cast(a.c as int) case_id, a.l truth, b.l pred, count(*) n from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where a.l <> 0 group by a.c, a.l, b.l""")
 def confusion(spark, sf_dir):
-    return voxel.confusion(_voxels(spark, 3, 8), _voxels(spark, 4, 9))
+    return voxel.confusion(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9))
 
 
 @query(f"""with {VOXEL_SQL}, c as (select a.c, a.l t, b.l p, count(*) n from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where a.l <> 0 and b.l <> 0 group by a.c, a.l, b.l),
   r as (select *, row_number() over (partition by c, t order by n desc, p) r from c) select cast(c as int) case_id, t truth, p best, n, p - t as "offset" from r where r = 1""")
 def identification(spark, sf_dir):
-    return voxel.identified(voxel.confusion(_voxels(spark, 3, 8), _voxels(spark, 4, 9)))
+    return voxel.identified(voxel.confusion(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9)))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, kind, count(*) n, min(k) k0, max(k) k1, min(j) j0, max(j) j1, min(i) i0, max(i) i1 from (
   select a.c, a.k, a.j, a.i, case when b.l = 0 then 1 when a.l = 0 then 2 else 3 end kind from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where a.l <> b.l) group by c, kind""")
 def label_diff(spark, sf_dir):
-    d = voxel.changes(_voxels(spark, 3, 8), _voxels(spark, 4, 9))
+    d = voxel.changes(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9))
     ends = [f(c).cast("long").alias(f"{c}{e}") for c in "kji" for f, e in ((F.min, 0), (F.max, 1))]
     return d.groupBy("case_id", "kind").agg(F.count(F.lit(1)).alias("n"), *ends)
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, cast(min(k) as int) k0, cast(max(k) + 1 as int) k1, cast(min(j) - 1 as int) j0, cast(max(j) + 1 as int) j1, cast(min(i) - 1 as int) i0, cast(max(i) + 1 as int) i1 from A where l <> 0 group by c""")
 def changed_box(spark, sf_dir):
-    return voxel.box(_voxels(spark, 3, 8).where("label <> 0"), 1)
+    return voxel.box(_voxels(spark, sf_dir, 3, 8).where("label <> 0"), 1)
 
 
 @query(f"""with {VOXEL_SQL}, m as (select o.c, o.l o, a.l x, b.l y from O o join A a on a.c = o.c and a.k = o.k and a.j = o.j and a.i = o.i join B b on b.c = o.c and b.k = o.k and b.j = o.j and b.i = o.i where o.l <> 0 or a.l <> 0 or b.l <> 0)
   select cast(c as int) case_id, case when x = y then 'agree' when y = o then 'only_a' when x = o then 'only_b' else 'conflict' end state, count(*) n, cast(sum(case when x = y then x when y = o then x when x = o then y end) as bigint) labels from m group by 1, 2""")
 def three_way_merge(spark, sf_dir):
-    m = voxel.three_way(_voxels(spark, 3, 9, 8), _voxels(spark, 3, 8), _voxels(spark, 4, 9))
+    m = voxel.three_way(_voxels(spark, sf_dir, 3, 9, 8), _voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9))
     return m.groupBy("case_id", "state").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("labels"))
 
 
 @query(f"""with {VOXEL_SQL}, m as (select a.c, a.l u, b.l v from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i where a.l <> 0 or b.l <> 0)
   select cast(c as int) case_id, case when v = 22 then case when u <> 0 then u else v end when v <> 0 then v else u end as "label", count(*) n from m group by 1, 2""")
 def overlay_precedence(spark, sf_dir):
-    return voxel.overlay(_voxels(spark, 3, 8), _voxels(spark, 4, 9), [22]).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return voxel.overlay(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9), [22]).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, case l when 20 then 21 when 21 then 20 else l end as "label", count(*) n from A group by 1, 2""")
 def lut_remap(spark, sf_dir):
-    return voxel.remap(_voxels(spark, 3, 8), {20: 21, 21: 20}).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return voxel.remap(_voxels(spark, sf_dir, 3, 8), {20: 21, 21: 20}).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL}, p as (select distinct b.c, b.k, b.j, b.i, a.l a, b.l b from A a join A b on a.c = b.c and abs(a.k - b.k) <= 1 and abs(a.j - b.j) <= 1 and abs(a.i - b.i) <= 1 where a.l <> 0 and a.l < b.l)
   select cast(c as int) case_id, a, b, count(*) n from p group by c, a, b""")
 def touch_voxels(spark, sf_dir):
-    return voxel.touching(_voxels(spark, 3, 8))
+    return voxel.touching(_voxels(spark, sf_dir, 3, 8))
 
 
 @query(f"""with {VOXEL_SQL}, s as (select a.c, a.k, a.j, a.i, a.l, count(b.l) n from A a left join A b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all)
   select cast(c as int) case_id, l as "label", count(*) n from s where n < 6 group by c, l""")
 def surface_voxels(spark, sf_dir):
-    return voxel.surface(_voxels(spark, 3, 8)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return voxel.surface(_voxels(spark, sf_dir, 3, 8)).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""with {VOXEL_SQL} select cast(c as int) case_id, l as "label", count(distinct k) parts, count(*) n from A where l <> 0 group by c, l""")
 def components(spark, sf_dir):
-    found = voxel.components(_voxels(spark, 3, 8))
+    found = voxel.components(_voxels(spark, sf_dir, 3, 8))
     return found.groupBy("case_id", "label").agg(F.count_distinct("component").alias("parts"), F.count(F.lit(1)).alias("n"))
 
 

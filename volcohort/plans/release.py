@@ -116,7 +116,7 @@ def overlapping_groups(spark, sf_dir):
   r as (select c, state, case when state = 'conflict' and (x = 0) <> (y = 0) and i * 30 + k >= 200 then greatest(x, y) when state = 'conflict' and (x = 0) <> (y = 0) and i * 30 + k < 100 then 0 else l end l from s)
   select cast(c as int) case_id, state, coalesce(l, -1) as "label", count(*) n from r group by 1, 2, 3""")
 def hu_resolution(spark, sf_dir):
-    a, b, o = _voxels(spark, 3, 8), _voxels(spark, 4, 9), _voxels(spark, 3, 9, 8)
+    a, b, o = _voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9), _voxels(spark, sf_dir, 3, 9, 8)
     hu = a.select(*voxel.AT, (F.col("i") * 30 + F.col("k")).alias("hu"))
     r = voxel.settle_conflicts(voxel.three_way(o, a, b), a, b, hu)
     return r.groupBy("case_id", "state", F.coalesce("label", F.lit(-1)).alias("label")).agg(F.count(F.lit(1)).alias("n"))
@@ -124,17 +124,16 @@ def hu_resolution(spark, sf_dir):
 
 @query(f"""with {VOXEL_SQL}, s as (select c, l, k, count(*) n from A where l <> 0 group by c, l, k) select cast(c as int) case_id, l as "label", count(*) parts, round(max(n) / sum(n), 9) share from s group by c, l""")
 def largest_component(spark, sf_dir):
-    return voxel.largest_share(voxel.components(_voxels(spark, 3, 8)))
+    return voxel.largest_share(voxel.components(_voxels(spark, sf_dir, 3, 8)))
 
 
-@query(f"""with {VOXEL_SQL}, p as (select id % 16 i, (id // 16) % 16 j, (id // 256) % 8 k, id // 2048 c from range(8192) t(id)),
-  sa as (select a.c, a.k, a.j, a.i, a.l from A a left join A b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all having count(b.l) < 6),
+@query(f"""with {VOXEL_SQL},  sa as (select a.c, a.k, a.j, a.i, a.l from A a left join A b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all having count(b.l) < 6),
   sb as (select a.c, a.k, a.j, a.i, a.l from B a left join B b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all having count(b.l) < 6),
   d as (select x.c, x.l, x.k, x.j, x.i, sqrt(min((x.k - y.k) * (x.k - y.k) + (x.j - y.j) * (x.j - y.j) + (x.i - y.i) * (x.i - y.i))) d from sa x join sb y on x.c = y.c and x.l = y.l group by all
     union all select x.c, x.l, x.k, x.j, x.i, sqrt(min((x.k - y.k) * (x.k - y.k) + (x.j - y.j) * (x.j - y.j) + (x.i - y.i) * (x.i - y.i))) d from sb x join sa y on x.c = y.c and x.l = y.l group by all)
   select cast(c as int) case_id, l as "label", round(avg(d), 6) assd, round(quantile_cont(d, 0.95), 6) hd95 from d group by c, l""")
 def surface_distance(spark, sf_dir):
-    return voxel.surface_distances(_voxels(spark, 3, 8), _voxels(spark, 4, 9))
+    return voxel.surface_distances(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9))
 
 
 @query(f"""with {VOXEL_SQL}, ba as (select c, l, min(k) k0, max(k) k1, min(j) j0, max(j) j1, min(i) i0, max(i) i1 from A where l <> 0 group by c, l), bb as (select c, l, min(k) k0, max(k) k1, min(j) j0, max(j) j1, min(i) i0, max(i) i1 from B where l <> 0 group by c, l)
@@ -143,4 +142,4 @@ def surface_distance(spark, sf_dir):
 def box_overlap(spark, sf_dir):
     ends = [f(c).alias(f"{c}{e}") for c in "kji" for f, e in ((F.min, 0), (F.max, 1))]
     boxes = lambda v: v.where("label <> 0").groupBy("case_id", F.col("label").alias("id")).agg(*ends)
-    return voxel.box_overlap(boxes(_voxels(spark, 3, 8)), boxes(_voxels(spark, 4, 9)))
+    return voxel.box_overlap(boxes(_voxels(spark, sf_dir, 3, 8)), boxes(_voxels(spark, sf_dir, 4, 9)))

@@ -44,5 +44,5 @@ def queue_report(spark, sf_dir):
 
 @query(f"""with {VOXEL_SQL} select cast(a.c as int) case_id, case when (a.l in (0, 20, 21)) and (b.l in (0, 20, 21)) then b.l else a.l end as "label", count(*) n from A a join B b on a.c = b.c and a.k = b.k and a.j = b.j and a.i = b.i group by 1, 2""")
 def restored_outside(spark, sf_dir):
-    out = ledger.restore_outside(_voxels(spark, 3, 8), _voxels(spark, 4, 9), [20, 21], voxel.AT)
+    out = ledger.restore_outside(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9), [20, 21], voxel.AT)
     return out.groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"))
