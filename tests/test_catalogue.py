@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from volcohort.plans import reports
+from volcohort.plans import every
 
 DATA = "/root/testdata/sf0.001"
 
@@ -27,14 +27,14 @@ def plain(v):
     return round(float(v), 6) if hasattr(v, "as_tuple") else v
 
 
-@pytest.mark.parametrize("name", list(reports.QUERIES))
+@pytest.mark.parametrize("name", list(every.QUERIES))
 def test_query(spark, duck, name):
-    df = reports.QUERIES[name](spark, DATA)
+    df = every.QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
-    if name not in reports.ORACLES:
+    if name not in every.ORACLES:
         assert df.count() > 0
         return
-    rel = duck.sql(reports.ORACLES[name])
+    rel = duck.sql(every.ORACLES[name])
     assert sorted(rel.columns) == cols
     at = [rel.columns.index(c) for c in cols]
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -115,31 +115,55 @@ def surface(voxels: DataFrame) -> DataFrame:
     return v.join(inside, [*AT, "label"], "left").where("_n is null or _n < 6").drop("_n")
 
 
-def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
-    """(case_id, k, j, i, label, component): parts of a label that hang together, named by their least place.
-
-    The least name of a neighbourhood spreads round by round, with a jump to the name of the named voxel; each round is
-    checkpointed to the shared folder."""
-    own = F.struct("k", "j", "i")
-    cur = voxels.where("label <> 0").select("case_id", "k", "j", "i", "label", own.alias("component"))
-    spark = voxels.sparkSession
+def _checkpoints(spark: SparkSession) -> None:
+    """Name the shared folder of checkpoints, once a session."""
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         found = spark.conf.get("spark.checkpoint.dir", None)
         if found is None and not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="cohort-checkpoints-"))
-    while True:  # the rounds grow with the logarithm of the longest path
-        d = cur.select("*", _near([*reach, (0, 0, 0)]).alias("d"))
-        d = d.select("case_id", *[(F.col(c) + F.col(f"d.d{c}")).alias(c) for c in "kji"], "label", "component")
-        low = d.groupBy("case_id", "k", "j", "i", "label").agg(F.min("component").alias("low"))
-        new = cur.join(low, ["case_id", "k", "j", "i", "label"])
-        named = new.select(F.col("case_id").alias("of"), own.alias("p"), F.col("low").alias("jump"))
-        new = new.join(named, (F.col("case_id") == F.col("of")) & (F.col("low") == F.col("p"))).select("case_id", "k", "j", "i", "label", "component", F.least("low", "jump").alias("next"))
-        new = new.checkpoint()
-        settled = new.where("next <> component").isEmpty()
-        cur = new.select("case_id", "k", "j", "i", "label", F.col("next").alias("component"))
-        if settled:
-            return cur
+
+
+def run_components(r: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
+    """Runs (case_id, k, j, label, i0, i1) with `component`: parts of a label that hang together, named by their least place.
+
+    A run meets those of the lines beside it in an equi-join on the line with a residue. The least name of a neighbourhood
+    spreads round by round, with a jump to the name of the named run; each round is checkpointed to the shared folder."""
+    _checkpoints(r.sparkSession)
+    near: dict[tuple[int, int], list[int]] = {}
+    for dk, dj, di in reach:
+        if (dk, dj) != (0, 0):
+            near.setdefault((dk, dj), []).append(di)
+    key = ["case_id", "label"]
+    own = r.select(*key, F.struct("k", "j", F.col("i0").alias("i")).alias("node"), "k", "j", "i0", "i1").checkpoint()
+    cur = own.select(*key, "node", F.col("node").alias("component"))
+    if near:
+        steps = F.array(*[F.struct(F.lit(dk).alias("dk"), F.lit(dj).alias("dj"), F.lit(min(d)).alias("lo"), F.lit(max(d)).alias("hi")) for (dk, dj), d in near.items()])
+        a = own.select(*key, F.col("node").alias("a"), "k", "j", "i0", "i1", F.explode(steps).alias("d"))
+        a = a.select(*key, "a", (F.col("k") + F.col("d.dk")).alias("k"), (F.col("j") + F.col("d.dj")).alias("j"), (F.col("i0") + F.col("d.lo")).alias("a0"), (F.col("i1") + F.col("d.hi")).alias("a1"))
+        links = a.join(own, [*key, "k", "j"]).where("a0 <= i1 and i0 <= a1").select(*key, "node", "a").checkpoint()
+        settled = False
+        while not settled:  # the rounds grow with the logarithm of the longest path
+            low = links.join(cur.withColumnRenamed("node", "a"), [*key, "a"]).groupBy(*key, "node").agg(F.min("component").alias("low"))
+            new = cur.join(low, [*key, "node"], "left").withColumn("low", F.least("component", "low"))
+            named = new.select(*key, F.col("node").alias("low"), F.col("low").alias("jump"))
+            new = new.join(named, [*key, "low"]).select(*key, "node", "component", F.least("low", "jump").alias("next")).checkpoint()
+            settled = new.where("next <> component").isEmpty()
+            cur = new.select(*key, "node", F.col("next").alias("component"))
+    return own.join(cur, [*key, "node"]).select("case_id", "k", "j", "label", "i0", "i1", "component")
+
+
+def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
+    """(case_id, k, j, i, label, component): parts of a label that hang together, named by their least place. The work is done on
+    runs; voxels get the name of theirs."""
+    v = voxels.where("label <> 0").select(*AT, "label").distinct()
+    w = Window.partitionBy("case_id", "k", "j", "label").orderBy("i")
+    v = v.withColumn("_g", F.col("i") - F.row_number().over(w) if (0, 0, 1) in reach else F.col("i"))
+    line = ["case_id", "k", "j", "label"]
+    ends = v.groupBy(*line, "_g").agg(F.min("i").alias("i0"), F.max("i").alias("i1"))
+    found = run_components(ends.drop("_g"), reach)
+    # A run's first place names it on both sides.
+    return v.join(ends.select(*line, "_g", "i0"), [*line, "_g"]).join(found.select(*line, "i0", "component"), [*line, "i0"]).select(*AT, "label", "component")
 
 
 def settle_conflicts(merged: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, keep: int = 200, drop: int = 100) -> DataFrame:
@@ -179,22 +203,6 @@ def majority(parts: DataFrame, labels: DataFrame, purity: float) -> DataFrame:
     return g.where(F.col("b.n") >= purity * F.col("t")).select("case_id", "component", (-F.col("b.m")).alias("winner"))
 
 
-def surface_distances(a: DataFrame, b: DataFrame, spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """(case_id, label, assd, hd95): distances between the surfaces of both volumes, each voxel to the nearest of the other.
-
-    Pairs are bounded by the equi-join on case and label: give crops. The least distance is a partial aggregate."""
-    p, q = (surface(v).select(*AT, "label") for v in (a, b))
-
-    def to(x: DataFrame, y: DataFrame) -> DataFrame:
-        z = y.select(F.col("case_id").alias("_c"), F.col("label").alias("_l"), *[F.col(c).alias(f"y{c}") for c in "kji"])
-        far = sum((F.pow((F.col(c) - F.col(f"y{c}")) * s, F.lit(2)) for c, s in zip("kji", spacing, strict=True)), F.lit(0.0))
-        near = x.join(z, (F.col("case_id") == F.col("_c")) & (F.col("label") == F.col("_l")))
-        return near.groupBy("case_id", "label", "k", "j", "i").agg(F.sqrt(F.min(far)).alias("d"))
-
-    both = to(p, q).unionByName(to(q, p))
-    return both.groupBy("case_id", "label").agg(F.round(F.avg("d"), 6).alias("assd"), F.round(F.percentile("d", F.lit(0.95)), 6).alias("hd95"))
-
-
 def box_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """(case_id, a, b, share): the part of each box of a that a box of b of the case covers. Boxes: (case_id, id, k0 ... i1)."""
     y = b.select(F.col("case_id").alias("_c"), F.col("id").alias("b"), *[F.col(f"{c}{e}").alias(f"y{c}{e}") for c in "kji" for e in "01"])

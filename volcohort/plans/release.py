@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from volcohort.operators import cohort, manifest, voxel
+from volcohort.operators import cohort, distance, manifest, voxel
 from volcohort.plans.catalogue import LINES_SQL, ORACLES, QUERIES, VOXEL_SQL, _lines, _voxels, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -129,11 +129,15 @@ def largest_component(spark, sf_dir):
 
 @query(f"""with {VOXEL_SQL},  sa as (select a.c, a.k, a.j, a.i, a.l from A a left join A b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all having count(b.l) < 6),
   sb as (select a.c, a.k, a.j, a.i, a.l from B a left join B b on a.c = b.c and a.l = b.l and abs(a.k - b.k) + abs(a.j - b.j) + abs(a.i - b.i) = 1 where a.l <> 0 group by all having count(b.l) < 6),
-  d as (select x.c, x.l, x.k, x.j, x.i, sqrt(min((x.k - y.k) * (x.k - y.k) + (x.j - y.j) * (x.j - y.j) + (x.i - y.i) * (x.i - y.i))) d from sa x join sb y on x.c = y.c and x.l = y.l group by all
-    union all select x.c, x.l, x.k, x.j, x.i, sqrt(min((x.k - y.k) * (x.k - y.k) + (x.j - y.j) * (x.j - y.j) + (x.i - y.i) * (x.i - y.i))) d from sb x join sa y on x.c = y.c and x.l = y.l group by all)
+  d as (select x.c, x.l, x.k, x.j, x.i, sqrt(min(pow((x.k - y.k) * (1 + n.s_nationkey % 3), 2) + pow((x.j - y.j) * 1.5, 2) + pow((x.i - y.i) * (1 + n.s_suppkey % 2), 2))) d from sa x join sb y on x.c = y.c and x.l = y.l join supplier n on n.s_suppkey = x.c group by all
+    union all select x.c, x.l, x.k, x.j, x.i, sqrt(min(pow((x.k - y.k) * (1 + n.s_nationkey % 3), 2) + pow((x.j - y.j) * 1.5, 2) + pow((x.i - y.i) * (1 + n.s_suppkey % 2), 2))) d from sb x join sa y on x.c = y.c and x.l = y.l join supplier n on n.s_suppkey = x.c group by all)
   select cast(c as int) case_id, l as "label", round(avg(d), 6) assd, round(quantile_cont(d, 0.95), 6) hd95 from d group by c, l""")
 def surface_distance(spark, sf_dir):
-    return voxel.surface_distances(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9))
+    return distance.surface_distances(_voxels(spark, sf_dir, 3, 8), _voxels(spark, sf_dir, 4, 9), _spacing(spark, sf_dir))
+
+
+def _spacing(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as int) case_id", "1 + s_nationkey % 3 sk", "1.5 sj", "1 + s_suppkey % 2 si")
 
 
 @query(f"""with {VOXEL_SQL}, ba as (select c, l, min(k) k0, max(k) k1, min(j) j0, max(j) j1, min(i) i0, max(i) i1 from A where l <> 0 group by c, l), bb as (select c, l, min(k) k0, max(k) k1, min(j) j0, max(j) j1, min(i) i0, max(i) i1 from B where l <> 0 group by c, l)
