@@ -56,6 +56,16 @@ def determinant(affine: Column) -> Column:
     return a[0][0] * minor(1, 2) - a[0][1] * minor(0, 2) + a[0][2] * minor(0, 1)
 
 
+def inverse(affine: Column) -> Column:
+    """The affine that leads back; NULL numbers if there is none."""
+    a = [[_at(affine, 4 * r + c) for c in range(3)] for r in range(3)]
+    det = F.nullif(determinant(affine), F.lit(0.0))
+    part = lambda r, c: a[(r + 1) % 3][(c + 1) % 3] * a[(r + 2) % 3][(c + 2) % 3] - a[(r + 1) % 3][(c + 2) % 3] * a[(r + 2) % 3][(c + 1) % 3]
+    back = [[part(c, r) / det for c in range(3)] for r in range(3)]
+    shift = [-(back[r][0] * _at(affine, 3) + back[r][1] * _at(affine, 7) + back[r][2] * _at(affine, 11)) for r in range(3)]
+    return F.array(*[x for r in range(3) for x in (*back[r], shift[r])], *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])
+
+
 def spacing(affine: Column) -> Column:
     return F.array(*[F.sqrt(sum((_at(affine, 4 * r + c) * _at(affine, 4 * r + c) for r in range(3)), F.lit(0.0))) for c in range(3)])
 

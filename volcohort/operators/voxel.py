@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from volcohort.operators.storage import forget, staged
+
 AT = ["case_id", "k", "j", "i"]
 
 
@@ -115,41 +115,35 @@ def surface(voxels: DataFrame) -> DataFrame:
     return v.join(inside, [*AT, "label"], "left").where("_n is null or _n < 6").drop("_n")
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    """Name the shared folder of checkpoints, once a session."""
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        found = spark.conf.get("spark.checkpoint.dir", None)
-        if found is None and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="cohort-checkpoints-"))
-
-
 def run_components(r: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
     """Runs (case_id, k, j, label, i0, i1) with `component`: parts of a label that hang together, named by their least place.
 
     A run meets those of the lines beside it in an equi-join on the line with a residue. The least name of a neighbourhood
-    spreads round by round, with a jump to the name of the named run; each round is checkpointed to the shared folder."""
-    _checkpoints(r.sparkSession)
+    spreads round by round, with a jump to the name of the named run; each round is written to the shared folder."""
     near: dict[tuple[int, int], list[int]] = {}
     for dk, dj, di in reach:
         if (dk, dj) != (0, 0):
             near.setdefault((dk, dj), []).append(di)
     key = ["case_id", "label"]
-    own = r.select(*key, F.struct("k", "j", F.col("i0").alias("i")).alias("node"), "k", "j", "i0", "i1").checkpoint()
+    own = staged(r.select(*key, F.struct("k", "j", F.col("i0").alias("i")).alias("node"), "k", "j", "i0", "i1"), "runs")
     cur = own.select(*key, "node", F.col("node").alias("component"))
     if near:
         steps = F.array(*[F.struct(F.lit(dk).alias("dk"), F.lit(dj).alias("dj"), F.lit(min(d)).alias("lo"), F.lit(max(d)).alias("hi")) for (dk, dj), d in near.items()])
         a = own.select(*key, F.col("node").alias("a"), "k", "j", "i0", "i1", F.explode(steps).alias("d"))
         a = a.select(*key, "a", (F.col("k") + F.col("d.dk")).alias("k"), (F.col("j") + F.col("d.dj")).alias("j"), (F.col("i0") + F.col("d.lo")).alias("a0"), (F.col("i1") + F.col("d.hi")).alias("a1"))
-        links = a.join(own, [*key, "k", "j"]).where("a0 <= i1 and i0 <= a1").select(*key, "node", "a").checkpoint()
-        settled = False
+        links = staged(a.join(own, [*key, "k", "j"]).where("a0 <= i1 and i0 <= a1").select(*key, "node", "a"), "run-links")
+        settled, before = False, None
         while not settled:  # the rounds grow with the logarithm of the longest path
             low = links.join(cur.withColumnRenamed("node", "a"), [*key, "a"]).groupBy(*key, "node").agg(F.min("component").alias("low"))
             new = cur.join(low, [*key, "node"], "left").withColumn("low", F.least("component", "low"))
             named = new.select(*key, F.col("node").alias("low"), F.col("low").alias("jump"))
-            new = new.join(named, [*key, "low"]).select(*key, "node", "component", F.least("low", "jump").alias("next")).checkpoint()
+            new = staged(new.join(named, [*key, "low"]).select(*key, "node", "component", F.least("low", "jump").alias("next")), "run-names")
             settled = new.where("next <> component").isEmpty()
             cur = new.select(*key, "node", F.col("next").alias("component"))
+            if before is not None:
+                forget(before)
+            before = new
+        forget(links)
     return own.join(cur, [*key, "node"]).select("case_id", "k", "j", "label", "i0", "i1", "component")
 
 
@@ -158,7 +152,7 @@ def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) ->
     runs; voxels get the name of theirs."""
     v = voxels.where("label <> 0").select(*AT, "label").distinct()
     w = Window.partitionBy("case_id", "k", "j", "label").orderBy("i")
-    v = v.withColumn("_g", F.col("i") - F.row_number().over(w) if (0, 0, 1) in reach else F.col("i"))
+    v = staged(v.withColumn("_g", F.col("i") - F.row_number().over(w) if (0, 0, 1) in reach else F.col("i")), "voxels")  # read several times
     line = ["case_id", "k", "j", "label"]
     ends = v.groupBy(*line, "_g").agg(F.min("i").alias("i0"), F.max("i").alias("i1"))
     found = run_components(ends.drop("_g"), reach)

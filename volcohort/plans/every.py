@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from volcohort.plans.gates import ORACLES, QUERIES
+from volcohort.plans.refine import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
