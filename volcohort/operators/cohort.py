@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from volcohort.functions.stats import ranked
+from volcohort.operators.storage import staged
 
 
 def cells(df: DataFrame, keys: list[str], value: str, least: int, fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
@@ -70,3 +71,23 @@ def fisher_direction(df: DataFrame, features: list[str], label: str, ridge: floa
 
 def project(df: DataFrame, features: list[str], weights: np.ndarray, out: str) -> DataFrame:
     return df.withColumn(out, sum((F.col(f) * float(w) for f, w in zip(features, weights, strict=True)), F.lit(0.0)))
+
+
+def fit_logistic(df: DataFrame, features: list[str], label: str, steps: int = 400, rate: float = 0.5, ridge: float = 1e-3) -> np.ndarray:
+    """Weights of a logistic regression, the constant last, by so many steps down the gradient from zero; the constant isn't shrunk.
+
+    Each step is one aggregate of as many sums as features over the rows, which are written once and kept by the executors; no plan
+    grows with the steps. Rows with a NULL are left out; no rows give zeros."""
+    rows = staged(df.dropna(subset=[*features, label]).select(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)], F.col(label).cast("double").alias("y")), "logistic").persist()
+    w = np.zeros(len(features) + 1)
+    x = [*[F.col(f"x{i}") for i in range(len(features))], F.lit(1.0)]
+    try:
+        for _ in range(steps):
+            off = 1 / (1 + F.exp(-sum((F.lit(float(v)) * c for v, c in zip(w, x, strict=True)), F.lit(0.0)))) - F.col("y")
+            got = rows.agg(F.count(F.lit(1)), *[F.sum(off * c) for c in x]).first()
+            if not got[0]:
+                break
+            w = w - rate * (np.array(got[1:], float) / got[0] + ridge * np.append(w[:-1], 0.0))
+    finally:
+        rows.unpersist()
+    return w

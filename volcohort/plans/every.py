@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from volcohort.plans.volumes import ORACLES, QUERIES
+from volcohort.plans.fits import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
