@@ -67,6 +67,24 @@ def middle(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return found.groupBy(*keys).agg(F.first("n").alias("n"), F.min("_v").alias("median"))
 
 
+def quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+    """keys, n, quantile: the value at place q (n - 1) of each key's ordered values, exactly, between two places by the line through
+    both. As in `middle`, only values between the bounds of a mergeable sketch are ordered."""
+    v = F.col(value).cast("double")
+    own = df.where(v.isNotNull()).select(*keys, v.alias("_v"))
+    bounds = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", [max(0.0, q - 0.05), min(1.0, q + 0.05)], 1000).alias("_b"))
+    some = F.col("n") >= 40
+    low = F.when(some & F.lit(q > 0.05), F.col("_b")[0]).otherwise(float("-inf"))
+    high = F.when(some & F.lit(q < 0.95), F.col("_b")[1]).otherwise(float("inf"))
+    counted = own.join(bounds.select(*keys, "n", low.alias("_lo"), high.alias("_hi")), keys).where("_v <= _hi")
+    counted = counted.groupBy(*keys, F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v")).alias("_v")).agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("_c"))
+    counted = counted.withColumn("_seen", F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")))).where("_v is not null")
+    place = (F.col("n") - 1) * F.lit(q)
+    at = lambda p: F.min(F.when(F.col("_seen") > p, F.col("_v")))
+    found = counted.groupBy(*keys).agg(F.first("n").alias("n"), at(F.floor(place)).alias("_a"), at(F.ceil(place)).alias("_b"))
+    return found.select(*keys, "n", (F.col("_a") + (F.col("_b") - F.col("_a")) * (place - F.floor(place))).alias("quantile"))
+
+
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
     """(bin, n) of equal bins over [low, high]; the last holds its upper edge; values outside are left out."""
     width = (high - low) / bins
