@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from volcohort.plans.sacrum import ORACLES, QUERIES
+from volcohort.plans.register import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
