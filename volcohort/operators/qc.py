@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from volcohort.functions.stats import nth
+
 
 def last_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key by `order`, taken by a partial aggregate and not by a sort of the group."""
@@ -27,9 +30,15 @@ def merge_checks(keys: list[str], checks: dict[str, DataFrame]) -> DataFrame:
 
 
 def recalibrate(df: DataFrame, baseline: DataFrame, metric: str, share: float) -> DataFrame:
-    """Set flag to metric > the baseline's percentile of it (exact, linear); a missing metric isn't flagged."""
-    bound = baseline.agg(F.coalesce(F.percentile(metric, F.lit(share)), F.lit(float("inf"))).alias("_bound"))  # one row
-    return df.crossJoin(F.broadcast(bound)).withColumn("flag", F.coalesce((F.col(metric) > F.col("_bound")).cast("int"), F.lit(0))).drop("_bound")
+    """Set flag to metric > the baseline's percentile of it (exact, linear; infinite without a baseline); a missing metric isn't
+    flagged. The percentile comes from counts by bins, so the baseline isn't ordered in one task."""
+    bound, n = float("inf"), baseline.where(F.col(metric).isNotNull()).count()
+    if n:
+        place = (n - 1) * share
+        low, high = math.floor(place), math.ceil(place)
+        a, b = nth(baseline, metric, [low, high]) if high > low else nth(baseline, metric, [low]) * 2
+        bound = a if a == b else (high - place) * a + (place - low) * b
+    return df.withColumn("flag", F.coalesce((F.col(metric) > F.lit(bound)).cast("int"), F.lit(0)))
 
 
 def triage(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
@@ -49,11 +58,24 @@ def out_of_range(df: DataFrame, keys: list[str], bounds: list[tuple[str, float,
     return out.where("value < lo or value > hi").select(*keys, "measure", "value")
 
 
+#: Hexadecimal digits of a digest by which a stratum is cut into pieces, 16 to that power.
+PIECES = 3
+
+
+def _dealt(df: DataFrame, key: str, stratum: str, seed: int) -> DataFrame:
+    """Add `_place`, from 0, within the stratum in the order of a digest. Places are counted within the pieces of the digest's first
+    digits and added to the counts of the pieces before, so no task orders a whole stratum."""
+    own = df.withColumn("_d", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))).withColumn("_p", F.substring("_d", 1, PIECES))
+    counts = own.groupBy(F.col(stratum).alias("_s"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy("_s").orderBy("_q")) - F.col("_c")
+    within = F.row_number().over(Window.partitionBy(stratum, "_p").orderBy("_d", key)) - 1
+    held = own.withColumn("_r", within).join(counts.select("_s", "_q", before.alias("_before")), F.col(stratum).eqNullSafe(F.col("_s")) & (F.col("_p") == F.col("_q")))
+    return held.withColumn("_place", F.col("_r") + F.col("_before")).drop("_d", "_p", "_s", "_q", "_r", "_before")
+
+
 def stratified_folds(df: DataFrame, key: str, stratum: str, k: int, seed: int) -> DataFrame:
     """Add `fold`: round robin within the stratum in the order of a digest, so sizes differ by one at most."""
-    order = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    place = F.row_number().over(Window.partitionBy(stratum).orderBy(order, key)) - 1
-    return df.withColumn("fold", F.pmod(place, F.lit(k)))
+    return _dealt(df, key, stratum, seed).withColumn("fold", F.pmod("_place", F.lit(k))).drop("_place")
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, seed: int) -> DataFrame:
@@ -64,6 +86,5 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, seed: int)
     sizes = sizes.withColumn("base", F.greatest(F.lit(1), F.floor(exact))).withColumn("rest", exact - F.floor(exact))
     nth = F.row_number().over(every.orderBy(F.desc("rest"), stratum))
     sizes = sizes.withColumn("take", F.least("g", F.col("base") + F.when(nth <= F.lit(n) - F.sum("base").over(every), 1).otherwise(0)))
-    order = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    placed = df.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(order, key)))
-    return placed.join(F.broadcast(sizes.select(stratum, "take")), stratum).where("_r <= take").drop("_r", "take")
+    placed = _dealt(df, key, stratum, seed)
+    return placed.join(F.broadcast(sizes.select(stratum, "take")), stratum).where("_place < take").drop("_place", "take")
