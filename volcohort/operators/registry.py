@@ -34,9 +34,19 @@ def transition_class(pelvic: Column, vertebral: Column) -> tuple[Column, Column]
     return F.when(p > 0, p).when(by_count, v).otherwise(0), source
 
 
-def entries(cases: DataFrame, files: DataFrame, kind: str, image_dir: str, spine_dir: str, pelvis_dirs: list[str]) -> tuple[DataFrame, DataFrame]:
+# Where images and placed labels of the spine come from, and what a case says of the pelvis's source.
+IMAGE_SOURCE, PLACED_SOURCE, ALONE, SEPARATE = "dcm2niix", "placed_dcm2niix", "pelvic_only", "pelvic_native"
+#: What a case may bring besides: NULL where it doesn't.
+EXTRAS = {
+    "series_agreement": "boolean", "lstv_agreement": "boolean", "lstv_confusion_zone": "boolean", "spine_bone_pct": "double", "pelvic_bone_pct": "double", "pelvic_series_dir": "string",
+    "warnings": "array<string>",
+}
+
+
+def entries(cases: DataFrame, files: DataFrame, kind: str, image_dir: str, spine_dir: str, pelvis_dirs: list[str], tag: str = ALONE) -> tuple[DataFrame, DataFrame]:
     """(entries, missing) of the cases of a kind. cases: patient_token, spine_series, spine_placed, pelvic_series, pelvic_placed,
-    pelvic_stem, lstv_pelvic, lstv_vertebral; files: (path) there are.
+    pelvic_stem, lstv_pelvic, lstv_vertebral and any of EXTRAS; files: (path) there are; tag: the source told of pelvic_only entries.
+    Entries have the columns of all kinds, NULL where a kind hasn't any.
 
     image is that of the spine's series, or of the pelvis's for pelvic_only. The spine's label lies in spine_dir by its series, else
     where it was placed. The pelvic mask lies where it was placed if that is there, else in the first of pelvis_dirs that has it by its
@@ -58,15 +68,49 @@ def entries(cases: DataFrame, files: DataFrame, kind: str, image_dir: str, spine
     lacking = F.array_compact(F.array(*[F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(c)) for c in needed]))
     out = out.withColumn("_lacking", lacking)
     number, source = transition_class(F.col("lstv_pelvic"), F.col("lstv_vertebral"))
-    own = lambda c: F.col(c) if c in rule["needs"] else F.lit(None).cast("string")
+    out = out.withColumns({c: F.lit(None).cast(t) for c, t in EXTRAS.items() if c not in cases.columns})
+    spine, pelvic = "spine_label" in rule["needs"], "pelvic_mask" in rule["needs"]
+    alone = kind == "pelvic_only"
+    only = lambda c, of, t="string": (F.col(c) if isinstance(c, str) else c).cast(t) if of else F.lit(None).cast(t)
+    own = lambda c: only(c, c in rule["needs"])
     series = F.col("pelvic_series" if kind == "pelvic_only" else "spine_series")
     made = out.where(F.size("_lacking") == 0).select(
         "patient_token", F.lit(kind).alias("match_type"), F.lit(rule["dataset"]).alias("dataset"), F.lit(rule["role"]).alias("label_role"), "image",
         own("spine_label").alias("spine_label"), own("pelvic_mask").alias("pelvic_mask"), number.alias("lstv_class"), source.alias("lstv_source"), series.alias("series_uid"),
+        only("series_agreement", kind == "fused", "boolean").alias("series_match"), F.lit(IMAGE_SOURCE).alias("image_source"), only(F.lit(PLACED_SOURCE), spine).alias("seg_source"),
+        "lstv_pelvic", "lstv_vertebral", "lstv_agreement", F.coalesce("lstv_confusion_zone", F.lit(False)).alias("lstv_confusion_zone"), only("spine_bone_pct", spine, "double").alias("bone_pct_spine"),
+        only("pelvic_bone_pct", pelvic, "double").alias("bone_pct_pelvic"), F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"), only("image", alone).alias("pelvic_image"),
+        only("pelvic_series_dir", alone).alias("series_dir"), only(F.lit(tag), alone).alias("source"),
     )
     return made, out.where(F.size("_lacking") > 0).select("patient_token", F.array_join("_lacking", ",").alias("lacking"))
 
 
+def manifest(cases: DataFrame, patients: DataFrame, files: DataFrame, image_dir: str, spine_dir: str, mask_dir: str, native_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, missing, totals) of all cases, each with its match_type. What a case doesn't say of the transition comes from its
+    patient (patient_token, lstv_pelvic, lstv_vertebral, lstv_agreement), once each. A case whose spine and pelvis are separate makes an
+    entry of either. missing: (patient_token, match_type, lacking); totals: one row, n_missing_files counting files that entries name
+    and that aren't there."""
+    names = {c: F.col(c) for c in ("lstv_pelvic", "lstv_vertebral")} | ({"lstv_agreement": F.col("lstv_agreement")} if "lstv_agreement" in cases.columns else {})
+    known = patients.select("patient_token", *[F.col(c).alias(f"_{c}") for c in ("lstv_pelvic", "lstv_vertebral", "lstv_agreement")])
+    told = cases.join(known, "patient_token", "left")
+    text = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.nullif(F.col(f"_{c}"), F.lit("")), F.col(c)).alias(c)
+    flag = F.when(F.coalesce(names.get("lstv_agreement", F.lit(None).cast("boolean")), F.lit(False)) | F.coalesce("_lstv_agreement", F.lit(False)), True).otherwise(names.get("lstv_agreement", F.lit(None).cast("boolean")))
+    told = told.select(*[c for c in cases.columns if c not in names and c != "lstv_agreement"], text("lstv_pelvic"), text("lstv_vertebral"), flag.alias("lstv_agreement"))
+    made, lost = [], []
+    for given, kind, tag in (("fused", "fused", ALONE), ("spine_only", "spine_only", ALONE), ("separate", "spine_only", ALONE), ("pelvic_only", "pelvic_only", ALONE), ("separate", "pelvic_only", SEPARATE)):
+        got, lacking = entries(told.where(F.col("match_type") == given).drop("match_type"), files, kind, image_dir, spine_dir, [mask_dir] if kind == "fused" else [native_dir, mask_dir], tag)
+        made.append(got.withColumn("_separate", F.lit(given == "separate")))
+        lost.append(lacking.select("patient_token", F.lit(kind).alias("match_type"), "lacking"))
+    every = reduce(DataFrame.unionByName, made)
+    named = every.select(F.explode(F.array("image", "spine_label", "pelvic_mask")).alias("path")).where("path <> ''")
+    absent = named.join(files.select("path").distinct(), "path", "left_anti").agg(F.count(F.lit(1)).alias("n_missing_files"))
+    of = lambda kind: F.col("match_type") == kind
+    sums = {"n_fused": of("fused"), "n_spine_only": of("spine_only"), "n_spine_from_separate": of("spine_only") & F.col("_separate"), "n_pelvic_only": of("pelvic_only"), "n_pelvic_from_separate": of("pelvic_only") & F.col("_separate")}
+    classes = {f"n_class_{n}": F.col("lstv_class") == n for n in sorted(set(CLASSES.values()))}
+    totals = every.agg(*[F.count_if(c).alias(n) for n, c in (sums | classes).items()]).crossJoin(absent)  # a row each
+    return every.drop("_separate"), reduce(DataFrame.unionByName, lost), totals
+
+
 def world_box(affine: Column, shape: Column) -> tuple[list[Column], list[Column]]:
     """Least and greatest coordinates of the centres of the corner voxels: each axis adds its way where that leads down or up."""
     lows, highs = [], []

@@ -145,6 +145,53 @@ entries_spine_only = _entry_query("spine_only", "seg is not null", "seg", "cast(
 entries_pelvic_only = _entry_query("pelvic_only", "mask is not null", "cast(null as varchar)", "mask")
 
 
+def _manifest(spark, sf_dir):
+    """Parts as cases of four kinds; some say nothing of their transition, which their patient then does."""
+    part = table(spark, sf_dir, "part")
+    cases = part.selectExpr(
+        "cast(p_partkey as string) patient_token", "element_at(array('fused', 'spine_only', 'pelvic_only', 'separate'), cast(p_size % 4 + 1 as int)) match_type", "cast(p_partkey as string) spine_series", "cast(p_partkey as string) pelvic_series",
+        "cast(p_partkey as string) pelvic_stem", "if(p_partkey % 3 = 1, concat('old/', p_partkey), null) spine_placed", "if(p_partkey % 5 in (1, 3), concat('p/', p_partkey), null) pelvic_placed",
+        "if(p_partkey % 7 < 3, if(p_partkey % 7 = 0, '', null), if(p_partkey % 7 = 3, 'Sacralization', 'normal')) lstv_pelvic", "cast(null as string) lstv_vertebral", "if(p_partkey % 9 = 0, null, p_partkey % 9 > 4) lstv_agreement",
+        "if(p_partkey % 4 = 0, null, p_partkey % 4 = 1) lstv_confusion_zone", "p_partkey % 2 = 0 series_agreement", "double(p_partkey % 100) spine_bone_pct", "concat('dir/', p_partkey) pelvic_series_dir", "if(p_partkey % 6 = 0, null, array('w', 'v')) warnings",
+    )
+    patients = part.where("p_partkey % 8 > 0").selectExpr("cast(p_partkey as string) patient_token", "if(p_partkey % 2 = 0, 'SEMI_SACRAL', '') lstv_pelvic", "if(p_partkey % 3 = 0, 'lumbarization', null) lstv_vertebral", "p_partkey % 10 = 0 lstv_agreement")
+    there = "filter(array(if(p_partkey % 2 = 0, concat('img/', p_partkey, '.nii.gz'), null), if(p_partkey % 3 = 0, concat('sp/', p_partkey, '_seg_placed.nii.gz'), null), if(p_partkey % 5 = 1, concat('p/', p_partkey), null), if(p_partkey % 5 = 2, concat('m/', p_partkey, '_pelvic_placed.nii.gz'), null), if(p_partkey % 11 = 2, concat('n/', p_partkey, '_pelvic_placed.nii.gz'), null)), x -> x is not null)"
+    return registry.manifest(cases, patients, part.selectExpr(f"explode({there}) path"), "img", "sp", "m", "n")
+
+
+MANIFEST_SQL = """c as (select p_partkey k, ['fused', 'spine_only', 'pelvic_only', 'separate'][p_size % 4 + 1] mt, case when k % 7 in (0, 1, 2) then case when k % 8 > 0 and k % 2 = 0 then 'SEMI_SACRAL' when k % 7 = 0 then '' end when k % 7 = 3 then 'Sacralization' else 'normal' end pv,
+  case when k % 8 > 0 and k % 3 = 0 then 'lumbarization' end vt, case when k % 9 > 4 or (k % 8 > 0 and k % 10 = 0) then true when k % 9 > 0 then false end agree from part),
+o as (select *, mt given, unnest(case mt when 'separate' then ['spine_only', 'pelvic_only'] else [mt] end) kind from c),
+f as (select *, case when k % 2 = 0 then 'img/' || k || '.nii.gz' end image, case when k % 3 = 0 then 'sp/' || k || '_seg_placed.nii.gz' when k % 3 = 1 then 'old/' || k end seg,
+  case when k % 5 = 1 then 'p/' || k when kind <> 'fused' and k % 11 = 2 then 'n/' || k || '_pelvic_placed.nii.gz' when k % 5 = 2 then 'm/' || k || '_pelvic_placed.nii.gz' when k % 5 = 3 then 'p/' || k end mask from o),
+g as (select *, concat_ws(',', case when image is null then 'image' end, case when kind <> 'pelvic_only' and seg is null then 'spine_label' end, case when kind <> 'spine_only' and mask is null then 'pelvic_mask' end) lacking,
+  case when pv = 'SEMI_SACRAL' then 2 when pv = 'Sacralization' then 3 when vt is not null then 1 else 0 end cls from f),
+e as (select k, given, kind, image, case when kind <> 'pelvic_only' then seg end seg, case when kind <> 'spine_only' then mask end mask, cls, pv, vt, agree from g where lacking = '')"""
+
+
+@query(f"""with {MANIFEST_SQL} select '' || k token, kind match_type, case kind when 'pelvic_only' then 'pelvic' else 'spine' end dataset, image, seg spine_label, mask pelvic_mask, cls lstv_class, pv lstv_pelvic, vt lstv_vertebral, agree lstv_agreement, k % 4 = 1 zone,
+  case when kind = 'fused' then k % 2 = 0 end series_match, case when kind <> 'pelvic_only' then 'placed_dcm2niix' end seg_source, case when kind <> 'pelvic_only' then cast(k % 100 as double) end bone_pct_spine, case when k % 6 = 0 then '' else 'w,v' end warnings,
+  case when kind = 'pelvic_only' then image end pelvic_image, case when kind = 'pelvic_only' then 'dir/' || k end series_dir, case when kind = 'pelvic_only' then case given when 'separate' then 'pelvic_native' else 'pelvic_only' end end source from e""")
+def whole_manifest(spark, sf_dir):
+    made, _, _ = _manifest(spark, sf_dir)
+    return made.select(
+        F.col("patient_token").alias("token"), "match_type", "dataset", "image", "spine_label", "pelvic_mask", "lstv_class", "lstv_pelvic", "lstv_vertebral", "lstv_agreement", F.col("lstv_confusion_zone").alias("zone"), "series_match", "seg_source", "bone_pct_spine",
+        F.array_join("warnings", ",").alias("warnings"), "pelvic_image", "series_dir", "source",
+    )
+
+
+@query(f"with {MANIFEST_SQL} select '' || k token, kind match_type, lacking from g where lacking <> ''")
+def manifest_lacking(spark, sf_dir):
+    return _manifest(spark, sf_dir)[1].withColumnRenamed("patient_token", "token")
+
+
+@query(f"""with {MANIFEST_SQL}, n as (select unnest([image, seg, mask]) path, k from e) select count(*) filter (kind = 'fused') n_fused, count(*) filter (kind = 'spine_only') n_spine_only, count(*) filter (kind = 'spine_only' and given = 'separate') n_spine_from_separate,
+  count(*) filter (kind = 'pelvic_only') n_pelvic_only, count(*) filter (kind = 'pelvic_only' and given = 'separate') n_pelvic_from_separate, count(*) filter (cls = 0) n_class_0, count(*) filter (cls = 1) n_class_1, count(*) filter (cls = 2) n_class_2, count(*) filter (cls = 3) n_class_3,
+  (select count(*) from n where path like 'old/%' or (path like 'p/%' and k % 5 = 3)) n_missing_files from e""")
+def manifest_totals(spark, sf_dir):
+    return _manifest(spark, sf_dir)[2]
+
+
 @query(f"with {ENTRY_SQL} select '' || k token, concat_ws(',', case when not img then 'image' end, case when seg is null then 'spine_label' end, case when mask is null then 'pelvic_mask' end) lacking from e where not img or seg is null or mask is null")
 def entries_missing(spark, sf_dir):
     return _entries(spark, sf_dir, "fused")[1].select(F.col("patient_token").alias("token"), "lacking")
