@@ -100,27 +100,27 @@ MOST_STEPS = 100_000
 
 def nth(df: DataFrame, value: str, places: list[int]) -> list[float]:
     """The values at these places (from 0) of the order of all rows, without bringing the rows into one order: each pass counts
-    equal bins and goes on within the bin of the place, until few rows or one value are left."""
-    found = []
-    x = F.col(value).cast("double")
-    for place in places:
-        part, before = df.where(x.isNotNull()).select(x.alias("v")), 0
-        while True:
-            ends = part.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count(F.lit(1)).alias("n")).first()
-            if ends["a"] == ends["b"]:
-                found.append(ends["a"])
-                break
-            if ends["n"] <= FEW:
-                found.append(sorted(r["v"] for r in part.collect())[place - before])
-                break
-            width = (ends["b"] - ends["a"]) / PASS_BINS
-            bin_ = F.least(F.floor((F.col("v") - ends["a"]) / width), F.lit(PASS_BINS - 1))
-            for r in sorted(part.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()):  # PASS_BINS rows at most
-                if before + r["n"] > place:
-                    part = part.where(bin_ == r["bin"])
-                    break
-                before += r["n"]
-    return found
+    equal bins and goes on within the bins of the places, until few rows or one value are left. Places share the passes."""
+    x, found = F.col(value).cast("double"), {}
+    todo = [(df.where(x.isNotNull()).select(x.alias("v")), 0, sorted(set(places)))] if places else []
+    while todo:
+        part, before, asked = todo.pop()
+        ends = part.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count(F.lit(1)).alias("n")).first()
+        if ends["a"] == ends["b"]:
+            found |= dict.fromkeys(asked, ends["a"])
+            continue
+        if ends["n"] <= FEW:
+            held = sorted(r["v"] for r in part.collect())
+            found |= {p: held[p - before] for p in asked}
+            continue
+        width = (ends["b"] - ends["a"]) / PASS_BINS
+        bin_ = F.least(F.floor((F.col("v") - ends["a"]) / width), F.lit(PASS_BINS - 1))
+        for r in sorted(part.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()):  # PASS_BINS rows at most
+            here = [p for p in asked if before <= p < before + r["n"]]
+            if here:
+                todo.append((part.where(bin_ == r["bin"]), before, here))
+            before += r["n"]
+    return [found[p] for p in places]
 
 
 def robust_bandwidth(df: DataFrame, value: str, low: float, high: float) -> tuple[int, float | None]:

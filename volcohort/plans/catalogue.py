@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- quality checks ---------------------------------------------------------------------------------------------------
 
 BASE_SQL = """
-base as (select l_orderkey k, 1 - max(l_quantity) / sum(l_quantity) om, avg(l_discount) ob, count(*) n from lineitem group by l_orderkey),
+base as (select l_orderkey k, 1 - max(l_quantity) / sum(l_quantity) om, round(avg(l_discount), 9) ob, count(*) n from lineitem group by l_orderkey),
 bound as (select quantile_cont(b.ob, 0.95) t from base b join orders o on o.o_orderkey = b.k where b.k % 3 <> 1 and o.o_orderpriority like '1%'),
 mixing as (select k, case when om > 0.8 then 1 else 0 end flag, om metric from base where k % 3 <> 0),
 leak as (select k, case when ob > t then 1 else 0 end flag, ob metric from base, bound where k % 3 <> 1),
@@ -46,7 +46,7 @@ merged as (select coalesce(m.k, l.k, s.k) k, coalesce(m.flag, 0) fm, coalesce(l.
 def _checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     base = li.groupBy(F.col("l_orderkey").alias("k")).agg(
-        (1 - F.max("l_quantity") / F.sum("l_quantity")).alias("om"), F.avg("l_discount").alias("ob"), F.count(F.lit(1)).alias("n")
+        (1 - F.max("l_quantity") / F.sum("l_quantity")).alias("om"), F.round(F.avg("l_discount"), 9).alias("ob"), F.count(F.lit(1)).alias("n")
     )
     leak = base.where("k % 3 <> 1").select("k", F.col("ob").alias("metric"))
     baseline = leak.join(orders.where("o_orderpriority like '1%'").select(F.col("o_orderkey").alias("k")), "k", "left_semi")
