@@ -1,9 +1,9 @@
 """Exact distances to the nearest voxel, one axis after the other.
 
 The squared distance to the nearest source is a minimum over lines along i, then j, then k. Along i it is that to the next source on
-either side; along the others it is the lower envelope of parabolas, one for each place with a value. Spark deals slices: those of
-one k for the first two axes, those of one j for the third, so that a task holds a slice and never a volume, and no pair of voxels
-is made."""
+either side; along the others it is the lower envelope of parabolas, one for each place with a value. Spark deals slices: a few
+neighbouring ones of k for the first two axes, of j for the third, so that a task holds slices and never a volume, and no pair of
+voxels is made."""
 
 from __future__ import annotations
 
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from volcohort.operators.voxel import surface
 
-BOX = "j0 int, j1 int, i0 int, i1 int"
+#: Neighbouring slices that a task works on in one call.
+SLICES = 8
 
 
 def _along(marked: np.ndarray, step: float) -> np.ndarray:
@@ -61,6 +62,9 @@ def nearest(targets: DataFrame, sources: DataFrame, grids: DataFrame, keys: list
     step = grids.select("case_id", *[F.col(f"s{c}").cast("double").alias(f"s{c}") for c in "kji"])
     wide = sources.select(*keys, "k", "j", "i").join(box, keys).join(step, "case_id", "left").fillna(1.0, ["sk", "sj", "si"])
 
+    def slabs(d: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([slab(x) for _, x in d.groupby("k")], ignore_index=True)
+
     def slab(d: pd.DataFrame) -> pd.DataFrame:
         r = d.iloc[0].to_dict()
         js = np.sort(d["j"].unique())
@@ -72,20 +76,25 @@ def nearest(targets: DataFrame, sources: DataFrame, grids: DataFrame, keys: list
         far = envelope(flat, js, to, r["sj"])
         return pd.DataFrame({**{c: r[c] for c in keys}, "k": r["k"], "j": to, "i0": r["i0"], "sk": r["sk"], "far": list(far)})
 
-    lines = wide.groupBy(*keys, "k").applyInPandas(slab, f"{schema}, k int, j int, i0 int, sk double, far array<double>")
+    near = lambda c: F.floor(F.col(c) / SLICES)
+    lines = wide.groupBy(*keys, near("k")).applyInPandas(slabs, f"{schema}, k int, j int, i0 int, sk double, far array<double>")
     put = [f.name for f in targets.schema.fields]
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in targets.schema.fields), "distance double"])
 
-    def column(t: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        t = t[put].copy()
+    def columns(t: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        t = t[put]
         if not len(t) or not len(s):
             return t.assign(distance=pd.Series([None] * len(t), dtype="float64", index=t.index))
+        of = dict(list(s.groupby("j")))  # every j of the targets has lines
+        return pd.concat([column(x, of[j]) for j, x in t.groupby("j")], ignore_index=True)
+
+    def column(t: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         s = s.sort_values("k")
         to = np.sort(t["k"].unique())
         far = envelope(np.stack(s["far"].to_list()), s["k"].to_numpy(), to, s["sk"].iloc[0])
         return t.assign(distance=np.sqrt(far[np.searchsorted(to, t["k"]), t["i"] - s["i0"].iloc[0]]))
 
-    return targets.groupBy(*keys, "j").cogroup(lines.groupBy(*keys, "j")).applyInPandas(column, out)
+    return targets.groupBy(*keys, near("j")).cogroup(lines.groupBy(*keys, near("j"))).applyInPandas(columns, out)
 
 
 def surface_distances(a: DataFrame, b: DataFrame, grids: DataFrame) -> DataFrame:
