@@ -24,7 +24,7 @@ def spread(seed: DataFrame, mask: DataFrame, steps: int) -> DataFrame:
     cur = front = seed.select(*AT, "label").distinct()
     where = mask.select(*AT).distinct()
     for _ in range(steps):
-        front = staged(_moved(front, FACES, "label").distinct().join(where, AT, "left_semi").join(cur, [*AT, "label"], "left_anti"), "refine")
+        front = staged(_moved(front, FACES, "label").distinct().join(where, AT, "left_semi").join(cur.hint("merge"), [*AT, "label"], "left_anti"), "refine")
         cur = cur.union(front)
     return cur
 

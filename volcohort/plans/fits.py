@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from volcohort.operators import cohort, spikes
-from volcohort.plans.catalogue import query, table
+from volcohort.plans.catalogue import places, query, table
 from volcohort.plans.volumes import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -35,7 +35,7 @@ r as (select q.c, q.l, q.k, count(*) n, max((rad - med) * scale) largest, quanti
 
 
 def _bones(spark, sf_dir):
-    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey c", "explode(sequence(0, 3839)) id").selectExpr("c", "cast(id div 480 as int) k", "cast((id div 24) % 20 as int) j", "cast(id % 24 as int) i")
+    v = places(spark, sf_dir, 3840, "s_suppkey c").selectExpr("c", "cast(id div 480 as int) k", "cast((id div 24) % 20 as int) j", "cast(id % 24 as int) i")
     grids = table(spark, sf_dir, "supplier").selectExpr("s_suppkey case_id", "0.5D + s_nationkey % 3 * 0.4D si", "0.8D sj")
     return v.selectExpr("c case_id", "k", "j", "i", f"cast({BONE} as int) label"), grids
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from volcohort.operators import refine, resample, voxel
-from volcohort.plans.catalogue import VOXEL_SQL, _voxels, query, table
+from volcohort.plans.catalogue import VOXEL_SQL, _voxels, places, query, table
 from volcohort.plans.gates import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,7 +78,7 @@ f as (select d.*, t from d join thr on thr.c = d.c), bone as (select * from f wh
 
 
 def _refined(spark, sf_dir, **kw):
-    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey c", "explode(sequence(0, 239)) id").selectExpr("c", "cast(id div 60 as int) k", "cast((id div 10) % 6 as int) j", "cast(id % 10 as int) i")
+    v = places(spark, sf_dir, 240, "s_suppkey c").selectExpr("c", "cast(id div 60 as int) k", "cast((id div 10) % 6 as int) j", "cast(id % 10 as int) i")
     of = lambda rule, name: v.selectExpr("c case_id", "k", "j", "i", f"cast({rule} as int) {name}")
     return refine.refined(of(HAND, "label").where("label <> 0"), of(PRED, "label").where("label <> 0"), of(DENSITY, "hu"), **kw)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from volcohort.operators import register
-from volcohort.plans.catalogue import query, table
+from volcohort.plans.catalogue import places, query, table
 from volcohort.plans.sacrum import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -24,7 +24,7 @@ sc as (select sh.*, count(*) n, 100.0 * count(*) filter (hu > 200) / count(*) pc
 
 @query(f"""with {REGISTER_SQL} select cast(c as bigint) case_id, cast(f as int) flip, cast(di as int) di, cast(dj as int) dj, cast(dk as int) dk, n voxels, round(cast(pct as double), 6) "percent" from sc where n >= 60 and pct > 0 qualify row_number() over (partition by c order by pct desc, f) = 1""")
 def laid_labels(spark, sf_dir):
-    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey c", "explode(sequence(0, 2047)) id").selectExpr("c", "cast(id div 256 as int) k", "cast((id div 16) % 16 as int) j", "cast(id % 16 as int) i")
+    v = places(spark, sf_dir, 2048, "s_suppkey c").selectExpr("c", "cast(id div 256 as int) k", "cast((id div 16) % 16 as int) j", "cast(id % 16 as int) i")
     grids = table(spark, sf_dir, "supplier").selectExpr("s_suppkey case_id", "array(1D, 0D, 0D, 0D, 0D, 1D, 0D, 0D, 0D, 0D, 1D, 0D, 0D, 0D, 0D, 1D) affine", "16 ni", "16 nj", "8 nk")
     moving, hu = v.selectExpr("c case_id", "k", "j", "i", f"if({LABEL}, 5, 0) label"), v.selectExpr("c case_id", "k", "j", "i", f"{SCAN} hu")
     voxels, found = register.laid(moving, grids, hu, grids, 60, 2)

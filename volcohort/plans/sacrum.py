@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from volcohort.operators import sacrum
-from volcohort.plans.catalogue import query, table
+from volcohort.plans.catalogue import places, query, table
 from volcohort.plans.fits import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,7 +23,7 @@ t as (select b.*, round((y - my) * ay + (z - mz) * az, 9) t from b join a on a.c
 
 @query(f"""with {LEAN_SQL} select cast(t.c as bigint) case_id, cast(case when t.t >= cut then 29 else 26 end as int) "label", count(*) n, cast(sum(k) as bigint) k, cast(sum(j) as bigint) j from t join cut on cut.c = t.c group by 1, 2""")
 def carved_tops(spark, sf_dir):
-    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey c", "explode(sequence(0, 5119)) id").selectExpr("c", "cast(id div 320 as int) k", "cast((id div 16) % 20 as int) j", "cast(id % 16 as int) i")
+    v = places(spark, sf_dir, 5120, "s_suppkey c").selectExpr("c", "cast(id div 320 as int) k", "cast((id div 16) % 20 as int) j", "cast(id % 16 as int) i")
     v = v.selectExpr("c case_id", "k", "j", "i", f"cast({LEAN} as int) label").where("label <> 0")
     grids = table(spark, sf_dir, "supplier").selectExpr("s_suppkey case_id", "array(1.0D, 0D, 0D, -8D, 0D, 1.0D + s_nationkey % 3 * 0.5D, 0D, -20D, 0D, 0D, 2.0D, 5D, 0D, 0D, 0D, 1D) affine")
     return sacrum.carved(v, grids).groupBy("case_id", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"), F.sum("j").alias("j"))
@@ -51,6 +51,6 @@ be as (select *, row_number() over (partition by c order by lf + rt desc, y) r f
 
 @query(f"""with recursive {PLATE_SQL} select cast(mid.c as bigint) case_id, coalesce(lf, 0) "left", coalesce(rt, 0) "right", coalesce(cast(area as double), 0) area, (y - 2) * 2.0::double "offset" from mid left join be on be.c = mid.c and be.r = 1""")
 def sacral_openings(spark, sf_dir):
-    v = table(spark, sf_dir, "supplier").selectExpr("s_suppkey c", "explode(sequence(0, 8399)) id").selectExpr("c", "cast(id div 420 as int) k", "cast((id div 30) % 14 as int) j", "cast(id % 30 as int) i")
+    v = places(spark, sf_dir, 8400, "s_suppkey c").selectExpr("c", "cast(id div 420 as int) k", "cast((id div 30) % 14 as int) j", "cast(id % 30 as int) i")
     v = v.selectExpr("c case_id", "k", "j", "i", f"cast({PLATE} as int) label").where("label <> 0")
     return sacrum.openings(v, table(spark, sf_dir, "supplier").selectExpr("s_suppkey case_id", *GRIDS.split(", ")), least=100, view=50)
