@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+from volcohort.functions import stats
 from volcohort.operators.storage import staged
 from volcohort.plans import catalogue, every
 
@@ -31,3 +34,21 @@ def test_places_are_dealt_by_case(spark, monkeypatch):
 def test_joins_of_staged_tables_shuffle(spark):
     a, b = (staged(spark.range(10), "small") for _ in range(2))
     assert "Broadcast" not in plan(a.join(b, "id")) and a.join(b, "id").count() == 10
+
+
+def test_series_of_masks_shuffle(spark):
+    assert "Broadcast" not in plan(every.QUERIES["best_series"](spark, SF)).split("SortMergeJoin", 1)[1]
+
+
+def test_fisher_of_large_counts(spark):
+    """Against log gamma in floating point, at counts whose log factorials are sums of many thousand terms."""
+    rows = [(642, 6555, 700, 6490), (3, 0, 1, 40), (25, 31, 32, 33), (650, 6500, 650, 6500), (0, 0, 0, 5)]
+
+    def p(a, b, c, d):
+        logs = lambda n: math.lgamma(n + 1)
+        at = lambda x: math.exp(logs(a + b) - logs(x) - logs(a + b - x) + logs(c + d) - logs(a + c - x) - logs(d - a + x) - logs(a + b + c + d) + logs(a + c) + logs(b + d))
+        every_ = [at(x) for x in range(max(0, a - d), min(a + b, a + c) + 1)]
+        return min(1.0, sum(x for x in every_ if x <= at(a) * (1 + 1e-7)))
+
+    got = spark.createDataFrame(rows, "a long, b long, c long, d long").select(stats.fisher(*(F.col(x) for x in "abcd")).alias("p")).collect()
+    assert [r["p"] for r in got] == pytest.approx([p(*r) for r in rows], rel=1e-9)

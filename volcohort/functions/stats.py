@@ -158,12 +158,20 @@ def reflected_kde(df: DataFrame, value: str, low: float, high: float, points: in
     return out.select("point", "x", (F.col("s") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
+def log_factorial(n: Column) -> Column:
+    """log(n!) of a whole number: exact values up to 31, beyond it Stirling's series, whose next term is under 1e-13."""
+    x = n.cast("double")
+    few = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(32)])
+    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    return F.when(n < 32, F.get(few, n)).otherwise(series)
+
+
 def fisher(a: Column, b: Column, c: Column, d: Column) -> Column:
-    """Two-sided exact p of a 2 x 2 table of small counts: all tables of the same margins that are no likelier.
+    """Two-sided exact p of a 2 x 2 table of counts: all tables of the same margins that are no likelier.
 
-    Log factorials are sums of logs; use for tables, of which there are few, not for rows."""
+    It looks at every such table; use it for tables, of which there are few, not for rows."""
     a, b, c, d = (x.cast("int") for x in (a, b, c, d))
-    logs = lambda n: F.aggregate(F.sequence(F.lit(0), n), F.lit(0.0), lambda s, i: s + F.log(F.greatest(i, F.lit(1)).cast("double")))
+    logs = log_factorial
     r1, r2, c1 = a + b, c + d, a + c
     chance = lambda x: logs(r1) - logs(x) - logs(r1 - x) + logs(r2) - logs(c1 - x) - logs(r2 - c1 + x) - logs(r1 + r2) + logs(c1) + logs(r1 + r2 - c1)
     own = chance(a)
