@@ -136,7 +136,8 @@ def candidate_series(masks: DataFrame, series: DataFrame, on: str) -> DataFrame:
     s = series.select(on, "series_uid", F.col("affine").alias("_ra"), F.col("shape").alias("_rs"))
     s = s.where(geometry.valid_affine(F.col("_ra")) & geometry.valid_shape(F.col("_rs")))
     m = masks.where(geometry.valid_affine(F.col("affine")) & geometry.valid_shape(F.col("shape")))
-    return m.join(s, on).select("mask_id", "series_uid", box_share(F.col("affine"), F.col("shape"), F.col("_ra"), F.col("_rs")).alias("share"))
+    # Grids made from few columns outgrow Spark's estimate, which would broadcast every series.
+    return m.join(s.hint("merge"), on).select("mask_id", "series_uid", box_share(F.col("affine"), F.col("shape"), F.col("_ra"), F.col("_rs")).alias("share"))
 
 
 def best_series(masks: DataFrame, series: DataFrame, on: str) -> DataFrame:
