@@ -71,3 +71,16 @@ def test_scores(spark):
     for r in got:
         z = sum(a * b for a, b in zip(held[r.doc_id], weights, strict=True)) - threshold + shift
         assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9 and r.held_out == (crc(r.doc_id) % 5 == 0) and r.predicted == int(r.score >= 0.3)
+
+
+def test_all_rows_are_learnt_from(spark):
+    """Beyond what one task or the driver would take: rows and pairs are dealt, and each labelled row is in the model."""
+    rows = spark.range(24000, numPartitions=6).selectExpr("id doc_id", "concat(repeat('ab ', cast(25 + id % 40 as int)), if(id % 2 = 0, '!!! #', 'fine.')) text")
+    labels = rows.selectExpr("doc_id", "cast(doc_id % 2 as int) quality", "0 toxic")
+    w, threshold = pq.train(rows, labels)
+    held = pq.with_features(rows.where("crc32(cast(doc_id as string)) % 5 <> 0")).selectExpr("doc_id % 2 quality", "_f")
+    scores = sorted((sum(a * b for a, b in zip(r["_f"], w, strict=True)), r["quality"]) for r in held.collect())
+    bad = sum(q == 0 for _, q in scores)
+    assert len(scores) > 18000 and abs(scores[bad - 1][0] - threshold) < 1e-9
+    numbers = pq.ordered(rows.selectExpr("doc_id"), ["doc_id"], "t").where("_i <> doc_id")
+    assert numbers.isEmpty() and {q for z, q in scores if z > threshold + 1e-6} == {1}

@@ -2,26 +2,27 @@
 
 Features of the whole text are computed in DataFrame functions. Pairs of a better and a worse labelled document are
 preferences; weights minimise the logistic loss on the difference of their features. The threshold is the quantile of the
-training scores at the share of worse documents; a score of PREDICT_AT lies exactly there.
+training scores at the share of worse documents; a score of PREDICT_AT lies exactly there. All labelled rows count; pairs, sums
+over them and the order of the scores are Spark's.
 
 Nulls: a null text is an empty one, with all features zero; it gets a score too. Labels that are null or without a document
 are left out. With labels of one kind only, every score is 1 if they are good and 0 if they are bad, and 0.5 with none.
-Repeated rows get the same score, and a doc_id that repeats is learnt from once for each of its texts, FIT_ROWS rows of a
-label at most. Scores that tie with the threshold are PREDICT_AT or above it. Very long texts are measured whole; an empty table
+Repeated rows get the same score, and a doc_id that repeats is learnt from once for each of its texts. Scores that tie with the threshold are PREDICT_AT or above it. Very long texts are measured whole; an empty table
 gives no rows. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.llm.storage import stage
+from volcohort.llm.storage import BROADCAST_BYTES, drop, size_of, stage
 from volcohort.llm.text import keyed_crc, text_of, words
 
-#: Bound on the labelled rows that are brought to the driver for fitting, of each label (those of smallest digest).
-FIT_ROWS = 8000
 PAIRS_PER_ROW = 8
 PREDICT_AT = 0.3
 L2 = 1e-3
@@ -55,55 +56,90 @@ def with_features(docs: DataFrame) -> DataFrame:
     return out.withColumn("_f", held).drop("_t", "_w", "_l", "_n", "_nw", "_nl", "_u", "_ul", "_up", "_dg", "_mk", "_sy", "_fa", "_en", "_sh", "_pi", "_wc")
 
 
-def fit(good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights on raw features, and the threshold. Every row meets PAIRS_PER_ROW rows of the other label, spread evenly."""
-    both = np.vstack([good, bad])
-    scale = both.std(axis=0)
-    scale[scale == 0] = 1
-    k = max(len(good), len(bad))
-    i = np.concatenate([(np.arange(k) + 0 * s) % len(good) for s in range(PAIRS_PER_ROW)])
-    j = np.concatenate([(np.arange(k) * (1 if len(bad) == k else 7) + 101 * s + s) % len(bad) for s in range(PAIRS_PER_ROW)])
-    x = (good[i] - bad[j]) / scale
-    w = np.zeros(x.shape[1])
-    for _ in range(30):  # Newton's steps on a convex loss
-        p = 1 / (1 + np.exp(np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(x) + L2 * np.eye(len(w)), x.T @ p / len(x) - L2 * w)
-        w += step
+def ordered(rows: DataFrame, by: list[str], tag: str) -> DataFrame:
+    """`rows`, written, with `_i`, their number from 0 in the order of `by`. Each task numbers a range; only counts of ranges are brought
+    together."""
+    held = stage(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_m", F.monotonically_increasing_id()), tag)
+    part = F.shiftright("_m", 33)
+    first, starts = 0, []
+    for r in sorted(held.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        starts += [F.lit(r["p"]), F.lit(first)]
+        first += r["n"]
+    return held.withColumn("_i", (F.create_map(*starts)[part] + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).cast("long") if starts else F.lit(0).cast("long")).drop("_m")
+
+
+def pairs_of(rows: DataFrame, n_good: int, n_bad: int) -> DataFrame:
+    """`_d`, the features of a better row less those of a worse one. Every row meets PAIRS_PER_ROW rows of the other label, spread evenly.
+    rows: (quality, _f, _i), bad ones numbered from 0, good ones from n_bad."""
+    good = rows.where("quality = 1").select((F.col("_i") - n_bad).alias("i"), F.col("_f").alias("_g"))
+    bad = rows.where("quality = 0").select(F.col("_i").alias("j"), F.col("_f").alias("_b"))
+    turn = F.explode(F.array(*[F.lit(102 * s) for s in range(PAIRS_PER_ROW)])).alias("_s")
+    near = lambda d, n: F.broadcast(d) if 16 * len(FEATURES) * n <= BROADCAST_BYTES else d
+    if n_good >= n_bad:
+        step = 1 if n_good == n_bad else 7
+        both = good.select("*", turn).withColumn("j", (F.col("i") * step + F.col("_s")) % n_bad).join(near(bad, n_bad), "j")
+    else:
+        both = bad.select("*", turn).withColumn("i", F.pmod(F.col("j") - F.col("_s"), F.lit(n_bad)) % n_good).join(near(good, n_good), "i")
+    return stage(both.select(F.zip_with("_g", "_b", lambda x, y: x - y).alias("_d")), "quality-pairs")
+
+
+def fit(rows: DataFrame, n_good: int, n_bad: int) -> np.ndarray:
+    """Weights on raw features: Newton's steps on a convex loss, whose slope and curvature each task sums over its pairs."""
+    n = len(FEATURES)
+    spread = rows.agg(*[F.stddev_pop(F.get("_f", F.lit(i))).alias(f"s{i}") for i in range(n)]).first()
+    scale = np.array([spread[f"s{i}"] for i in range(n)])
+    scale[scale < 1e-12] = 1
+    pairs, total = pairs_of(rows, n_good, n_bad), PAIRS_PER_ROW * max(n_good, n_bad)
+    w = np.zeros(n)
+    for _ in range(30):
+
+        def sums(batches: Iterator[pa.RecordBatch], w: np.ndarray = w) -> Iterator[pa.RecordBatch]:
+            slope, curve = np.zeros(n), np.zeros((n, n))
+            for b in batches:
+                x = b.column(0).flatten().to_numpy().reshape(-1, n) / scale
+                p = 1 / (1 + np.exp(np.clip(x @ w, -30, 30)))
+                slope += x.T @ p
+                curve += (x * (p * (1 - p))[:, None]).T @ x
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([slope, curve.ravel()]).tolist()], pa.list_(pa.float64()))], names=["s"])
+
+        s = np.sum([r["s"] for r in pairs.mapInArrow(sums, "s array<double>").collect()], axis=0) / total  # a row for each task
+        step = np.linalg.solve(s[n:].reshape(n, n) + L2 * np.eye(n), s[:n] - L2 * w)
+        w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    w = w / scale
-    return w, float(np.quantile(both @ w, len(bad) / len(both)))
+    drop(pairs)
+    return w / scale
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
-    """Fit on the rows whose crc32(doc_id as text) mod 5 isn't 0: at most FIT_ROWS of each label, chosen by digest."""
+    """Fit on all rows whose crc32(doc_id as text) mod 5 isn't 0; the threshold is the score at or below which as large a share of them
+    lies as is worse."""
     held = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    held = held.where(keyed_crc() % 5 != 0).withColumn("_o", F.xxhash64(F.lit(10), "doc_id"))
-    share = {r["quality"]: r["n"] for r in held.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not share.get(0) or not share.get(1):
-        return [0.0] * len(FEATURES), {(True, False): -1e9, (False, True): 1e9}.get((bool(share.get(1)), bool(share.get(0))), 0.0)
-    chosen = held.where("quality = 1").orderBy("_o", "doc_id").limit(FIT_ROWS).union(held.where("quality = 0").orderBy("_o", "doc_id").limit(FIT_ROWS))
-    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "quality"))  # 2 * FIT_ROWS rows at most
-    rows = with_features(docs.join(chosen, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")).select("doc_id", "quality", "_f")
-    rows = stage(rows.distinct(), "quality-rows")  # a doc_id may come with several texts
-    order = [F.xxhash64(F.lit(10), "doc_id"), "doc_id", "_f"]
-    rows = rows.where("quality = 1").orderBy(*order).limit(FIT_ROWS).union(rows.where("quality = 0").orderBy(*order).limit(FIT_ROWS))
-    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["_f"]))
-    part = {q: np.array([r["_f"] for r in found if r["quality"] == q]) for q in (0, 1)}
-    if not len(part[0]) or not len(part[1]):
+    held = stage(held.where(keyed_crc() % 5 != 0).select(F.col("doc_id").alias("_id"), "quality"), "quality-labels")
+    kinds = {r["quality"] for r in held.select("quality").distinct().collect()}
+    if len(kinds) < 2:
+        return [0.0] * len(FEATURES), {(1,): -1e9, (0,): 1e9}.get(tuple(kinds), 0.0)
+    same, put = F.col("doc_id") == F.col("_id"), ["doc_id", "quality", "_f"]
+    if 4 * size_of(held) <= BROADCAST_BYTES:
+        rows = with_features(docs.join(F.broadcast(held), same).select("doc_id", "text", "quality")).select(*put)
+    else:  # features are far smaller than the texts
+        rows = with_features(docs.where(keyed_crc() % 5 != 0).select("doc_id", "text")).select("doc_id", "_f").join(held, same).select(*put)
+    rows = ordered(rows.distinct(), ["quality", "doc_id", "_f"], "quality-rows")  # a doc_id may come with several texts
+    n = {r["quality"]: r["n"] for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
         return [0.0] * len(FEATURES), 0.0
-    # A quantile at the share of worse rows among all labelled rows, also where FIT_ROWS binds one of the labels.
-    w, _ = fit(part[1], part[0])
-    scores = np.concatenate([part[0] @ w, part[1] @ w])
-    weight = np.concatenate([np.full(len(part[q]), share[q] / len(part[q])) for q in (0, 1)])
-    order = np.argsort(scores, kind="stable")
-    at = np.searchsorted(np.cumsum(weight[order]), share[0])
-    return w.tolist(), float(scores[order[min(at, len(order) - 1)]])
+    w = fit(rows, n[1], n[0]).tolist()
+    scores = ordered(rows.select(_weighed(w).alias("_z")), ["_z"], "quality-scores")
+    return w, float(scores.where(F.col("_i") == n[0] - 1).first()["_z"])
+
+
+def _weighed(weights: list[float]) -> Column:
+    return sum((F.get("_f", F.lit(i)) * w for i, w in enumerate(weights)), F.lit(0.0))
 
 
 def score(docs: DataFrame, weights: list[float], threshold: float) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    raw = sum((F.get("_f", F.lit(i)) * w for i, w in enumerate(weights)), F.lit(0.0)) - threshold
+    raw = _weighed(weights) - threshold
     shift = float(np.log(PREDICT_AT / (1 - PREDICT_AT))) if any(weights) else 0.0
     out = with_features(docs.select("doc_id", "text")).select("doc_id", (keyed_crc() % 5 == 0).alias("held_out"), (raw + shift).alias("_z"))
     z = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("_z")))
