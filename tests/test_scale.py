@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from volcohort.functions import stats
+from volcohort.operators import morphology, voxel
 from volcohort.operators.storage import staged
 from volcohort.plans import catalogue, every
 
@@ -52,3 +54,35 @@ def test_fisher_of_large_counts(spark):
 
     got = spark.createDataFrame(rows, "a long, b long, c long, d long").select(stats.fisher(*(F.col(x) for x in "abcd")).alias("p")).collect()
     assert [r["p"] for r in got] == pytest.approx([p(*r) for r in rows], rel=1e-9)
+
+
+@pytest.mark.parametrize("name", ["surface_voxels", "hu_resolution", "dilated", "eroded_in_plane", "three_way_merge"])
+def test_places_meet_by_aggregates(spark, name):
+    """Volumes are dealt by case once; no join of places with places."""
+    found = plan(every.QUERIES[name](spark, SF))
+    assert "Join" not in found and "REPARTITION_BY_NUM" in found and "ENSURE_REQUIREMENTS" not in found
+
+
+def test_surface_growth_and_wear_by_plain_loops(spark):
+    rng = random.Random(3)
+    v = {(k, j, i): rng.choice([0, 1, 1, 1, 2]) for k in range(5) for j in range(6) for i in range(7)}
+    v = {p: n for p, n in v.items() if n}
+    df = spark.createDataFrame([(9, *p, n) for p, n in v.items()], "case_id int, k int, j int, i int, label int")
+    beside = lambda p, reach: [tuple(a + b for a, b in zip(p, d, strict=True)) for d in reach]
+    at = lambda d: {(r.k, r.j, r.i): r.label for r in d.collect()}
+    assert at(voxel.surface(df)) == {p: n for p, n in v.items() if any(v.get(q) != n for q in beside(p, voxel.FACES))}
+    assert at(morphology.erode(df, 1, voxel.FACES)) == {p: n for p, n in v.items() if all(v.get(q) == n for q in beside(p, voxel.FACES))}
+    grown = {}
+    for p, n in v.items():
+        for q in beside(p, voxel.FACES):
+            grown[q] = min(n, grown.get(q, n))
+    assert at(morphology.dilate(df)) == grown | v
+
+
+def test_spikes_shuffle(spark):
+    assert "Broadcast" not in plan(every.QUERIES["front_spikes"](spark, SF))
+
+
+def test_python_works_on_a_fixed_number_of_tasks(spark):
+    found = plan(every.QUERIES["fitted_spheres"](spark, SF))
+    assert "REPARTITION_BY_NUM" in found.split("FlatMapGroupsInPandas", 1)[1].split("HashAggregate", 1)[0]

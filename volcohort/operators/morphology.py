@@ -9,15 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.operators.voxel import AT, FACES, _moved, box, components
+from volcohort.operators.voxel import AT, FACES, box, components, with_neighbours
 
 
 def dilate(voxels: DataFrame, steps: int = 1, reach: list[tuple[int, int, int]] = FACES) -> DataFrame:
     """Labels grown into the background; where two meet, the smaller wins. Own voxels stay."""
     cur = voxels.where("label <> 0").select(*AT, "label")
     for _ in range(steps):
-        grown = _moved(cur, reach, "label").groupBy(*AT).agg(F.min("label").alias("_g"))
-        cur = cur.join(grown, AT, "full_outer").select(*AT, F.coalesce("label", "_g").alias("label"))
+        own = F.min(F.when(F.col("_own"), F.col("label")))
+        cur = with_neighbours(cur, reach).groupBy(*AT).agg(F.coalesce(own, F.min("label")).alias("label"))
     return cur
 
 
@@ -25,8 +25,8 @@ def erode(voxels: DataFrame, steps: int = 1, reach: list[tuple[int, int, int]] =
     """Voxels all of whose neighbours have their label."""
     cur = voxels.where("label <> 0").select(*AT, "label")
     for _ in range(steps):
-        full = _moved(cur, reach, "label").groupBy(*AT, "label").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == len(reach)).drop("_n")
-        cur = cur.join(full, [*AT, "label"], "left_semi")
+        n = with_neighbours(cur, reach).groupBy(*AT, "label").agg(F.bool_or("_own").alias("_own"), F.count(F.lit(1)).alias("_n"))
+        cur = n.where(F.col("_own") & (F.col("_n") == len(reach) + 1)).select(*AT, "label")
     return cur
 
 
