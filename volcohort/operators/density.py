@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from volcohort.operators.morphology import dilate, erode
+from volcohort.operators.storage import dealt, staged
 from volcohort.operators.voxel import AT, component_sizes, components
 
 BONE = 200
@@ -57,10 +58,10 @@ def boundary_share(truth: DataFrame, pred: DataFrame, label: int, band: int = 1)
 
 def bright_objects(voxels: DataFrame, hu: DataFrame, bright: int = 1800, reach: int = 2, least: int = 40) -> DataFrame:
     """(case_id, component, voxels, touched): parts brighter than bone within `reach` steps of a label, and the labels there."""
-    near = dilate(voxels, reach).select(*AT, F.col("label").alias("_l"))
+    near = staged(dilate(voxels, reach).select(*AT, F.col("label").alias("_l")), "near")  # read twice
     lit = hu.where(F.col("hu") > bright).join(near, AT).withColumn("label", F.lit(1))
     parts = components(lit.select(*AT, "label"))
-    big = component_sizes(parts).where(F.col("voxels") >= least).drop("label")
+    big = component_sizes(parts).where(F.col("voxels") >= least).drop("label").hint("merge")
     labels = parts.join(near, AT).groupBy("case_id", "component").agg(F.array_sort(F.collect_set("_l")).alias("touched"))
     return big.join(labels, ["case_id", "component"])
 
@@ -89,7 +90,7 @@ def fit_spheres(points: DataFrame, rounds: int = 5, keep: float = 0.9) -> DataFr
             mid, r = solve(x[used])
         return pd.DataFrame([(d["case_id"].iloc[0], d["label"].iloc[0], *mid, r, int(used.sum()))], columns=["case_id", "label", "k", "j", "i", "radius", "points"])
 
-    return points.groupBy("case_id", "label").applyInPandas(run, SPHERE)
+    return dealt(points, "case_id", "label").groupBy("case_id", "label").applyInPandas(run, SPHERE)
 
 
 def planes(points: DataFrame) -> DataFrame:
