@@ -86,3 +86,10 @@ def test_spikes_shuffle(spark):
 def test_python_works_on_a_fixed_number_of_tasks(spark):
     found = plan(every.QUERIES["fitted_spheres"](spark, SF))
     assert "REPARTITION_BY_NUM" in found.split("FlatMapGroupsInPandas", 1)[1].split("HashAggregate", 1)[0]
+
+
+@pytest.mark.parametrize("name", ["border_analysis", "pasted_crops", "classes_present", "disjoint_classes", "slice_changes"])
+def test_crops_are_dealt_before_their_places_are_made(spark, name):
+    """Lines are shuffled by case; the four places of each aren't, for the labels to meet."""
+    below = plan(every.QUERIES[name](spark, SF)).split("Generate explode([0,1,2,3])")
+    assert len(below) > 1 and all("REPARTITION_BY_NUM" in part for part in below[1:])

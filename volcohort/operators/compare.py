@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from volcohort.operators.voxel import AT, FACES, component_sizes, components, settle_conflicts, three_way, without_specks
+from volcohort.operators.storage import staged
+from volcohort.operators.voxel import AT, FACES, beside, component_sizes, components, settle_conflicts, three_way, without_specks
 
 IGNORE = 255
 # Fixed values of the label scheme: bones of spine, pelvis and legs; thoracic vertebrae; ribs; the classes at the border of lumbar spine and sacrum.
@@ -18,10 +19,7 @@ BORDER = (L5, L6, SACRUM)
 
 def side_by_side(a: DataFrame, b: DataFrame, *more: DataFrame) -> DataFrame:
     """(case, k, j, i, a, b, ...): labels at each place, background (0) where a table has no row. Later ones are c, d."""
-    out = None
-    for name, v in zip("abcd", (a, b, *more), strict=False):
-        part = v.select(*AT, F.col("label").alias(name))
-        out = part if out is None else out.join(part, AT, "full_outer")
+    out = beside(*[v.select(*AT, F.col("label").alias(name)) for name, v in zip("abcd", (a, b, *more), strict=False)])
     return out.fillna(0, [c for c in out.columns if c not in AT])
 
 
@@ -52,7 +50,11 @@ def classes_present(*volumes: DataFrame) -> DataFrame:
 def agreement(a: DataFrame, b: DataFrame, tau: float, overall: bool = False) -> DataFrame:
     """(case_id, metric, worst, agree): agreement of two reviewers by the worst Dice of a class, or by that of the whole
     foreground; 1 if neither has any."""
-    cell = cells(a, b)
+    return agreement_of_cells(staged(cells(a, b), "cells"), tau, overall)
+
+
+def agreement_of_cells(cell: DataFrame, tau: float, overall: bool = False) -> DataFrame:
+    """`agreement` from the table of `cells`, which it reads twice."""
     worst = overlaps(cell).groupBy("case_id").agg(F.min(2 * F.col("both") / (F.col("na") + F.col("nb"))).alias("worst"))
     fore = lambda c: (F.col(c) > 0) & (F.col(c) != IGNORE)
     total = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
@@ -81,7 +83,8 @@ def resolve_classes(merged: DataFrame, a: DataFrame, b: DataFrame, weights: Data
 
     weights: (case_id, wa, wb), one where they are missing; other conflicts stay open (label NULL)."""
     x, y = a.select(*AT, F.col("label").alias("_x")), b.select(*AT, F.col("label").alias("_y"))
-    m = merged.join(x, AT, "left").join(y, AT, "left").join(weights, "case_id", "left").fillna(0, ["_x", "_y"]).fillna(1.0, ["wa", "wb"])
+    m = beside(merged.select(*AT, "label", "state"), x, y).where("state is not null")
+    m = m.join(weights.hint("merge"), "case_id", "left").fillna(0, ["_x", "_y"]).fillna(1.0, ["wa", "wb"])
     open_ = (F.col("state") == "conflict") & F.col("label").isNull() & (F.col("_x") != 0) & (F.col("_y") != 0)
     ratio = F.when(F.col("wb") != 0, F.col("wa") / F.col("wb")).otherwise(F.lit(float("inf")))
     sure = (ratio >= gap) | ((F.col("wa") != 0) & (ratio <= 1 / gap))
@@ -143,7 +146,7 @@ def with_bones_of(given: DataFrame, edited: DataFrame) -> DataFrame:
 def paste(full: DataFrame, crop: DataFrame, origin: DataFrame) -> DataFrame:
     """`full` with a crop written over it. crop: places within the crop, background included; origin: (case_id, k0, j0, i0)."""
     at = crop.join(origin, "case_id").select("case_id", *[(F.col(c) + F.col(f"{c}0")).alias(c) for c in "kji"], F.col("label").alias("_new"))
-    return full.join(at, AT, "full_outer").select(*AT, F.coalesce("_new", "label").alias("label"))
+    return beside(full.select(*AT, "label"), at).select(*AT, F.coalesce("_new", "label").alias("label"))
 
 
 def busiest_slices(a: DataFrame, b: DataFrame, axis: str = "k") -> DataFrame:

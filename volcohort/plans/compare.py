@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from volcohort.functions import calls, codes
 from volcohort.operators import compare, dataset, transitions, voxel
-from volcohort.plans.catalogue import query, table
+from volcohort.operators.storage import staged
+from volcohort.plans.catalogue import PLACES, query, table
 from volcohort.plans.density import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,8 +29,11 @@ B_RULE = "cast(case when (k * i + j) % 4 = 0 then 0 when i = 3 then 5 + (k + cas
 
 
 def _crops(spark, sf_dir, rule):
-    li = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey case_id", "l_linenumber k", "cast(l_suppkey % 4 as int) j", "explode(array(0, 1, 2, 3)) i")
-    return li.distinct().withColumn("label", F.expr(rule))
+    li = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey case_id", "l_linenumber k", "cast(l_suppkey % 4 as int) j")
+    # Dealt by case before the places are made, so that what follows by place or case needs no other shuffle.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-4 * li.count() // PLACES))
+    lines = li.repartition(tasks, "case_id").distinct()
+    return lines.selectExpr("*", "explode(array(0, 1, 2, 3)) i").withColumn("label", F.expr(rule))
 
 
 def _pair(spark, sf_dir):
@@ -39,8 +43,8 @@ def _pair(spark, sf_dir):
 @query(f"""with {CROP_SQL}, w as (select c, min(2.0 * z / (na + nb)) worst from o group by c), f as (select c, sum(case when x > 0 then n else 0 end) na, sum(case when y > 0 then n else 0 end) nb, sum(case when x > 0 and y > 0 then n else 0 end) z from n group by c)
   select f.c case_id, round(coalesce(2.0 * z / nullif(na + nb, 0), 1), 9) overall, round(coalesce(worst, 1), 9) worst, coalesce(worst, 1) >= 0.3 agree, coalesce(2.0 * z / nullif(na + nb, 0), 1) >= 0.7 agree_overall from f left join w on f.c = w.c""")
 def reviewer_agreement(spark, sf_dir):
-    a, b = _pair(spark, sf_dir)
-    one, all_ = compare.agreement(a, b, 0.3), compare.agreement(a, b, 0.7, overall=True)
+    cell = staged(compare.cells(*_pair(spark, sf_dir)), "cells")
+    one, all_ = compare.agreement_of_cells(cell, 0.3), compare.agreement_of_cells(cell, 0.7, overall=True)
     both = one.select("case_id", "worst", "agree").join(all_.select("case_id", F.col("metric").alias("overall"), F.col("agree").alias("agree_overall")), "case_id")
     return both.select("case_id", F.round("overall", 9).alias("overall"), F.round("worst", 9).alias("worst"), "agree", "agree_overall")
 
@@ -149,7 +153,8 @@ def class_conflicts(spark, sf_dir):
     first = voxel.three_way(base, a, b)
     second = voxel.settle_conflicts(first, a, b, hu)
     third = compare.resolve_classes(second, a, b, weights)
-    null = lambda d, n: d.groupBy("case_id").agg(F.count_if(F.col("label").isNull()).alias(n))
+    # Counts of a layer are written, else one task would hold the places of all layers at once.
+    null = lambda d, n: staged(d.groupBy("case_id").agg(F.count_if(F.col("label").isNull()).alias(n)), "layer")
     out = null(first, "conflicts").join(null(second, "_2"), "case_id").join(null(third, "open"), "case_id")
     return out.select("case_id", "conflicts", (F.col("conflicts") - F.col("_2")).alias("by_density"), (F.col("_2") - F.col("open")).alias("by_weight"), "open")
 
