@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from volcohort.functions import stats
-from volcohort.operators import morphology, voxel
+from volcohort.operators import morphology, refine, voxel
 from volcohort.operators.storage import staged
 from volcohort.plans import catalogue, every
 
@@ -83,6 +83,29 @@ def test_spikes_shuffle(spark):
     assert "Broadcast" not in plan(every.QUERIES["front_spikes"](spark, SF))
 
 
+@pytest.mark.parametrize("name", ["filled_holes", "largest_component", "bright_objects", "sacral_openings", "resampled_labels"])
+def test_joins_of_joins_shuffle(spark, name):
+    """Joins lose the hint of their tables, and packed or exploded tables look small."""
+    assert "Broadcast" not in plan(every.QUERIES[name](spark, SF))
+
+
+def test_thresholds_of_bone_shuffle(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(refine, "staged", lambda df, tag: written.append(plan(df)) or staged(df, tag))
+    every.QUERIES["refined_clip"](spark, SF)
+    assert written and not any("Broadcast" in p for p in written)
+
+
+def test_grids_are_dealt_before_their_places_are_made(spark):
+    rows = [(1, k, j, i, 5) for k in range(2) for j in range(3) for i in range(3) if (j, i) != (1, 1)]
+    made = []
+    v = spark.createDataFrame(rows, "case_id int, k int, j int, i int, label int")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(morphology, "components", lambda df, reach: made.append(plan(df)) or voxel.components(df, reach))
+        assert sorted(tuple(r) for r in morphology.fill_slices(v).collect()) == [(1, 0, 1, 1, 5), (1, 1, 1, 1, 5)]
+    assert "REPARTITION_BY_NUM" in made[0].split("Generate explode", 1)[1]
+
+
 def test_python_works_on_a_fixed_number_of_tasks(spark):
     found = plan(every.QUERIES["fitted_spheres"](spark, SF))
     assert "REPARTITION_BY_NUM" in found.split("FlatMapGroupsInPandas", 1)[1].split("HashAggregate", 1)[0]

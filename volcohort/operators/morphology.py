@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from volcohort.operators.storage import dealt
 from volcohort.operators.voxel import AT, FACES, box, components, with_neighbours
 
 
@@ -34,18 +35,19 @@ def fill_slices(voxels: DataFrame, axis: str = "k") -> DataFrame:
     """Holes of each slice along `axis`: background of a label's box that doesn't reach the box's rim. (case_id, k, j, i, label)."""
     v = voxels.where("label <> 0")
     ends = box(v.withColumn("case_id", F.struct("case_id", "label")), 0)
-    grid = ends.select("case_id", *[c for n in "kji" for c in (f"{n}0", f"{n}1")])
+    grid = dealt(ends.select("case_id", *[c for n in "kji" for c in (f"{n}0", f"{n}1")]), "case_id", "k0")  # few rows, exploded to many; by the case alone they would stay where they are
     for n in "kji":
         lo, hi = (F.col(f"{n}0"), F.col(f"{n}1")) if n == axis else (F.col(f"{n}0") - 1, F.col(f"{n}1") + 1)
         grid = grid.withColumn(n, F.explode(F.sequence(lo, hi)))
-    own = v.select(F.struct("case_id", "label").alias("case_id"), "k", "j", "i")
+    own = v.select(F.struct("case_id", "label").alias("case_id"), "k", "j", "i").hint("merge")
     empty = grid.join(own, ["case_id", "k", "j", "i"], "left_anti").withColumn("label", F.lit(1))
     flat = [t for t in FACES if t["kji".index(axis)] == 0]
     rim = [F.col(n) < F.col(f"{n}0") for n in "kji" if n != axis] + [F.col(n) > F.col(f"{n}1") for n in "kji" if n != axis]
     outer = rim[0] | rim[1] | rim[2] | rim[3]
     parts = components(empty.select("case_id", "k", "j", "i", "label"), flat).join(ends, "case_id")
-    open_ = parts.groupBy("case_id", "component").agg(F.bool_or(outer).alias("open"))
-    holes = parts.join(open_.where("not open"), ["case_id", "component"], "left_semi")
+    # Joins lose the hint of their tables.
+    shut = parts.groupBy("case_id", "component").agg(F.bool_or(outer).alias("open")).where("not open").hint("merge")
+    holes = parts.join(shut, ["case_id", "component"], "left_semi")
     return holes.select(F.col("case_id.case_id").alias("case_id"), "k", "j", "i", F.col("case_id.label").alias("label"))
 
 
