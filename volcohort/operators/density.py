@@ -38,7 +38,7 @@ def calibrated(voxels: DataFrame, hu: DataFrame, share: float = 0.10) -> DataFra
     """(case_id, threshold): a percentile of the density under the mask shrunk by one; under the whole mask where nothing is left."""
     of = lambda v, n: v.join(hu, AT).groupBy("case_id").agg(F.percentile("hu", F.lit(share)).alias(n))
     mask = voxels.where("label <> 0").withColumn("label", F.lit(1))
-    return of(mask, "_all").join(of(erode(mask), "_core"), "case_id", "left").select("case_id", F.coalesce("_core", "_all").alias("threshold"))
+    return of(mask, "_all").join(of(erode(mask), "_core").hint("merge"), "case_id", "left").select("case_id", F.coalesce("_core", "_all").alias("threshold"))
 
 
 def profile(voxels: DataFrame) -> DataFrame:

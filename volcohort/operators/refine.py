@@ -81,7 +81,7 @@ def refined(
     named by the nearest one; compete shares out connected bone (see `compete`, which alone makes flags). fill: with the holes."""
     hand = v1.where(F.col("label").between(*CLASSES)).select(*AT, "label")
     pred = v2.where(F.col("label").between(*CLASSES)).select(*AT, "label").join(hand.select(*AT), AT, "left_anti")
-    thr = calibrated(hand, hu, percentile / 100).where("threshold is not null").join(pred.select("case_id").distinct(), "case_id", "left_semi")
+    thr = calibrated(hand, hu, percentile / 100).where("threshold is not null").join(pred.select("case_id").distinct().hint("merge"), "case_id", "left_semi")
     thr = thr.select("case_id", F.greatest("threshold", F.lit(float(floor))).alias("threshold")) if floor else thr
     thr = staged(thr, "refine")
     pred = staged(pred.join(thr, "case_id", "left_semi"), "refine")
