@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from volcohort.operators.density import BONE
 from volcohort.operators.resample import resampled
-from volcohort.operators.storage import staged
+from volcohort.operators.storage import dealt, staged
 from volcohort.operators.voxel import AT
 
 # The stride of the coarse grid, the fewest voxels of a label that lies well.
@@ -37,7 +37,7 @@ def shifts(fixed: DataFrame, moving: DataFrame, shape: DataFrame) -> DataFrame:
     k, j, i), both on a coarse grid whose ends meet; the first of equal ones in the order of i, j, k. shape: (case_id, ni, nj, nk). A
     task holds one coarse grid; shifts of more than half the grid count as shifts back."""
     case = moving.schema["case_id"].dataType.simpleString()
-    own = moving.join(shape, "case_id")
+    own = dealt(moving.join(shape.hint("merge"), "case_id"), "case_id", "flip")
 
     def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         names = ["case_id", "flip", "di", "dj", "dk"]
@@ -55,7 +55,7 @@ def shifts(fixed: DataFrame, moving: DataFrame, shape: DataFrame) -> DataFrame:
         return pd.DataFrame([(b["case_id"].iloc[0], b["flip"].iloc[0], *best.tolist())], columns=names)
 
     every = fixed.join(moving.select("case_id", F.col("flip").alias("_flip")).distinct(), "case_id")
-    return every.groupBy("case_id", "_flip").cogroup(own.groupBy("case_id", "flip")).applyInPandas(one, f"case_id {case}, flip int, di int, dj int, dk int")
+    return dealt(every, "case_id", "_flip").groupBy("case_id", "_flip").cogroup(own.groupBy("case_id", "flip")).applyInPandas(one, f"case_id {case}, flip int, di int, dj int, dk int")
 
 
 def laid(moving: DataFrame, source: DataFrame, hu: DataFrame, target: DataFrame, least: int = LEAST, stride: int = STRIDE, bone: int = BONE) -> tuple[DataFrame, DataFrame]:
