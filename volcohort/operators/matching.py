@@ -12,18 +12,46 @@ def cascade(
 ) -> DataFrame:
     """Candidates of each row of `left`, told apart by `keys`: an equi-join (pairs that meet `where`, if given), then only those
     of the first tier that any of its candidates meets, ranked."""
-    tier = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(tiers)], F.lit(len(tiers)))
     pairs = left.join(right, on)
-    out = (pairs if where is None else pairs.where(where)).withColumn("tier", tier)
+    return ranked(pairs if where is None else pairs.where(where), keys, tiers, rank)
+
+
+def ranked(pairs: DataFrame, keys: list[str], tiers: list[Column], rank: list[Column]) -> DataFrame:
+    """`cascade` from its pairs."""
+    out = pairs.withColumn("tier", _tier(tiers))
     out = out.withColumn("_best", F.min("tier").over(Window.partitionBy(*keys))).where("tier = _best").drop("_best")
     return out.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*rank)))
 
 
+def _tier(tiers: list[Column]) -> Column:
+    return F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(tiers)], F.lit(len(tiers)))
+
+
+def candidates(left: DataFrame, right: DataFrame, on: list[str], where: Column, tiers: list[Column], rank: list[Column], first: bool = False) -> DataFrame:
+    """The pairs of an equi-join that meet `where`, without those that can't be kept by `cascade`: of each row of `left` the pairs of
+    its first tier, if only the `first` candidate is wanted those of the least rank[0] (a number) in it.
+
+    Pairs are made twice instead of sorted: the first time only numbers are kept of them, which Spark aggregates by hash in the
+    tasks of the join. Equal rows of `left` are told apart by their number."""
+    tier, own = _tier(tiers), left.columns
+    # Dealt by the key of the join first, so that equal rows are counted where they are joined.
+    rows = left.select("*", F.lit(1).alias("_copies")) if first else left.repartition(*on).groupBy(*own).agg(F.count(F.lit(1)).alias("_copies"))
+    pairs = rows.join(right, on).where(where)
+    least = [F.min(F.when(tier == t, rank[0])).alias(f"_{t}") for t in range(len(tiers) + 1)] if first else []
+    best = pairs.groupBy(*own, "_copies").agg(F.min(tier).alias("_tier"), *least)
+    kept = tier == F.col("_tier")
+    if first:
+        best = best.select(*own, "_copies", "_tier", F.coalesce(*[F.when(F.col("_tier") == t, F.col(f"_{t}")) for t in range(len(tiers) + 1)]).alias("_least"))
+        kept = kept & (rank[0].isNull() | (rank[0] == F.col("_least")))
+    out = best.hint("merge").join(right, on).where(where & kept)
+    more = [c for c in right.columns if c not in on]
+    return out.select(*own, *more) if first else out.select(*own, *more, F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
 def first_candidate(pairs: DataFrame, keys: list[str], tiers: list[Column], rank: list[Column], keep: list[str]) -> DataFrame:
     """keys, tier, keep: the row of `cascade` with rank 1, by a partial aggregate before the shuffle instead of windows."""
-    tier = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(tiers)], F.lit(len(tiers)))
-    ranked = F.struct(tier.alias("tier"), *[c.alias(f"_{i}") for i, c in enumerate(rank)], *keep)
-    return pairs.groupBy(*keys).agg(F.min(ranked).alias("_b")).select(*keys, "_b.tier", *[F.col("_b")[c].alias(c) for c in keep])
+    order = F.struct(_tier(tiers).alias("tier"), *[c.alias(f"_{i}") for i, c in enumerate(rank)], *keep)
+    return pairs.groupBy(*keys).agg(F.min(order).alias("_b")).select(*keys, "_b.tier", *[F.col("_b")[c].alias(c) for c in keep])
 
 
 def best_by(df: DataFrame, keys: list[str], value: str, tie: str, keep: list[str]) -> DataFrame:
