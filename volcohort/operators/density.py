@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from volcohort.operators.morphology import dilate, erode
 from volcohort.operators.storage import dealt, staged
-from volcohort.operators.voxel import AT, component_sizes, components
+from volcohort.operators.voxel import AT, beside, component_sizes, components
 
 BONE = 200
 
@@ -49,11 +49,11 @@ def profile(voxels: DataFrame) -> DataFrame:
 def boundary_share(truth: DataFrame, pred: DataFrame, label: int, band: int = 1) -> DataFrame:
     """(case_id, errors, near, share): voxels of a label that differ, and those within `band` steps of the truth's surface."""
     t = truth.where(F.col("label") == label).select(*AT, "label")
-    p = pred.where(F.col("label") == label).select(*AT, F.lit(1).alias("_p"))
-    errors = t.join(p, AT, "full_outer").where("label is null or _p is null").select(*AT)
-    ring = dilate(t, band).select(*AT).join(erode(t, band), AT, "left_anti").withColumn("_near", F.lit(True))
-    e = errors.join(ring, AT, "left")
-    return e.groupBy("case_id").agg(F.count(F.lit(1)).alias("errors"), F.count("_near").alias("near"), F.round(F.count("_near") / F.count(F.lit(1)), 9).alias("share"))
+    one = lambda d, name: d.select(*AT, F.lit(True).alias(name))
+    m = beside(one(t, "_t"), one(pred.where(F.col("label") == label), "_p"), one(dilate(t, band), "_d"), one(erode(t, band), "_e"))
+    near = F.col("_d").isNotNull() & F.col("_e").isNull()
+    e = m.where(F.col("_t").isNull() != F.col("_p").isNull()).groupBy("case_id")
+    return e.agg(F.count(F.lit(1)).alias("errors"), F.count_if(near).alias("near"), F.round(F.count_if(near) / F.count(F.lit(1)), 9).alias("share"))
 
 
 def bright_objects(voxels: DataFrame, hu: DataFrame, bright: int = 1800, reach: int = 2, least: int = 40) -> DataFrame:
