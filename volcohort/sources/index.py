@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from volcohort.functions import geometry
 from volcohort.functions.codes import qualifiers
 from volcohort.functions.coerce import canonical_uid, lookup, patient_token
+from volcohort.operators.storage import dealt
 
 # Parts of the descriptions of scouts, the fewest slices of a scan, names of lumbar labels, patterns of file names.
 SCOUT_PARTS = ("scout", "topogram", "localizer", "surview", "scoutview", "scanogram", "survey", "loc ", "loc_")
@@ -139,15 +140,17 @@ def pelvis_masks(files: DataFrame) -> DataFrame:
 
 def with_image(masks: DataFrame, files: DataFrame, root: str) -> DataFrame:
     """Add image_file, the first that is there of the places where the image of a mask may lie: near the mask, then under `root`.
-    One join for all places; NULL without any."""
+    One join for all places; NULL without any. Paths take a few bytes in a file and many in memory, so all joins shuffle, and masks
+    are dealt before their places are made."""
+    masks = dealt(masks, "mask_file")
     stem = F.replace(_file_name(F.col("mask_file")), F.lit("_seg.nii.gz"), F.lit(""))
     near = F.regexp_replace("mask_file", r"/[^/]+/[^/]+/[^/]+$", "/")
     tops = [near, *[F.lit(f"{root}/{d}") for d in ("raw_data/", "rawdata/", "")]]
     spots = [F.concat(top, F.lit(folder), stem, F.lit(f"{ending}.nii.gz")) for top in tops for folder in IMAGE_FOLDERS for ending in IMAGE_ENDINGS]
     asked = masks.select("mask_file", F.posexplode(F.array(*spots)).alias("_nth", "_path"))
-    there = files.select(F.col("path").alias("_path")).distinct()
+    there = files.select(F.col("path").alias("_path")).distinct().hint("merge")
     first = asked.join(there, "_path").groupBy("mask_file").agg(F.min_by("_path", "_nth").alias("image_file"))
-    return masks.join(first, "mask_file", "left")
+    return masks.join(first.hint("merge"), "mask_file", "left")
 
 
 def first_folder(files: DataFrame, folders: list[str], ending: str) -> DataFrame:
