@@ -14,6 +14,8 @@ from volcohort.operators.voxel import AT
 
 # The stride of the coarse grid, the fewest voxels of a label that lies well.
 STRIDE, LEAST = 4, 5000
+#: Places of the coarse grids that are worked on in one step, and of those whose voxels one call gets, about.
+CELLS = 1 << 18
 FLIPS = [(a, b, c) for a in (0, 1) for b in (0, 1) for c in (0, 1)]
 
 
@@ -35,27 +37,43 @@ def _coarse(voxels: DataFrame, stride: int, *more: str) -> DataFrame:
 def shifts(fixed: DataFrame, moving: DataFrame, shape: DataFrame) -> DataFrame:
     """(case_id, flip, di, dj, dk): the shift at which most voxels of `moving` (case_id, flip, k, j, i) meet voxels of `fixed` (case_id,
     k, j, i), both on a coarse grid whose ends meet; the first of equal ones in the order of i, j, k. shape: (case_id, ni, nj, nk). A
-    task holds one coarse grid; shifts of more than half the grid count as shifts back."""
-    case = moving.schema["case_id"].dataType.simpleString()
-    own = dealt(moving.join(shape.hint("merge"), "case_id"), "case_id", "flip")
-
-    def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        names = ["case_id", "flip", "di", "dj", "dk"]
-        if not len(b):
-            return pd.DataFrame([], columns=names)
-        n = tuple(int(b[f"n{c}"].iloc[0]) for c in "ijk")
-        grids = []
-        for d in (a, b):
-            g = np.zeros(n)
-            g[tuple(d[c].to_numpy(int) for c in "ijk")] = 1
-            grids.append(np.fft.rfftn(g))
-        met = np.rint(np.fft.irfftn(grids[0] * np.conj(grids[1]), s=n, axes=(0, 1, 2)))  # counts, so whole numbers
-        best = np.array(np.unravel_index(int(np.argmax(met)), n))
-        best = np.where(best > np.array(n) // 2, best - n, best)
-        return pd.DataFrame([(b["case_id"].iloc[0], b["flip"].iloc[0], *best.tolist())], columns=names)
-
-    every = fixed.join(moving.select("case_id", F.col("flip").alias("_flip")).distinct(), "case_id")
-    return dealt(every, "case_id", "_flip").groupBy("case_id", "_flip").cogroup(own.groupBy("case_id", "flip")).applyInPandas(one, f"case_id {case}, flip int, di int, dj int, dk int")
+    call gets the voxels of the cases that fall to it and holds coarse grids of CELLS places, or one; shifts of more than half the grid
+    count as shifts back."""
+    case, names = moving.schema["case_id"].dataType.simpleString(), ["case_id", "flip", "di", "dj", "dk"]
+    cells = shape.agg(F.sum(F.col("ni").cast("long") * F.col("nj") * F.col("nk")).alias("n")).first()["n"] or 0
+    calls = max(shape.sparkSession.sparkContext.defaultParallelism, -(-cells // CELLS))
+
+    def some(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame([], columns=names)]
+        for n, rows in (b.groupby(["ni", "nj", "nk"]).indices if len(b) else {}).items():
+            part, size = b.iloc[rows], int(np.prod(n))
+            pair = part.groupby(["case_id", "flip"]).ngroup().to_numpy()
+            own = part[["case_id", "flip"]].drop_duplicates().sort_values(["case_id", "flip"], ignore_index=True)
+            cases, of = np.unique(own["case_id"], return_inverse=True)
+            at = pd.Index(cases).get_indexer(a["case_id"])
+            for p in range(0, len(own), max(1, CELLS // size)):
+                q = min(len(own), p + max(1, CELLS // size))
+                grids = []
+                for d, held, lo, hi in ((a, at, of[p], of[q - 1] + 1), (part, pair, p, q)):
+                    d, held = d[(held >= lo) & (held < hi)], held[(held >= lo) & (held < hi)] - lo
+                    g = np.zeros((hi - lo, *n))
+                    g[(held, *(d[c].to_numpy(int) for c in "ijk"))] = 1
+                    grids.append(np.fft.rfftn(g, axes=(1, 2, 3)))
+                met = np.rint(np.fft.irfftn(grids[0][of[p:q] - of[p]] * np.conj(grids[1]), s=n, axes=(1, 2, 3)))  # counts, so whole numbers
+                best = np.column_stack(np.unravel_index(met.reshape(q - p, -1).argmax(axis=1), n))
+                best = np.where(best > np.array(n) // 2, best - n, best)
+                out.append(own[p:q].assign(di=best[:, 0], dj=best[:, 1], dk=best[:, 2]))
+        return pd.concat(out[1:] or out)
+
+    own = moving.join(shape.hint("merge"), "case_id")
+    both = [dealt(d.withColumn("_call", F.pmod(F.hash("case_id"), F.lit(calls))), "_call").groupBy("_call") for d in (fixed, own)]
+    return both[0].cogroup(both[1]).applyInPandas(some, f"case_id {case}, flip int, di int, dj int, dk int")
+
+
+def _blocks(places: DataFrame, *keys: str, **bits: Column) -> DataFrame:
+    """Places by blocks of 64 along i: (keys, k, j, b) and, for each condition, a number whose bits are the places where it holds."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("i").bitwiseAND(63))
+    return places.groupBy(*keys, "k", "j", F.shiftright("i", 6).alias("b")).agg(*[F.bit_or(F.when(on, bit).otherwise(F.lit(0).cast("long"))).alias(c) for c, on in bits.items()])
 
 
 def laid(moving: DataFrame, source: DataFrame, hu: DataFrame, target: DataFrame, least: int = LEAST, stride: int = STRIDE, bone: int = BONE) -> tuple[DataFrame, DataFrame]:
@@ -72,15 +90,23 @@ def laid(moving: DataFrame, source: DataFrame, hu: DataFrame, target: DataFrame,
     placed = resampled(held, turned, here).select(F.col("case_id.case_id").alias("case_id"), F.col("case_id.flip").alias("flip"), "k", "j", "i", "label")
     placed = staged(placed, "register-placed")
     size = lambda c: F.ceil(F.col(c) / stride).cast("int").alias(c)
+    # The scan is read several times, so it is written, as the few blocks of bits that its lines are.
+    scan = staged(_blocks(hu, "case_id", _in=F.lit(True), _bone=F.col("hu") > bone), "register-scan")
     coarse = _coarse(placed, stride, "flip")
     enough = coarse.groupBy("case_id", "flip").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least // stride**3).select("case_id", "flip")
-    moves = shifts(_coarse(hu.where(F.col("hu") > bone), stride), coarse.join(enough, ["case_id", "flip"], "left_semi"), target.select("case_id", size("ni"), size("nj"), size("nk")))
+    lit = scan.where((F.col("k") % stride == 0) & (F.col("j") % stride == 0) & (F.col("_bone") != 0))
+    lit = lit.select("case_id", "k", "j", F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda n: F.getbit("_bone", n) == 1)).alias("_n"), "b")
+    fixed = _coarse(lit.select("case_id", "k", "j", (F.col("b") * 64 + F.col("_n")).alias("i")), stride)
+    moves = shifts(fixed, coarse.join(enough.hint("merge"), ["case_id", "flip"], "left_semi"), target.select("case_id", size("ni"), size("nj"), size("nk")))
     moves = moves.select("case_id", "flip", *[(F.col(f"d{c}") * stride).alias(f"d{c}") for c in "ijk"])
     moves = staged(moves, "register-shifts")
     moved = placed.join(moves, ["case_id", "flip"]).select("case_id", "flip", *[(F.col(c) + F.col(f"d{c}")).alias(c) for c in "kji"], "label")
-    scored = moved.join(hu.select(*AT, "hu"), AT).groupBy("case_id", "flip").agg(F.count(F.lit(1)).alias("voxels"), (100 * F.count_if(F.col("hu") > bone) / F.count(F.lit(1))).alias("percent"))
-    scored = scored.where((F.col("voxels") >= least) & (F.col("percent") > 0)).join(moves, ["case_id", "flip"])
+    met = _blocks(moved, "case_id", "flip", _own=F.lit(True)).hint("merge").join(scan, ["case_id", "k", "j", "b"])
+    count = lambda c: F.sum(F.bit_count(F.col("_own").bitwiseAND(F.col(c))))
+    scored = met.groupBy("case_id", "flip").agg(count("_in").alias("voxels"), count("_bone").alias("_n")).where((F.col("voxels") >= least) & (F.col("_n") > 0))
+    scored = scored.withColumn("percent", 100 * F.col("_n") / F.col("voxels")).hint("merge").join(moves, ["case_id", "flip"])
     best = scored.groupBy("case_id").agg(F.max_by(F.struct("flip", "di", "dj", "dk", "voxels", "percent"), F.struct("percent", -F.col("flip"))).alias("b"))
     found = staged(best.select("case_id", "b.*"), "register-found")
-    inside = hu.select(*AT)
-    return moved.join(found.select("case_id", "flip"), ["case_id", "flip"], "left_semi").join(inside, AT, "left_semi").select(*AT, "label"), found
+    kept = moved.join(found.select("case_id", "flip"), ["case_id", "flip"], "left_semi").withColumn("b", F.shiftright("i", 6)).hint("merge")
+    inside = kept.join(scan.drop("_bone"), ["case_id", "k", "j", "b"]).where(F.getbit("_in", F.col("i").bitwiseAND(63)) == 1)
+    return inside.select(*AT, "label"), found

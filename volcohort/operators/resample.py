@@ -12,6 +12,9 @@ from volcohort.functions.geometry import inverse, world
 from volcohort.operators.storage import dealt
 from volcohort.operators.voxel import AT, remap
 
+#: Voxels by which rounding may move the end of a box.
+ROOM = 1e-3
+
 
 def _rounded(c: Column) -> Column:
     """To the nearest whole number, halves up."""
@@ -25,8 +28,8 @@ def _mapped(places: DataFrame, through: Column) -> DataFrame:
 
 
 def resampled(moving: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
-    """`moving` (case_id, k, j, i, label) on the grid of `target`. Only target voxels near the labelled box of a case are tried: the
-    corners of its voxels, mapped, bound them; each looks up one source voxel in an equi-join."""
+    """`moving` (case_id, k, j, i, label) on the grid of `target`. Only target voxels whose middle lies in the labelled box of a case are
+    tried: the corners of its voxels, mapped, bound them, with room for rounding; each looks up one source voxel in an equi-join."""
     held = moving.where("label <> 0").select(*AT, "label")
     own = source.select("case_id", F.col("affine").alias("_s")).join(target.select("case_id", F.col("affine").alias("_t"), "ni", "nj", "nk").hint("merge"), "case_id")
     own = own.select("case_id", "ni", "nj", "nk", inverse(F.col("_s")).alias("_to"), "_t", inverse(F.col("_t")).alias("_back"), "_s").hint("merge")
@@ -34,7 +37,7 @@ def resampled(moving: DataFrame, source: DataFrame, target: DataFrame) -> DataFr
     corners = box.select("case_id", *[F.explode(F.array("i0", "i1")).alias("i")], "j0", "j1", "k0", "k1").select("case_id", "i", F.explode(F.array("j0", "j1")).alias("j"), "k0", "k1")
     corners = corners.select("case_id", "i", "j", F.explode(F.array("k0", "k1")).alias("k")).join(own, "case_id")
     out = _mapped(_mapped(corners, F.col("_s")).select("case_id", F.col("ti").alias("i"), F.col("tj").alias("j"), F.col("tk").alias("k"), "_back"), F.col("_back"))
-    ends = out.groupBy("case_id").agg(*[f for c in "ijk" for f in (F.floor(F.min(f"t{c}")).alias(f"{c}0"), F.ceil(F.max(f"t{c}")).alias(f"{c}1"))]).join(own, "case_id")
+    ends = out.groupBy("case_id").agg(*[f for c in "ijk" for f in (F.ceil(F.min(f"t{c}") - ROOM).alias(f"{c}0"), F.floor(F.max(f"t{c}") + ROOM).alias(f"{c}1"))]).join(own, "case_id")
     ends = dealt(ends, "case_id", "i0")  # few rows, exploded to many; dealt by the case alone they would stay where they are
     for c in "kji":
         low, high = F.greatest(F.lit(0).cast("long"), F.col(f"{c}0")), F.least(F.col(f"n{c}").cast("long") - 1, F.col(f"{c}1"))
