@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from volcohort.operators.storage import dealt
 from volcohort.operators.voxel import AT, FACES, box, components, with_neighbours
@@ -32,21 +33,33 @@ def erode(voxels: DataFrame, steps: int = 1, reach: list[tuple[int, int, int]] =
 
 
 def fill_slices(voxels: DataFrame, axis: str = "k") -> DataFrame:
-    """Holes of each slice along `axis`: background of a label's box that doesn't reach the box's rim. (case_id, k, j, i, label)."""
-    v = voxels.where("label <> 0")
-    ends = box(v.withColumn("case_id", F.struct("case_id", "label")), 0)
-    grid = dealt(ends.select("case_id", *[c for n in "kji" for c in (f"{n}0", f"{n}1")]), "case_id", "k0")  # few rows, exploded to many; by the case alone they would stay where they are
-    for n in "kji":
-        lo, hi = (F.col(f"{n}0"), F.col(f"{n}1")) if n == axis else (F.col(f"{n}0") - 1, F.col(f"{n}1") + 1)
-        grid = grid.withColumn(n, F.explode(F.sequence(lo, hi)))
-    own = v.select(F.struct("case_id", "label").alias("case_id"), "k", "j", "i").hint("merge")
-    empty = grid.join(own, ["case_id", "k", "j", "i"], "left_anti").withColumn("label", F.lit(1))
+    """Holes of each slice along `axis`: background of a label's box that doesn't reach the box's rim. (case_id, k, j, i, label).
+
+    Before the first voxel of a line and after its last the background reaches the rim, so holes lie in gaps between two voxels of a
+    line, and a gap is open where a line beside it doesn't reach as far. Only gaps are exploded to places, never whole boxes."""
+    along = "j" if axis == "i" else "i"
+    across = next(n for n in "kj" if n not in (axis, along))
+    line = ("case_id", "label", axis, across)
+    v = voxels.where("label <> 0").where("k is not null and j is not null and i is not null")
+    case = F.struct("case_id", "label").alias("case_id")  # equal to itself in joins, also if the case is missing
+
+    after = F.lead(along).over(Window.partitionBy(*line).orderBy(along))
+    gaps = v.select(*line, along, after.alias("_after")).where(F.col("_after") - F.col(along) > 1)
+    gaps = gaps.select(case, axis, across, (F.col(along) + 1).alias("_from"), (F.col("_after") - 1).alias("_to"))
+    # Few rows, exploded to many: dealt by what components needs together, so that the places aren't shuffled again.
+    empty = dealt(gaps, "case_id", "k").withColumn(along, F.explode(F.sequence("_from", "_to"))).withColumn("label", F.lit(1))
     flat = [t for t in FACES if t["kji".index(axis)] == 0]
-    rim = [F.col(n) < F.col(f"{n}0") for n in "kji" if n != axis] + [F.col(n) > F.col(f"{n}1") for n in "kji" if n != axis]
-    outer = rim[0] | rim[1] | rim[2] | rim[3]
-    parts = components(empty.select("case_id", "k", "j", "i", "label"), flat).join(ends, "case_id")
+    parts = components(empty.select(*AT, "label"), flat)
+
+    # Lines with one on either side, and how far both reach.
+    lo, hi, w = f"{along}0", f"{along}1", Window.partitionBy("case_id", "label", axis).orderBy(across)
+    lines = box(v, 0, line).select(*line, lo, hi, *[f(c).over(w).alias(f"{n}_{c}") for n, f in (("before", F.lag), ("after", F.lead)) for c in (across, lo, hi)])
+    lines = lines.where((F.col(f"before_{across}") == F.col(across) - 1) & (F.col(f"after_{across}") == F.col(across) + 1) & (F.col(axis) >= 0) & (F.col(across) >= 0))
+    lines = lines.select(case, axis, across, F.greatest(f"before_{lo}", f"after_{lo}").alias("_lo"), F.least(f"before_{hi}", f"after_{hi}").alias("_hi"))
+
     # Joins lose the hint of their tables.
-    shut = parts.groupBy("case_id", "component").agg(F.bool_or(outer).alias("open")).where("not open").hint("merge")
+    inside = parts.join(lines.hint("merge"), ["case_id", axis, across], "left").withColumn("_in", F.coalesce(F.col(along).between(F.col("_lo"), F.col("_hi")), F.lit(False)))
+    shut = inside.groupBy("case_id", "component").agg(F.bool_and("_in").alias("_shut")).where("_shut").hint("merge")
     holes = parts.join(shut, ["case_id", "component"], "left_semi")
     return holes.select(F.col("case_id.case_id").alias("case_id"), "k", "j", "i", F.col("case_id.label").alias("label"))
 
