@@ -7,6 +7,8 @@ import random
 import pytest
 
 from volcohort.operators import morphology, voxel
+from volcohort.operators.storage import staged
+from volcohort.plans import compare as plans
 from volcohort.plans import every
 
 SF = "/root/testdata/sf0.001"
@@ -56,3 +58,32 @@ def test_only_gaps_become_places(spark, monkeypatch):
     found = plan(made[0])
     assert "Join" not in found and found.count("Exchange") == 2  # of suppliers and of gaps
     assert made[0].count() == 10 * 8 * 2
+
+
+def test_layers_of_conflicts_are_worked_out_once(spark, monkeypatch):
+    """Against plain loops, with cases of several weights, of none, and with missing labels and places."""
+    rng = random.Random(8)
+    at = [(c, k, j, i) for c in range(1, 7) for k in (0, 1, None) for j in range(4) for i in range(3)]
+    volumes = [{p: rng.choice([0, 0, 5, 6, 7, None]) for p in at if rng.random() < 0.9} for _ in range(3)]
+    hu = {p: rng.choice([50, 150, 250, None]) for p in at if rng.random() < 0.9}
+    weights = [(1, 2.0, 1.0), (1, 2.0, 1.0), (2, 1.0, 2.0), (2, 1.0, 1.1), (2, None, 4.0), (3, 1.0, 1.0), (4, 0.0, 1.0), (None, 9.0, 1.0)]
+    rows = lambda d, name: spark.createDataFrame([(*p, v) for p, v in d.items()], f"case_id int, k int, j int, i int, {name} int")
+    layers = (*[rows(v, "label") for v in volumes], rows(hu, "hu"), spark.createDataFrame(weights, "case_id int, wa double, wb double"))
+    written = []
+    monkeypatch.setattr(plans, "_layers", lambda *_: layers)
+    monkeypatch.setattr(plans, "staged", lambda df, tag: written.append(plan(df)) or staged(df, tag))
+    got = {r[0]: tuple(r[1:]) for r in every.QUERIES["class_conflicts"](spark, SF).collect()}
+
+    expected = {}
+    for p in at:
+        o, x, y = (v.get(p) or 0 for v in volumes)
+        if (o, x, y) == (0, 0, 0):
+            continue
+        conflict = x != y and x != o and y != o
+        dense = conflict and (x == 0) != (y == 0) and hu.get(p) is not None and not 100 <= hu[p] < 200
+        own = [(1.0 if a is None else a, b) for c, a, b in weights if c == p[0]] or [(1.0, 1.0)]
+        decided = [x != 0 and y != 0 and (a / b >= 1.5 or (a != 0 and a / b <= 1 / 1.5)) for a, b in own]
+        n = [int(conflict), int(conflict and not dense), sum(conflict and not dense and not d for d in decided)]
+        expected[p[0]] = [s + t for s, t in zip(expected.get(p[0], (0, 0, 0)), n, strict=True)]
+    assert got == {c: (a, a - b, b - o, o) for c, (a, b, o) in expected.items()}
+    assert len(written) == 1 and "SortAggregate" not in written[0]

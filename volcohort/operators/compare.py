@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volcohort.operators.storage import staged
-from volcohort.operators.voxel import AT, FACES, beside, component_sizes, components, settle_conflicts, three_way, without_specks
+from volcohort.operators.voxel import AT, FACES, beside, component_sizes, components, merged_beside, settle_conflicts, three_way, without_specks
 
 IGNORE = 255
 # Fixed values of the label scheme: bones of spine, pelvis and legs; thoracic vertebrae; ribs; the classes at the border of lumbar spine and sacrum.
@@ -78,18 +78,19 @@ def completeness(v: DataFrame) -> DataFrame:
     return v.where("label > 0").groupBy("case_id").agg(F.count_distinct("label").alias("structures"), F.count(F.lit(1)).alias("voxels"))
 
 
-def resolve_classes(merged: DataFrame, a: DataFrame, b: DataFrame, weights: DataFrame, gap: float = 1.5) -> DataFrame:
+def resolve_classes(merged: DataFrame, a: DataFrame, b: DataFrame, weights: DataFrame, gap: float = 1.5, also: tuple[str, ...] = ()) -> DataFrame:
     """`merged` (place, label, state), where open conflicts between two classes go to the side that is `gap` times as reliable.
 
-    weights: (case_id, wa, wb), one where they are missing; other conflicts stay open (label NULL)."""
+    weights: (case_id, wa, wb), one where they are missing; other conflicts stay open (label NULL). also: other columns of `merged`
+    that stay."""
     x, y = a.select(*AT, F.col("label").alias("_x")), b.select(*AT, F.col("label").alias("_y"))
-    m = beside(merged.select(*AT, "label", "state"), x, y).where("state is not null")
+    m = merged_beside(merged, also, x, y)
     m = m.join(weights.hint("merge"), "case_id", "left").fillna(0, ["_x", "_y"]).fillna(1.0, ["wa", "wb"])
     open_ = (F.col("state") == "conflict") & F.col("label").isNull() & (F.col("_x") != 0) & (F.col("_y") != 0)
     ratio = F.when(F.col("wb") != 0, F.col("wa") / F.col("wb")).otherwise(F.lit(float("inf")))
     sure = (ratio >= gap) | ((F.col("wa") != 0) & (ratio <= 1 / gap))
     winner = F.when(F.col("wa") >= F.col("wb"), F.col("_x")).otherwise(F.col("_y"))
-    return m.select(*AT, F.when(open_ & F.coalesce(sure, F.lit(False)), winner).otherwise(F.col("label")).alias("label"), "state")
+    return m.select(*AT, F.when(open_ & F.coalesce(sure, F.lit(False)), winner).otherwise(F.col("label")).alias("label"), "state", *also)
 
 
 def adjudicated(base: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, checks: DataFrame, weights: DataFrame | None = None, specks: int = 40) -> tuple[DataFrame, DataFrame]:

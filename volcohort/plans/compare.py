@@ -150,12 +150,15 @@ def _layers(spark, sf_dir):
 @query(f"""with {CROP_SQL}, {MERGED_SQL} select c case_id, count(case when l is null then 1 end) conflicts, count(case when l is null and l2 is not null then 1 end) by_density, count(case when l2 is null and l3 is not null then 1 end) by_weight, count(case when l3 is null then 1 end) open from f group by c""")
 def class_conflicts(spark, sf_dir):
     base, a, b, hu, weights = _layers(spark, sf_dir)
-    first = voxel.three_way(base, a, b)
-    second = voxel.settle_conflicts(first, a, b, hu)
-    third = compare.resolve_classes(second, a, b, weights)
-    # Counts of a layer are written, else one task would hold the places of all layers at once.
-    null = lambda d, n: staged(d.groupBy("case_id").agg(F.count_if(F.col("label").isNull()).alias(n)), "layer")
-    out = null(first, "conflicts").join(null(second, "_2"), "case_id").join(null(third, "open"), "case_id")
+    none = F.col("label").isNull()
+    # Each layer hands on what was open before it, so all three are worked out once.
+    first = voxel.three_way(base, a, b).withColumn("_1", none)
+    second = voxel.settle_conflicts(first, a, b, hu, also=("_1",)).withColumn("_2", none)
+    third = compare.resolve_classes(second, a, b, weights, also=("_1", "_2"))
+    open_ = third.groupBy("case_id").agg(F.count_if("_1").alias("_1"), F.count_if("_2").alias("_2"), F.count_if(none).alias("open"))
+    # A case with several weights has as many rows a place, of which the first two layers count one.
+    times = weights.groupBy("case_id").agg(F.count(F.lit(1)).alias("_n")).hint("merge")
+    out = staged(open_.where("case_id is not null").join(times, "case_id", "left").fillna(1, ["_n"]).selectExpr("case_id", "_1 div _n conflicts", "_2 div _n _2", "open"), "layer")
     return out.select("case_id", "conflicts", (F.col("conflicts") - F.col("_2")).alias("by_density"), (F.col("_2") - F.col("open")).alias("by_weight"), "open")
 
 
