@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from volcohort.operators import morphology, voxel
+from volcohort.operators import density, morphology, refine, voxel
 from volcohort.operators.storage import staged
 from volcohort.plans import compare as plans
 from volcohort.plans import every
@@ -87,3 +87,28 @@ def test_layers_of_conflicts_are_worked_out_once(spark, monkeypatch):
         expected[p[0]] = [s + t for s, t in zip(expected.get(p[0], (0, 0, 0)), n, strict=True)]
     assert got == {c: (a, a - b, b - o, o) for c, (a, b, o) in expected.items()}
     assert len(written) == 1 and "SortAggregate" not in written[0]
+
+
+def test_refined_reads_places_that_lie_by_case(spark, monkeypatch):
+    """Places meet thresholds, bone and what was made by hand without a shuffle; only thresholds and their cases are dealt."""
+    written = []
+    monkeypatch.setattr(refine, "staged", lambda df, tag: written.append(plan(df)) or staged(df, tag))
+    every.QUERIES["refined_resegment"](spark, SF)
+    assert "Join" not in written[0] and "ENSURE_REQUIREMENTS" not in written[0] and "Broadcast" not in written[1]
+    assert all("k#" not in x and "hu#" not in x for x in written[1].splitlines() if "ENSURE_REQUIREMENTS" in x)
+
+
+def test_thresholds_count_rows_that_come_twice(spark):
+    """A density counts once for each row of the mask at its place, and for each row of the density."""
+    at = [(1, 0, 0, i) for i in range(5)]
+    mask = spark.createDataFrame([(*p, 3) for p in at] + [(*at[0], 3)] * 3 + [(1, None, 0, 0, 3), (None, 0, 0, 0, 3)], VOXELS)
+    hu = spark.createDataFrame([(*p, 10 * n) for n, p in enumerate(at)] + [(*at[4], 99), (1, None, 0, 0, 500), (None, 0, 0, 0, 7)], "case_id int, k int, j int, i int, hu int")
+    got = density.calibrated(mask, hu, 0.5).collect()
+    assert [tuple(r) for r in got] == [(1, 10.0)]  # of 0, 0, 0, 0, 10, 20, 30, 40, 99
+
+
+def test_named_runs_become_places_again(spark):
+    """Places that come twice give one row, missing ones none; nothing is joined by place."""
+    rows = [(1, 0, 0, i, 5) for i in (0, 1, 2, 5)] * 2 + [(1, 0, 1, 2, 5), (1, None, 0, 1, 5), (1, 0, 0, None, 5), (None, 0, 0, 0, 5), (1, 3, 0, 0, 0)]
+    got = voxel.components(spark.createDataFrame(rows, VOXELS)).collect()
+    assert sorted((r.k, r.j, r.i, tuple(r.component)) for r in got) == [(0, 0, 0, (0, 0, 0)), (0, 0, 1, (0, 0, 0)), (0, 0, 2, (0, 0, 0)), (0, 0, 5, (0, 0, 5)), (0, 1, 2, (0, 0, 0))]

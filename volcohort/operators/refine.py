@@ -5,8 +5,11 @@ density on the whole grid. Classes are 1 to 9, what was made by hand is the guid
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from volcohort.operators.density import calibrated
 from volcohort.operators.distance import nearest
@@ -71,6 +74,25 @@ def compete(pred: DataFrame, bone: DataFrame, purity: float = 0.15, bleed: int =
     return out, flags
 
 
+def _cells(hand: DataFrame, v2: DataFrame, hu: DataFrame, thr: DataFrame) -> DataFrame:
+    """(AT, label, threshold, _pred, _bone, _rest): predicted voxels of cases with a threshold and places of bone, both outside of what
+    was made by hand, and the other voxels of v2. A window by place tells what else is there, without a shuffle if volumes lie by
+    case; a missing place is at no other."""
+    of = lambda d, kind, label, density: d.select(*AT, label.cast(v2.schema["label"].dataType).alias("label"), density.cast(hu.schema["hu"].dataType).alias("hu"), F.lit(kind).alias("_kind"))
+    none, label, kind = F.lit(None), F.col("label"), F.col("_kind")
+    rows = of(hand, "hand", none, none).union(of(v2.where("label <> 0"), "v2", label, none)).union(of(hu, "hu", none, F.col("hu")))
+    known, w = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in AT]), Window.partitionBy(*AT)
+    in_class = (kind == "v2") & label.between(*CLASSES)
+    rows = rows.select("*", (known & F.bool_or(kind == "hand").over(w)).alias("_hand"), (known & F.bool_or(in_class).over(w)).alias("_class"))
+    rows = rows.where((kind == "v2") | ((kind == "hu") & ~F.col("_hand")))
+    predicted = v2.where(label.between(*CLASSES)).select("case_id").distinct().hint("merge")
+    held = rows.join(thr.join(predicted, "case_id", "left_semi").hint("merge"), "case_id", "left")
+    free = ~F.col("_hand") & F.col("threshold").isNotNull()
+    bone = (kind == "hu") & F.coalesce(F.col("hu") >= F.col("threshold"), F.lit(False))
+    out = held.select(*AT, "label", "threshold", (in_class & free).alias("_pred"), bone.alias("_bone"), ((kind == "v2") & ~(F.col("_class") & free)).alias("_rest"))
+    return out.where("_pred or _bone or _rest")
+
+
 def refined(
     v1: DataFrame, v2: DataFrame, hu: DataFrame, mode: str = "clip", percentile: float = 10.0, fill: bool = True, grow: int = 0, purity: float = 0.15, bleed: int = 50, floor: float = 0.0,
 ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -80,12 +102,11 @@ def refined(
     mode clip keeps predicted bone, and `grow` steps through bone around it; resegment all connected bone that a prediction meets,
     named by the nearest one; compete shares out connected bone (see `compete`, which alone makes flags). fill: with the holes."""
     hand = v1.where(F.col("label").between(*CLASSES)).select(*AT, "label")
-    pred = v2.where(F.col("label").between(*CLASSES)).select(*AT, "label").join(hand.select(*AT), AT, "left_anti")
-    thr = calibrated(hand, hu, percentile / 100).where("threshold is not null").join(pred.select("case_id").distinct().hint("merge"), "case_id", "left_semi")
+    thr = calibrated(hand, hu, percentile / 100).where("threshold is not null")
     thr = thr.select("case_id", F.greatest("threshold", F.lit(float(floor))).alias("threshold")) if floor else thr
-    thr = staged(thr, "refine")
-    pred = staged(pred.join(thr, "case_id", "left_semi"), "refine")
-    bone = staged(hu.join(thr, "case_id").where("hu >= threshold").select(*AT).join(hand.select(*AT), AT, "left_anti"), "refine")
+    cells = staged(_cells(hand, v2, hu, staged(thr, "refine")), "refine")
+    pred, bone = cells.where("_pred").select(*AT, "label"), cells.where("_bone").select(*AT)
+    thr = cells.where("_pred").select("case_id", "threshold").distinct()
     flags = None
     if mode == "compete":
         new, flags = compete(pred, bone, purity, bleed, grow, fill)
@@ -105,5 +126,5 @@ def refined(
     else:
         raise ValueError(f"no such mode: {mode}")
     new = staged(new.select(*AT, "label"), "refine")
-    rest = v2.where("label <> 0").select(*AT, "label").join(pred.select(*AT), AT, "left_anti").join(new.select(*AT), AT, "left_anti")
+    rest = cells.where("_rest").select(*AT, "label").join(new.select(*AT), AT, "left_anti")
     return rest.union(new.select(*AT, "label")), thr, flags

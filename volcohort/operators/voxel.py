@@ -156,10 +156,16 @@ def run_components(r: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) ->
     own = staged(r.select(*key, F.struct("k", "j", F.col("i0").alias("i")).alias("node"), "k", "j", "i0", "i1"), "runs")
     cur = own.select(*key, "node", F.col("node").alias("component"))
     if near:
+        both = all((-dk, -dj, -di) in reach for dk, dj, di in reach)  # then a link is found from one end
+        near = {at: d for at, d in near.items() if at > (0, 0)} if both else near
         steps = F.array(*[F.struct(F.lit(dk).alias("dk"), F.lit(dj).alias("dj"), F.lit(min(d)).alias("lo"), F.lit(max(d)).alias("hi")) for (dk, dj), d in near.items()])
         a = own.select(*key, F.col("node").alias("a"), "k", "j", "i0", "i1", F.explode(steps).alias("d"))
         a = a.select(*key, "a", (F.col("k") + F.col("d.dk")).alias("k"), (F.col("j") + F.col("d.dj")).alias("j"), (F.col("i0") + F.col("d.lo")).alias("a0"), (F.col("i1") + F.col("d.hi")).alias("a1"))
-        links = staged(a.join(own, [*key, "k", "j"]).where("a0 <= i1 and i0 <= a1").select(*key, "node", "a"), "run-links")
+        links = a.join(own, [*key, "k", "j"]).where("a0 <= i1 and i0 <= a1").select(*key, "node", "a")
+        if both:
+            ends = F.explode(F.array(F.struct("node", "a"), F.struct(F.col("a").alias("node"), F.col("node").alias("a"))))
+            links = links.select(*key, ends.alias("_e")).select(*key, "_e.node", "_e.a")
+        links = staged(links, "run-links")
         settled, before = False, None
         while not settled:  # the rounds grow with the logarithm of the longest path
             low = links.join(cur.withColumnRenamed("node", "a"), [*key, "a"]).groupBy(*key, "node").agg(F.min("component").alias("low"))
@@ -177,21 +183,18 @@ def run_components(r: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) ->
 
 def components(voxels: DataFrame, reach: list[tuple[int, int, int]] = ALL_26) -> DataFrame:
     """(case_id, k, j, i, label, component): parts of a label that hang together, named by their least place. The work is done on
-    runs; voxels get the name of theirs."""
+    runs, which are the voxels between their ends: named, they are made places again. Places that come twice are in one run."""
     line = ["case_id", "k", "j", "label"]
-    v = voxels.where("label <> 0").select(*AT, "label").distinct()
+    v = voxels.where("label <> 0").select(*AT, "label").where(" and ".join(f"{c} is not null" for c in AT))
     if (0, 0, 1) in reach:
         w = Window.partitionBy(*line).orderBy("i")
         v = v.withColumn("_d", F.col("i") - F.lag("i").over(w)).withColumn("_s", F.when(F.col("_d").isNull() | (F.col("_d") > 1), F.col("i")))
-        v = v.withColumn("i0", F.last("_s", ignorenulls=True).over(w)).drop("_d", "_s")
+        v = v.withColumn("i0", F.last("_s", ignorenulls=True).over(w)).drop("_d", "_s")  # a run's first place names it
     else:
         v = v.withColumn("i0", F.col("i"))
-    v = staged(v, "voxels")  # read several times; a run's first place names it
     found = run_components(v.groupBy(*line, "i0").agg(F.max("i").alias("i1")), reach)
-    # Written, as it is read several times too, and as Spark takes a join of packed tables for small: it would send all voxels to the driver.
-    parts = staged(v.join(found.select(*line, "i0", "component"), [*line, "i0"]).select(*AT, "label", "component"), "parts")
-    forget(v)
-    return parts
+    # Written, as it is read several times, and as Spark takes exploded tables for small: it would send all voxels to the driver.
+    return staged(found.select("case_id", "k", "j", F.explode(F.sequence("i0", "i1")).alias("i"), "label", "component"), "parts")
 
 
 def settle_conflicts(merged: DataFrame, a: DataFrame, b: DataFrame, hu: DataFrame, keep: int = 200, drop: int = 100, also: tuple[str, ...] = ()) -> DataFrame:
